@@ -46,3 +46,28 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
         .withColumn(name, (F.col("_off") + local + F.lit(start)).cast("bigint"))
         .drop("_pid", "_mid", "_off")
     )
+
+
+def global_prefix_sum(df: DataFrame, order_cols: list[str], value: str, name: str = "offset") -> DataFrame:
+    """Exclusive running sum of ``value`` over a total order, distributed.
+
+    Same scheme as ``global_rank``: frozen range partitions, one total per
+    partition (a small window over partition ids), then a running sum inside
+    each partition.
+    """
+    ordered = cut_lineage(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols))
+    tagged = ordered.withColumn("_pid", F.spark_partition_id())
+    totals = tagged.groupBy("_pid").agg(F.sum(value).alias("_tot"))
+    offsets = totals.select(
+        "_pid",
+        F.coalesce(
+            F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_off"),
+    )
+    inner = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        tagged.withColumn("_run", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+        .join(F.broadcast(offsets), "_pid")
+        .withColumn(name, (F.col("_off") + F.col("_run")).cast("bigint"))
+        .drop("_pid", "_off", "_run")
+    )

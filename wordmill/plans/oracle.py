@@ -66,3 +66,80 @@ def decode_cte(seqs: str, key: str = "seq_id", vocab: str = "vocab", out: str =
         ) WHERE w NOT IN ('<BOS>', '<EOS>', '<PAD>')
       ) GROUP BY {key}
     ) a ON a.{key} = s.{key}"""
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def clean_sql(col: str, html: bool) -> str:
+    """The cleaning chain of sources.clean as DuckDB expressions."""
+    from ..sources import clean as C
+
+    e = col
+    if html:
+        for pat in C.HTML_DROP_BLOCKS:
+            e = f"regexp_replace({e}, {lit(pat)}, '', 'g')"
+        e = f"regexp_replace({e}, {lit(C.HTML_BREAKS)}, chr(10), 'g')"
+        e = f"regexp_replace({e}, {lit(C.HTML_TAG)}, '', 'g')"
+        for ent, ch in C.ENTITIES:
+            e = f"replace({e}, {lit(ent)}, {lit(ch)})"
+    for pat in C.WIKI_DROP:
+        e = f"regexp_replace({e}, {lit(pat)}, '', 'g')"
+    for pat, grp in (C.WIKI_LINK_LABEL, C.WIKI_LINK):
+        e = f"regexp_replace({e}, {lit(pat)}, '\\{grp}', 'g')"
+    return e
+
+
+def prose_lines_sql(body: str) -> str:
+    from ..sources import clean as C
+
+    return (
+        f"array_to_string(list_filter(list_transform(string_split({body}, chr(10)), "
+        f"lambda l: regexp_replace(l, {lit(C.LINE_TRIM)}, '', 'g')), "
+        f"lambda l: l <> '' AND NOT regexp_matches(l, {lit(C.LINE_DROP)})), chr(10))"
+    )
+
+
+def page_drop_sql(body: str) -> str:
+    from ..sources import clean as C
+
+    conds = [f"regexp_matches({body}, {lit(C.PAGE_DROP_REDIRECT)})"] + [
+        f"contains({body}, {lit(m)})" for m in C.PAGE_DROP_MARKERS
+    ]
+    return "(" + " OR ".join(conds) + ")"
+
+
+def clean_pages_sql() -> str:
+    return f"""SELECT page_id, text FROM (
+      SELECT page_id, {prose_lines_sql('body')} AS text FROM (
+        SELECT page_id, {clean_sql('html', True)} AS body FROM pages)
+      WHERE NOT {page_drop_sql('body')})
+    WHERE text <> ''"""
+
+
+def enc_docs_with(extra: str) -> str:
+    """WITH toks, vocab, enc (documents encoded), seqs (seq_id, ids)."""
+    return doc_vocab_with(
+        f""", enc AS ({encode_cte('documents', 'doc_id', 'text')}),
+        seqs AS (SELECT doc_id AS seq_id, ids FROM enc){extra}"""
+    )
+
+
+def windows_sql(seqs: str, max_len: int) -> str:
+    return f"""SELECT seq_id, i::BIGINT AS i, ids[i + 2 - least(i + 1, {max_len}) : i + 1] AS input, ids[i + 2] AS target
+        FROM (SELECT seq_id, ids, unnest(range(0, len(ids) - 1)) AS i FROM {seqs})"""
+
+
+def sample_sql(seqs: str, k: int, max_len: int, seed: int, epoch: int) -> str:
+    from ..functions.random import hash_uniform_sql
+
+    u = hash_uniform_sql(seed, "sample", str(epoch), "r.range")
+    return f"""SELECT sample_no, seq_id, (g - off)::BIGINT AS i,
+           ids[(g - off) + 2 - least(g - off + 1, {max_len}) : g - off + 1] AS input, ids[g - off + 2] AS target
+        FROM (SELECT r.range AS sample_no, floor({u} * t)::BIGINT AS g
+              FROM range({k}) r, (SELECT sum(len(ids) - 1)::BIGINT AS t FROM {seqs} WHERE len(ids) >= 2)) d
+        JOIN (SELECT seq_id, ids, (len(ids) - 1)::BIGINT AS cnt,
+                     (sum(len(ids) - 1) OVER (ORDER BY seq_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - (len(ids) - 1))::BIGINT AS off
+              FROM {seqs} WHERE len(ids) >= 2) o
+        ON d.g >= o.off AND d.g < o.off + o.cnt"""

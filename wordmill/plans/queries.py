@@ -197,3 +197,143 @@ def q_grow_vocab(spark, sf_dir):
 def q_token_counts(spark, sf_dir):
     enc = tk.encode_frozen(benchmark(spark, sf_dir), doc_vocab(spark, sf_dir), key="item_id")
     return vc.token_counts(enc, key="item_id")
+
+
+# ---------------------------------------------------------------- 2.1 cleaning
+def pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages").select("page_id", "html")
+
+
+def cleaned_pages(spark, sf_dir):
+    from ..sources.clean import clean_articles
+
+    return clean_articles(pages(spark, sf_dir), text="html", html=True, out="text").select("page_id", "text")
+
+
+@register("clean_articles", O.clean_pages_sql())
+def q_clean_articles(spark, sf_dir):
+    return cleaned_pages(spark, sf_dir)
+
+
+@register("limit_articles", f"SELECT * FROM ({O.clean_pages_sql()}) ORDER BY page_id LIMIT 100")
+def q_limit_articles(spark, sf_dir):
+    from ..sources.clean import limit_articles
+
+    return limit_articles(cleaned_pages(spark, sf_dir), 100, key="page_id")
+
+
+_WS_WORD = "[^\\t\\n\\x0B\\f\\r ]+"
+
+
+@register(
+    "corpus_stats",
+    f"""SELECT n_docs, n_lines, n_words, n_tokens, n_lines >= 5 AS big_enough FROM (
+      SELECT count(*)::BIGINT AS n_docs,
+             coalesce(sum(len(string_split(text, chr(10)))), 0)::BIGINT AS n_lines,
+             coalesce(sum(len(regexp_extract_all(text, '{_WS_WORD}'))), 0)::BIGINT AS n_words,
+             coalesce(sum(len(regexp_extract_all(lower(text), '{O.PAT}')) + 2), 0)::BIGINT AS n_tokens
+      FROM documents)""",
+)
+def q_corpus_stats(spark, sf_dir):
+    from ..sources.clean import corpus_stats
+
+    return corpus_stats(documents(spark, sf_dir))
+
+
+@register(
+    "structural_audit",
+    """SELECT table_lines, header_lines, table_lines > 5 OR header_lines > 5 AS warn FROM (
+      SELECT coalesce(sum(regexp_matches(line, '^\\|.*\\|')::INT), 0)::BIGINT AS table_lines,
+             coalesce(sum(regexp_matches(line, '^==')::INT), 0)::BIGINT AS header_lines
+      FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))""",
+)
+def q_structural_audit(spark, sf_dir):
+    from ..sources.clean import structural_audit
+
+    return structural_audit(documents(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- 2.4 windows
+def doc_seqs(spark, sf_dir, vocab=None):
+    vocab = vocab if vocab is not None else doc_vocab(spark, sf_dir)
+    return tk.encode(documents(spark, sf_dir), vocab).withColumnRenamed("doc_id", "seq_id")
+
+
+def bench_seqs(spark, sf_dir, vocab=None):
+    vocab = vocab if vocab is not None else doc_vocab(spark, sf_dir)
+    return tk.encode_frozen(benchmark(spark, sf_dir), vocab, key="item_id").withColumnRenamed("item_id", "seq_id")
+
+
+SAMPLE_K, SAMPLE_L, SEED = 1000, 10, 42
+
+
+@register("next_token_windows", O.enc_docs_with(f" {O.windows_sql('seqs', 10)}"))
+def q_next_token_windows(spark, sf_dir):
+    from ..operators.windows import next_token_windows
+
+    return next_token_windows(doc_seqs(spark, sf_dir), 10)
+
+
+@register(
+    "eval_windows",
+    O.doc_vocab_with(
+        f""", enc AS ({O.encode_cte('benchmark', 'item_id', 'text', frozen=True)}),
+        seqs AS (SELECT item_id AS seq_id, ids FROM enc) {O.windows_sql('seqs', 20)}"""
+    ),
+)
+def q_eval_windows(spark, sf_dir):
+    from ..operators.windows import eval_windows
+
+    return eval_windows(bench_seqs(spark, sf_dir))
+
+
+def sampled(spark, sf_dir):
+    from ..operators.windows import sample_windows
+
+    return sample_windows(doc_seqs(spark, sf_dir), SAMPLE_K, SAMPLE_L, seed=SEED, epoch=0)
+
+
+@register("sample_windows", O.enc_docs_with(f" {O.sample_sql('seqs', SAMPLE_K, SAMPLE_L, SEED, 0)}"))
+def q_sample_windows(spark, sf_dir):
+    return sampled(spark, sf_dir)
+
+
+@register(
+    "assign_batches",
+    O.enc_docs_with(
+        f" SELECT sample_no, seq_id, i, (sample_no // 32)::BIGINT AS batch FROM ({O.sample_sql('seqs', SAMPLE_K, SAMPLE_L, SEED, 0)})"
+    ),
+)
+def q_assign_batches(spark, sf_dir):
+    from ..operators.windows import assign_batches
+
+    return assign_batches(sampled(spark, sf_dir), 32).select("sample_no", "seq_id", "i", "batch")
+
+
+@register(
+    "chunk_batches",
+    f"""SELECT sample_no, batch, (CASE WHEN len_b // 8 = 0 THEN 7 ELSE least((sample_no - batch * 32) // (len_b // 8), 7) END)::BIGINT AS worker
+    FROM (SELECT r.range AS sample_no, (r.range // 32)::BIGINT AS batch, least(32, 1000 - (r.range // 32) * 32) AS len_b
+          FROM range((SELECT least(sum(len(regexp_extract_all(lower(text), '{O.PAT}')) + 2) // 20, 1000)::BIGINT FROM documents)) r)""",
+)
+def q_chunk_batches(spark, sf_dir):
+    from ..operators.windows import chunk_batches, plan_values
+    from ..sources.clean import corpus_stats
+
+    n_tokens = corpus_stats(documents(spark, sf_dir)).first()["n_tokens"]
+    plan = plan_values(n_tokens, 0.001, 64, 8)
+    n = plan["samples_per_epoch"]
+    return chunk_batches(spark.range(n).withColumnRenamed("id", "sample_no"), plan["batch_size"], 8, n)
+
+
+@register(
+    "training_plan",
+    f"""SELECT n_tokens, 10::BIGINT AS max_seq_len, least(n_tokens // 20, 1000)::BIGINT AS samples_per_epoch,
+           32::BIGINT AS batch_size, ceil(least(n_tokens // 20, 1000) / 32)::BIGINT AS n_batches
+    FROM (SELECT coalesce(sum(len(regexp_extract_all(lower(text), '{O.PAT}')) + 2), 0)::BIGINT AS n_tokens FROM documents)""",
+)
+def q_training_plan(spark, sf_dir):
+    from ..operators.windows import training_plan
+    from ..sources.clean import corpus_stats
+
+    return training_plan(corpus_stats(documents(spark, sf_dir)), 0.001, 64, 8)
