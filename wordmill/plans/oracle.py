@@ -143,3 +143,21 @@ def sample_sql(seqs: str, k: int, max_len: int, seed: int, epoch: int) -> str:
                      (sum(len(ids) - 1) OVER (ORDER BY seq_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - (len(ids) - 1))::BIGINT AS off
               FROM {seqs} WHERE len(ids) >= 2) o
         ON d.g >= o.off AND d.g < o.off + o.cnt"""
+
+
+E_CTE = """E AS (SELECT i, j, v FROM (
+      SELECT vec_id::BIGINT AS i, unnest(generate_series(0, len(embedding) - 1))::BIGINT AS j, unnest(embedding)::DOUBLE AS v
+      FROM embeddings) WHERE j < (SELECT len(embedding) FROM embeddings ORDER BY vec_id LIMIT 1)),
+    SH AS (SELECT max(i) + 1 AS r, max(j) + 1 AS c FROM E)"""
+
+
+def q6(x: str) -> str:
+    return f"(round(({x}) * 1e6) / 1e6 + 0.0)"
+
+
+def random_cells_sql(seed: int, name: str) -> str:
+    from ..functions.random import hash_uniform_sql
+
+    u = hash_uniform_sql(seed, name, "a.range", "b.range")
+    return f"""SELECT a.range::BIGINT AS i, b.range::BIGINT AS j, ({u} * 2.0 - 1.0) AS v
+      FROM SH, range(SH.r) a, range(SH.c) b"""

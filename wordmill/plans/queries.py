@@ -337,3 +337,182 @@ def q_training_plan(spark, sf_dir):
     from ..sources.clean import corpus_stats
 
     return training_plan(corpus_stats(documents(spark, sf_dir)), 0.001, 64, 8)
+
+
+# ---------------------------------------------------------------- 2.5 matrices
+def emb_matrix(spark, sf_dir):
+    from ..operators.matrix import matrix_from_rows
+
+    return matrix_from_rows(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def emb_random(spark, sf_dir, E, seed=7, name="random", xavier=False):
+    from ..operators.matrix import matrix_random, matrix_shape, matrix_xavier
+
+    r, c = matrix_shape(E)
+    return (matrix_xavier if xavier else matrix_random)(spark, r, c, seed, name)
+
+
+def _mx(expr: str, body: str) -> str:
+    return f"WITH {O.E_CTE}{expr} {body}"
+
+
+RAND = f", R AS ({O.random_cells_sql(7, 'random')})"
+
+
+@register("matrix_from_rows", _mx("", "SELECT i, j, v FROM E"))
+def q_matrix_from_rows(spark, sf_dir):
+    return emb_matrix(spark, sf_dir)
+
+
+@register("matrix_zeros", _mx("", "SELECT a.range::BIGINT AS i, b.range::BIGINT AS j, 0.0::DOUBLE AS v FROM SH, range(SH.r) a, range(SH.c) b"))
+def q_matrix_zeros(spark, sf_dir):
+    from ..operators.matrix import matrix_shape, matrix_zeros
+
+    r, c = matrix_shape(emb_matrix(spark, sf_dir))
+    return matrix_zeros(spark, r, c)
+
+
+@register("matrix_random", _mx(RAND, "SELECT * FROM R"))
+def q_matrix_random(spark, sf_dir):
+    return emb_random(spark, sf_dir, emb_matrix(spark, sf_dir))
+
+
+@register("matrix_xavier", _mx(f", X AS ({O.random_cells_sql(7, 'xavier')})", "SELECT i, j, v * sqrt(6.0 / (SH.r + SH.c)) AS v FROM X, SH"))
+def q_matrix_xavier(spark, sf_dir):
+    return emb_random(spark, sf_dir, emb_matrix(spark, sf_dir), name="xavier", xavier=True)
+
+
+UPD_SQL = "SELECT vec_id::BIGINT AS i, (label * 8)::BIGINT AS j, -1.0::DOUBLE AS v FROM embeddings"
+
+
+def emb_updates(spark, sf_dir):
+    return read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("bigint").alias("i"), (F.col("label") * 8).cast("bigint").alias("j"), F.lit(-1.0).alias("v")
+    )
+
+
+@register("matrix_set", _mx(f", U AS ({UPD_SQL})", "SELECT E.i, E.j, coalesce(U.v, E.v) AS v FROM E LEFT JOIN U ON U.i = E.i AND U.j = E.j"))
+def q_matrix_set(spark, sf_dir):
+    from ..operators.matrix import matrix_set
+
+    return matrix_set(emb_matrix(spark, sf_dir), emb_updates(spark, sf_dir))
+
+
+@register("matrix_get", _mx(f", U AS ({UPD_SQL})", "SELECT U.i, U.j, coalesce(E.v, 0.0) AS v FROM U LEFT JOIN E ON U.i = E.i AND U.j = E.j"))
+def q_matrix_get(spark, sf_dir):
+    from ..operators.matrix import matrix_get
+
+    return matrix_get(emb_matrix(spark, sf_dir), emb_updates(spark, sf_dir).select("i", "j"))
+
+
+@register("matrix_multiply", _mx("", f"SELECT a.j AS i, b.j AS j, {O.q6('sum(a.v * b.v)')} AS v FROM E a JOIN E b ON a.i = b.i GROUP BY a.j, b.j"))
+def q_matrix_multiply(spark, sf_dir):
+    from ..operators.matrix import matrix_multiply, matrix_shape, matrix_transpose, q6
+
+    E = emb_matrix(spark, sf_dir)
+    r, c = matrix_shape(E)
+    return matrix_multiply(matrix_transpose(E), E, (c, r), (r, c)).select("i", "j", q6(F.col("v")).alias("v"))
+
+
+@register("matrix_add", _mx(RAND, "SELECT i, j, coalesce(E.v, 0.0) + coalesce(R.v, 0.0) AS v FROM E FULL JOIN R USING (i, j)"))
+def q_matrix_add(spark, sf_dir):
+    from ..operators.matrix import matrix_add
+
+    E = emb_matrix(spark, sf_dir)
+    return matrix_add(E, emb_random(spark, sf_dir, E))
+
+
+@register("matrix_hadamard", _mx(RAND, "SELECT i, j, coalesce(E.v, 0.0) * coalesce(R.v, 0.0) AS v FROM E FULL JOIN R USING (i, j)"))
+def q_matrix_hadamard(spark, sf_dir):
+    from ..operators.matrix import matrix_hadamard
+
+    E = emb_matrix(spark, sf_dir)
+    return matrix_hadamard(E, emb_random(spark, sf_dir, E))
+
+
+@register("matrix_scale", _mx("", "SELECT i, j, v * 2.5 AS v FROM E"))
+def q_matrix_scale(spark, sf_dir):
+    from ..operators.matrix import matrix_scale
+
+    return matrix_scale(emb_matrix(spark, sf_dir), 2.5)
+
+
+@register("matrix_transpose", _mx("", "SELECT j AS i, i AS j, v FROM E"))
+def q_matrix_transpose(spark, sf_dir):
+    from ..operators.matrix import matrix_transpose
+
+    return matrix_transpose(emb_matrix(spark, sf_dir))
+
+
+@register("matrix_apply", _mx("", "SELECT i, j, v * v - v AS v FROM E"))
+def q_matrix_apply(spark, sf_dir):
+    from ..operators.matrix import matrix_apply
+
+    return matrix_apply(emb_matrix(spark, sf_dir), lambda v: v * v - v)
+
+
+@register("relu", _mx("", "SELECT i, j, CASE WHEN v > 0 THEN v ELSE 0.0 END AS v FROM E"))
+def q_relu(spark, sf_dir):
+    from ..operators.matrix import matrix_relu
+
+    return matrix_relu(emb_matrix(spark, sf_dir))
+
+
+@register("sigmoid", _mx("", f"SELECT i, j, {O.q6('1.0 / (1.0 + exp(-v))')} AS v FROM E"))
+def q_sigmoid(spark, sf_dir):
+    from ..operators.matrix import matrix_sigmoid, q6
+
+    return matrix_sigmoid(emb_matrix(spark, sf_dir)).select("i", "j", q6(F.col("v")).alias("v"))
+
+
+@register("tanh", _mx("", f"SELECT i, j, {O.q6('tanh(v)')} AS v FROM E"))
+def q_tanh(spark, sf_dir):
+    from ..operators.matrix import matrix_tanh, q6
+
+    return matrix_tanh(emb_matrix(spark, sf_dir)).select("i", "j", q6(F.col("v")).alias("v"))
+
+
+GELU_SQL = "0.5 * v * (1.0 + tanh(sqrt(2.0 / pi()) * (v + 0.044715 * v * v * v)))"
+
+
+@register("gelu", _mx("", f"SELECT i, j, {O.q6(GELU_SQL)} AS v FROM E"))
+def q_gelu(spark, sf_dir):
+    from ..operators.matrix import matrix_gelu, q6
+
+    return matrix_gelu(emb_matrix(spark, sf_dir)).select("i", "j", q6(F.col("v")).alias("v"))
+
+
+@register(
+    "row_softmax",
+    _mx("", f"""SELECT i, j, {O.q6('e / sum(e) OVER (PARTITION BY i)')} AS v FROM (
+        SELECT i, j, exp(v - max(v) OVER (PARTITION BY i)) AS e FROM E)"""),
+)
+def q_row_softmax(spark, sf_dir):
+    from ..operators.matrix import q6, row_softmax
+
+    return row_softmax(emb_matrix(spark, sf_dir)).select("i", "j", q6(F.col("v")).alias("v"))
+
+
+@register(
+    "row_layer_norm",
+    _mx("", f"""SELECT i, j, {O.q6('(v - avg(v) OVER (PARTITION BY i)) / sqrt(var_pop(v) OVER (PARTITION BY i) + 1e-6)')} AS v FROM E"""),
+)
+def q_row_layer_norm(spark, sf_dir):
+    from ..operators.matrix import q6, row_layer_norm
+
+    return row_layer_norm(emb_matrix(spark, sf_dir), 1e-6).select("i", "j", q6(F.col("v")).alias("v"))
+
+
+def _dropout_sql():
+    from ..functions.random import hash_uniform_sql
+
+    u = hash_uniform_sql(7, "dropout", "i", "j")
+    return _mx("", f"SELECT i, j, CASE WHEN {u} > 0.1 THEN v * {1.0 / (1.0 - 0.1)!r} ELSE 0.0 END AS v FROM E")
+
+
+@register("dropout", _dropout_sql())
+def q_dropout(spark, sf_dir):
+    from ..operators.matrix import dropout
+
+    return dropout(emb_matrix(spark, sf_dir), 0.1, True, seed=7)
