@@ -516,3 +516,199 @@ def q_dropout(spark, sf_dir):
     from ..operators.matrix import dropout
 
     return dropout(emb_matrix(spark, sf_dir), 0.1, True, seed=7)
+
+
+# ---------------------------------------------------------------- 2.7 decoding
+DEC_V, PEN, NGRAM, TEMP, TOPK, TOPP = 64, 1.2, 3, 0.8, 50, 0.9
+
+
+def dec_scores(spark, sf_dir):
+    """softmax(8 x) of each embedding row: one score row per (vec_id, dim),
+    quantised to 9 decimals."""
+    from ..operators.matrix import matrix_scale, row_softmax
+
+    E = emb_matrix(spark, sf_dir)
+    sm = row_softmax(matrix_scale(E, 8.0))
+    return sm.select(F.col("i").alias("seq_id"), F.col("j").alias("token_id"), (F.round(F.col("v") * 1e9) / 1e9 + 0.0).alias("p"))
+
+
+def dec_hist(spark, sf_dir):
+    """A history per row derived from its values: floor((x + 1) 32) in dim order."""
+    from ..operators.decoding import history_arrays
+
+    E = emb_matrix(spark, sf_dir)
+    gen = E.select(F.col("i").alias("seq_id"), F.col("j").alias("pos"), F.floor((F.col("v") + 1.0) * 32).cast("bigint").alias("token_id"))
+    return history_arrays(gen)
+
+
+def _out(df):
+    from ..operators.matrix import q6
+
+    return df.select("seq_id", "token_id", q6(F.col("p")).alias("p"))
+
+
+DEC_BASE = f"""WITH {O.E_CTE},
+    S AS (SELECT i AS seq_id, j AS token_id, round(e / sum(e) OVER (PARTITION BY i) * 1e9) / 1e9 + 0.0 AS p
+          FROM (SELECT i, j, exp(8.0 * v - max(8.0 * v) OVER (PARTITION BY i)) AS e FROM E)),
+    HA AS (SELECT i AS seq_id, list(floor((v + 1.0) * 32)::BIGINT ORDER BY j) AS hist FROM E GROUP BY i)"""
+
+
+def renorm_sql(x: str, v: str = "64.0") -> str:
+    w = "OVER (PARTITION BY seq_id)"
+    return f"(CASE WHEN sum({x}) {w} = 0 THEN 1.0 / {v} ELSE {x} / sum({x}) {w} END)"
+
+
+def q6s(x: str) -> str:
+    return O.q6(x)
+
+
+PEN_SQL = f"""P1 AS (SELECT seq_id, token_id,
+        CASE WHEN c > 2 THEN greatest(p / pow({PEN}, c - 1), 0.001) ELSE p END AS p
+      FROM (SELECT S.seq_id, token_id, p, len(list_filter(coalesce(hist, []), lambda x: x = token_id)) AS c
+            FROM S LEFT JOIN HA USING (seq_id)))"""
+
+
+@register("normalize_scores", f"{DEC_BASE} SELECT seq_id, token_id, {q6s(renorm_sql('p'))} AS p FROM S")
+def q_normalize_scores(spark, sf_dir):
+    from ..operators.decoding import normalize_scores
+
+    return _out(normalize_scores(dec_scores(spark, sf_dir), vocab_size=DEC_V))
+
+
+@register("repetition_penalty", f"{DEC_BASE}, {PEN_SQL} SELECT seq_id, token_id, {q6s(renorm_sql('p'))} AS p FROM P1")
+def q_repetition_penalty(spark, sf_dir):
+    from ..operators.decoding import repetition_penalty
+
+    return _out(repetition_penalty(dec_scores(spark, sf_dir), dec_hist(spark, sf_dir), PEN, vocab_size=DEC_V))
+
+
+def ngram_sql(src: str, n: int) -> str:
+    blocked = (
+        f"list_transform(list_filter(range(0, len(hist) - {n} + 1), "
+        f"lambda s: hist[s + 1 : s + {n - 1}] = hist[len(hist) - {n} + 2 : len(hist)]), lambda s: hist[s + {n}])"
+    )
+    recent = f"len(list_filter(hist[greatest(len(hist) - {O_RECENT - 1}, 1) : len(hist)], lambda x: x = token_id))"
+    return f"""SELECT seq_id, token_id, p, short,
+          CASE WHEN rc > 0 THEN pp * (1.0 / (1.0 + rc * 0.3)) ELSE pp * 1.3 END AS q FROM (
+        SELECT seq_id, token_id, p, len(hist) < {n} AS short, {recent} AS rc,
+               CASE WHEN list_contains({blocked}, token_id) THEN p * 0.02 ELSE p END AS pp
+        FROM (SELECT {src}.seq_id, token_id, p, coalesce(hist, []) AS hist FROM {src} LEFT JOIN HA USING (seq_id)))"""
+
+
+O_RECENT = 15
+
+
+@register(
+    "ngram_filter",
+    f"""{DEC_BASE}, N1 AS ({ngram_sql('S', NGRAM)})
+    SELECT seq_id, token_id, {q6s(f"CASE WHEN short THEN p ELSE {renorm_sql('q')} END")} AS p FROM N1""",
+)
+def q_ngram_filter(spark, sf_dir):
+    from ..operators.decoding import ngram_filter
+
+    return _out(ngram_filter(dec_scores(spark, sf_dir), dec_hist(spark, sf_dir), NGRAM, vocab_size=DEC_V))
+
+
+TEMP_SQL = f"T1 AS (SELECT seq_id, token_id, {renorm_sql(f'pow(p, {1.0 / TEMP!r})')} AS p FROM S)"
+
+
+@register("temperature", f"{DEC_BASE}, {TEMP_SQL} SELECT seq_id, token_id, {q6s('p')} AS p FROM T1")
+def q_temperature(spark, sf_dir):
+    from ..operators.decoding import temperature
+
+    return _out(temperature(dec_scores(spark, sf_dir), TEMP, vocab_size=DEC_V))
+
+
+def topk_sql(src: str, k: int) -> str:
+    x = f"CASE WHEN row_number() OVER (PARTITION BY seq_id ORDER BY p DESC, token_id) <= {k} THEN p ELSE 0.0 END"
+    return f"SELECT seq_id, token_id, {renorm_sql('x')} AS p FROM (SELECT seq_id, token_id, {x} AS x FROM {src})"
+
+
+def topp_sql(src: str, pt: float) -> str:
+    before = "coalesce(sum(p) OVER (PARTITION BY seq_id ORDER BY p DESC, token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)"
+    return f"SELECT seq_id, token_id, {renorm_sql('x')} AS p FROM (SELECT seq_id, token_id, CASE WHEN {before} < {pt} THEN p ELSE 0.0 END AS x FROM {src})"
+
+
+@register("top_k", f"{DEC_BASE}, K1 AS ({topk_sql('S', TOPK)}) SELECT seq_id, token_id, {q6s('p')} AS p FROM K1")
+def q_top_k(spark, sf_dir):
+    from ..operators.decoding import top_k
+
+    return _out(top_k(dec_scores(spark, sf_dir), TOPK, DEC_V))
+
+
+@register("top_p", f"{DEC_BASE}, K1 AS ({topp_sql('S', TOPP)}) SELECT seq_id, token_id, {q6s('p')} AS p FROM K1")
+def q_top_p(spark, sf_dir):
+    from ..operators.decoding import top_p
+
+    return _out(top_p(dec_scores(spark, sf_dir), TOPP, vocab_size=DEC_V))
+
+
+@register("greedy_pick", f"{DEC_BASE} SELECT seq_id, first(token_id ORDER BY p DESC, token_id) AS token_id FROM S GROUP BY seq_id")
+def q_greedy_pick(spark, sf_dir):
+    from ..operators.decoding import greedy_pick
+
+    return greedy_pick(dec_scores(spark, sf_dir))
+
+
+def hash_sample_sql(src: str, v: int) -> str:
+    return f"""SELECT seq_id, coalesce(min(CASE WHEN cum >= r THEN token_id END), {v - 1})::BIGINT AS token_id FROM (
+      SELECT seq_id, token_id,
+             sum(q) OVER (PARTITION BY seq_id ORDER BY token_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             ((((sum(floor(q * 1000000)) OVER (PARTITION BY seq_id) + {17 * v * (v - 1) // 2})::BIGINT % 4294967296) * 1664525 + 1013904223) % 4294967296) / 4294967296.0 AS r
+      FROM (SELECT seq_id, token_id, round({renorm_sql('p', str(float(v)))} * 1e9) / 1e9 AS q FROM {src}))
+    GROUP BY seq_id"""
+
+
+@register("hash_sample", f"{DEC_BASE} {hash_sample_sql('S', DEC_V)}")
+def q_hash_sample(spark, sf_dir):
+    from ..operators.decoding import hash_sample
+
+    return hash_sample(dec_scores(spark, sf_dir), vocab_size=DEC_V)
+
+
+@register(
+    "sample_next",
+    f"""{DEC_BASE}, {TEMP_SQL}, K1 AS ({topk_sql('T1', TOPK)}), P1 AS ({topp_sql('K1', TOPP)})
+    {hash_sample_sql('P1', DEC_V)}""",
+)
+def q_sample_next(spark, sf_dir):
+    from ..operators.decoding import sample_next
+
+    return sample_next(dec_scores(spark, sf_dir), TEMP, TOPK, TOPP, DEC_V)
+
+
+def _rep_sql(a: str, w: int = 4) -> str:
+    return f"(len({a}) >= {2 * w} AND {a}[len({a}) - {w - 1} : len({a})] = {a}[len({a}) - {2 * w - 1} : len({a}) - {w}])"
+
+
+HIST_BASE = f"WITH {O.E_CTE}, HA AS (SELECT i AS seq_id, list(floor((v + 1.0) * 32)::BIGINT ORDER BY j) AS ids FROM E WHERE j < 8 + i % 57 GROUP BY i)"
+
+
+def hist_seqs(spark, sf_dir):
+    """Histories of varying length (8 + i mod 57 ids) so that the suffix test
+    sees short, long, repeating and non-repeating sequences."""
+    from ..operators.decoding import history_arrays
+
+    E = emb_matrix(spark, sf_dir)
+    gen = E.where(F.col("j") < F.lit(8) + F.col("i") % 57).select(
+        F.col("i").alias("seq_id"), F.col("j").alias("pos"), F.floor((F.col("v") + 1.0) * 32).cast("bigint").alias("token_id")
+    )
+    return history_arrays(gen).withColumnRenamed("hist", "ids")
+
+
+@register("repetitive_suffix", f"{HIST_BASE} SELECT seq_id, {_rep_sql('ids')} AS repetitive FROM HA")
+def q_repetitive_suffix(spark, sf_dir):
+    from ..operators.decoding import repetitive_suffix
+
+    return repetitive_suffix(hist_seqs(spark, sf_dir)).select("seq_id", "repetitive")
+
+
+@register(
+    "stop_flags",
+    f"""{HIST_BASE} SELECT seq_id, rep AS repetitive, len(ids) >= 40 AS too_long, ids[len(ids)] = 3 AS at_eos,
+      rep OR len(ids) >= 40 OR ids[len(ids)] = 3 AS stop FROM (SELECT seq_id, ids, {_rep_sql('ids')} AS rep FROM HA)""",
+)
+def q_stop_flags(spark, sf_dir):
+    from ..operators.decoding import stop_flags
+
+    return stop_flags(hist_seqs(spark, sf_dir), 40).select("seq_id", "repetitive", "too_long", "at_eos", "stop")
