@@ -161,3 +161,99 @@ def random_cells_sql(seed: int, name: str) -> str:
     u = hash_uniform_sql(seed, name, "a.range", "b.range")
     return f"""SELECT a.range::BIGINT AS i, b.range::BIGINT AS j, ({u} * 2.0 - 1.0) AS v
       FROM SH, range(SH.r) a, range(SH.c) b"""
+
+
+# ------------------------------------------------------------------ model (relational)
+def init_params_sql(v_expr: str, d: int, h: int, layers: int, seed: int, max_len: int = 512) -> str:
+    """UNION ALL of every parameter's rows, as init_params builds them."""
+    from ..functions.random import hash_uniform_sql
+
+    def sym(name, r, j):
+        return f"({hash_uniform_sql(seed, name, r, j)} * 2.0 - 1.0)"
+
+    def block(name, rows, cols, kind, lim_rows=None, lim_cols=None):
+        r = "r.range"
+        if kind == "xavier":
+            lim = f"sqrt(6.0 / ({lim_rows or rows} + {lim_cols or cols}))"
+            cell = f"{sym(name, r, 'j')} * {lim}"
+        elif kind == "random":
+            cell = sym(name, r, "j")
+        elif kind == "ones":
+            cell = "1.0"
+        elif kind == "zeros":
+            cell = "0.0"
+        else:
+            angle = f"({r} / pow(10000.0, (j - j % 2) / {float(d)}))"
+            cell = f"CASE WHEN j % 2 = 0 THEN sin({angle}) ELSE cos({angle}) END"
+        n_rows = "(SELECT vs FROM VV)" if rows == v_expr else rows
+        return (
+            f"SELECT '{name}' AS param, {r}::BIGINT AS row_id, "
+            f"list_transform(range({cols}), lambda j: ({cell})::DOUBLE) AS vec FROM range({n_rows}) r, VV"
+        )
+
+    parts = [block("embedding", v_expr, d, "xavier"), block("positional_encoding", max_len, d, "sincos")]
+    for layer in range(layers):
+        p = f"transformer_{layer}"
+        for nm in ("attn_query", "attn_key", "attn_value", "attn_output"):
+            parts.append(block(f"{p}_{nm}", d, d, "xavier"))
+        parts += [
+            block(f"{p}_ff_w1", d, h, "xavier"),
+            block(f"{p}_ff_w2", h, d, "xavier"),
+            block(f"{p}_ff_b1", 1, h, "random"),
+            block(f"{p}_ff_b2", 1, d, "random"),
+            block(f"{p}_ln1_gamma", 1, d, "ones"),
+            block(f"{p}_ln1_beta", 1, d, "zeros"),
+            block(f"{p}_ln2_gamma", 1, d, "ones"),
+            block(f"{p}_ln2_beta", 1, d, "zeros"),
+        ]
+    parts += [
+        block("final_ln_gamma", 1, d, "ones"),
+        block("final_ln_beta", 1, d, "zeros"),
+        block("output_layer", v_expr, d, "xavier", lim_rows=str(d), lim_cols=v_expr),
+    ]
+    return "\n      UNION ALL ".join(parts)
+
+
+def q6_list(col: str) -> str:
+    return f"list_transform({col}, lambda x: round(x * 1e6) / 1e6 + 0.0)"
+
+
+def cells_sql(name: str) -> str:
+    return f"(SELECT row_id AS k, unnest(generate_series(0, len(vec) - 1)) AS j, unnest(vec) AS w FROM PR WHERE param = '{name}')"
+
+
+def vec_sql(name: str) -> str:
+    return f"(SELECT unnest(generate_series(0, len(vec) - 1)) AS k, unnest(vec) AS w FROM PR WHERE param = '{name}' AND row_id = 0)"
+
+
+def matmul_sql(x: str, name: str) -> str:
+    return f"SELECT seq_id, pos, c.j AS k, sum(x * c.w) AS x FROM {x} JOIN {cells_sql(name)} c USING (k) GROUP BY seq_id, pos, c.j"
+
+
+def ln_sql(x: str, gamma: str, beta: str, eps: float) -> str:
+    return f"""SELECT seq_id, pos, k, (x - avg(x) OVER w) / sqrt(var_pop(x) OVER w + {eps}) * g.w + b.w AS x
+        FROM {x} JOIN {vec_sql(gamma)} g USING (k) JOIN {vec_sql(beta)} b USING (k)
+        WINDOW w AS (PARTITION BY seq_id, pos)"""
+
+
+def attention_sql(x: str, layer: int, scale: float) -> str:
+    p = f"transformer_{layer}"
+    return f"""SELECT seq_id, pos, k, x FROM (
+      WITH Q AS ({matmul_sql(x, p + '_attn_query')}),
+           K AS ({matmul_sql(x, p + '_attn_key')}),
+           V AS ({matmul_sql(x, p + '_attn_value')}),
+           S AS (SELECT q.seq_id, q.pos AS i, kk.pos AS t, sum(q.x * kk.x) * {scale!r} AS s
+                 FROM Q q JOIN K kk ON q.seq_id = kk.seq_id AND q.k = kk.k AND kk.pos <= q.pos GROUP BY q.seq_id, q.pos, kk.pos),
+           E AS (SELECT seq_id, i, t, exp(s - max(s) OVER (PARTITION BY seq_id, i)) AS e FROM S),
+           A AS (SELECT seq_id, i, t, e / sum(e) OVER (PARTITION BY seq_id, i) AS a FROM E),
+           O AS (SELECT a.seq_id, a.i AS pos, v.k, sum(a.a * v.x) AS x FROM A a JOIN V v ON a.seq_id = v.seq_id AND a.t = v.pos GROUP BY a.seq_id, a.i, v.k)
+      {matmul_sql('O', p + '_attn_output')})"""
+
+
+def ff_sql(x: str, layer: int) -> str:
+    p = f"transformer_{layer}"
+    gelu = "0.5 * h * (1.0 + tanh(sqrt(2.0 / pi()) * (h + 0.044715 * h * h * h)))"
+    return f"""SELECT seq_id, pos, k, x FROM (
+      WITH H1 AS (SELECT seq_id, pos, m.k, m.x + b.w AS h FROM ({matmul_sql(x, p + '_ff_w1')}) m JOIN {vec_sql(p + '_ff_b1')} b USING (k)),
+           H2 AS (SELECT seq_id, pos, k, {gelu} AS x FROM H1)
+      SELECT seq_id, pos, m.k, m.x + b.w AS x FROM ({matmul_sql('H2', p + '_ff_w2')}) m JOIN {vec_sql(p + '_ff_b2')} b USING (k))"""

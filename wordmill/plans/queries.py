@@ -712,3 +712,202 @@ def q_stop_flags(spark, sf_dir):
     from ..operators.decoding import stop_flags
 
     return stop_flags(hist_seqs(spark, sf_dir), 40).select("seq_id", "repetitive", "too_long", "at_eos", "stop")
+
+
+# ---------------------------------------------------------------- 2.1/2.6 model tables
+MD, MH, ML, MSEED = 16, 32, 1, 42
+
+
+def model_parts(spark, sf_dir):
+    from ..operators.params import ModelShape, init_params
+    from ..session import cut_lineage
+
+    vocab = cut_lineage(doc_vocab(spark, sf_dir))
+    shape = ModelShape(vocab.count(), MD, MH, ML)
+    params = cut_lineage(init_params(spark, shape, MSEED))
+    return vocab, shape, params
+
+
+def _q6vec(df, col="vec"):
+    return df.withColumn(col, F.transform(col, lambda x: F.round(x * 1e6) / 1e6 + 0.0))
+
+
+MODEL_WITH = O.doc_vocab_with(f""", VV AS (SELECT count(*) AS vs FROM vocab), PR AS ({O.init_params_sql('VV.vs', MD, MH, ML, MSEED)})""")
+
+
+@register("init_params", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR")
+def q_init_params(spark, sf_dir):
+    return _q6vec(model_parts(spark, sf_dir)[2])
+
+
+@register("write_params", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR")
+def q_write_params(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.store import write_params
+
+    _, shape, params = model_parts(spark, sf_dir)
+    path = write_params(params, shape, scratch_path(spark, "params"))
+    return _q6vec(spark.read.parquet(f"{path}/weights").select("param", "row_id", "vec"))
+
+
+@register("read_params", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR")
+def q_read_params(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.store import read_params, write_params
+
+    _, shape, params = model_parts(spark, sf_dir)
+    path = write_params(params, shape, scratch_path(spark, "params"))
+    return _q6vec(read_params(spark, path, shape, params))
+
+
+@register(
+    "flatten_matrix",
+    f"{MODEL_WITH} SELECT param, row_id * {MD} + j AS k, round(w * 1e6) / 1e6 + 0.0 AS v FROM (SELECT param, row_id, unnest(generate_series(0, len(vec) - 1)) AS j, unnest(vec) AS w FROM PR WHERE param = 'embedding')",
+)
+def q_flatten_matrix(spark, sf_dir):
+    from ..operators.params import flatten_matrix
+
+    flat = flatten_matrix(model_parts(spark, sf_dir)[2], "embedding", MD)
+    return flat.select("param", F.col("k").cast("bigint"), (F.round(F.col("v") * 1e6) / 1e6 + 0.0).alias("v"))
+
+
+@register("unflatten_matrix", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR WHERE param = 'embedding'")
+def q_unflatten_matrix(spark, sf_dir):
+    from ..operators.params import flatten_matrix, unflatten_matrix
+
+    _, shape, params = model_parts(spark, sf_dir)
+    flat = flatten_matrix(params, "embedding", MD)
+    return _q6vec(unflatten_matrix(flat, "embedding", shape.vocab_size, MD))
+
+
+@register("write_vocab", O.doc_vocab_with(" SELECT * FROM vocab"))
+def q_write_vocab(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.store import write_vocab
+
+    path = write_vocab(doc_vocab(spark, sf_dir), scratch_path(spark, "vocab"))
+    return spark.read.parquet(path)
+
+
+@register("read_vocab", O.doc_vocab_with(" SELECT * FROM vocab"))
+def q_read_vocab(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.store import read_vocab, write_vocab
+
+    path = write_vocab(doc_vocab(spark, sf_dir), scratch_path(spark, "vocab"))
+    return read_vocab(spark, path)
+
+
+# relational layers over every evaluation window of the benchmark texts
+def layer_input(spark, sf_dir):
+    from ..operators.windows import eval_windows
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    w = eval_windows(bench_seqs(spark, sf_dir, vocab))
+    toks = w.select(
+        (F.col("seq_id") * 1000000 + F.col("i")).alias("seq_id"), F.posexplode("input").alias("pos", "token_id")
+    ).withColumn("pos", F.col("pos").cast("bigint"))
+    return toks, shape, params
+
+
+LAYER_WITH = O.doc_vocab_with(
+    f""", VV AS (SELECT count(*) AS vs FROM vocab), PR AS ({O.init_params_sql('VV.vs', MD, MH, ML, MSEED)}),
+    enc AS ({O.encode_cte('benchmark', 'item_id', 'text', frozen=True)}),
+    seqs AS (SELECT item_id AS seq_id, ids FROM enc),
+    WN AS ({O.windows_sql('seqs', 20)}),
+    TK AS (SELECT seq_id * 1000000 + i AS seq_id, unnest(generate_series(0, len(input) - 1))::BIGINT AS pos, unnest(input) AS token_id FROM WN),
+    X0 AS (SELECT seq_id, pos, unnest(generate_series(0, {MD - 1}))::BIGINT AS k,
+                  unnest(coalesce(e.vec, list_transform(range({MD}), lambda z: 0.0))) AS x
+           FROM TK LEFT JOIN (SELECT row_id AS token_id, vec FROM PR WHERE param = 'embedding') e USING (token_id)),
+    PE AS (SELECT p.range::BIGINT AS pos, c.range::BIGINT AS k,
+                  CASE WHEN c.range % 2 = 0 THEN sin(p.range / pow(10000.0, (c.range - c.range % 2) / {float(MD)}))
+                       ELSE cos(p.range / pow(10000.0, (c.range - c.range % 2) / {float(MD)})) END AS pe
+           FROM range(512) p, range({MD}) c),
+    X1 AS (SELECT seq_id, pos, k, x + coalesce(pe, 0.0) AS x FROM X0 LEFT JOIN PE USING (pos, k)),
+    N1 AS ({O.ln_sql('X1', 'transformer_0_ln1_gamma', 'transformer_0_ln1_beta', 1e-6)})"""
+)
+
+
+def _xout(df):
+    return df.select("seq_id", "pos", F.col("k").cast("bigint").alias("k"), (F.round(F.col("x") * 1e6) / 1e6 + 0.0).alias("x"))
+
+
+XOUT = "SELECT seq_id, pos, k, round(x * 1e6) / 1e6 + 0.0 AS x FROM"
+
+
+@register("embed_tokens", f"{LAYER_WITH} {XOUT} X0")
+def q_embed_tokens(spark, sf_dir):
+    from ..operators.layers import embed_tokens
+
+    toks, shape, params = layer_input(spark, sf_dir)
+    return _xout(embed_tokens(toks, params, shape))
+
+
+@register("positional_table", f"{LAYER_WITH} SELECT pos, k, round(pe * 1e6) / 1e6 + 0.0 AS pe FROM PE")
+def q_positional_table(spark, sf_dir):
+    from ..operators.layers import positional_table
+
+    _, shape, params = model_parts(spark, sf_dir)
+    pe = positional_table(spark, shape.max_seq_len, shape.embed_size)
+    return pe.select("pos", "k", (F.round(F.col("pe") * 1e6) / 1e6 + 0.0).alias("pe"))
+
+
+def _x1(spark, sf_dir):
+    from ..operators.layers import add_positions, embed_tokens, positional_table
+
+    toks, shape, params = layer_input(spark, sf_dir)
+    x1 = add_positions(embed_tokens(toks, params, shape), positional_table(spark, shape.max_seq_len, shape.embed_size))
+    return x1, shape, params
+
+
+def _n1(spark, sf_dir):
+    from ..operators.layers import layer_norm_affine, vector_cells
+
+    x1, shape, params = _x1(spark, sf_dir)
+    n1 = layer_norm_affine(x1, vector_cells(params, "transformer_0_ln1_gamma"), vector_cells(params, "transformer_0_ln1_beta"), shape.eps)
+    return n1, shape, params
+
+
+@register("add_positions", f"{LAYER_WITH} {XOUT} X1")
+def q_add_positions(spark, sf_dir):
+    return _xout(_x1(spark, sf_dir)[0])
+
+
+@register("layer_norm_affine", f"{LAYER_WITH} {XOUT} N1")
+def q_layer_norm_affine(spark, sf_dir):
+    return _xout(_n1(spark, sf_dir)[0])
+
+
+_SCALE = 1.0 / (MD // 4) ** 0.5
+
+
+@register("causal_attention", f"{LAYER_WITH}, ATT AS ({O.attention_sql('N1', 0, _SCALE)}) {XOUT} ATT")
+def q_causal_attention(spark, sf_dir):
+    from ..operators.layers import causal_attention
+
+    n1, shape, params = _n1(spark, sf_dir)
+    return _xout(causal_attention(n1, params, 0, shape))
+
+
+@register("feed_forward", f"{LAYER_WITH}, FF AS ({O.ff_sql('N1', 0)}) {XOUT} FF")
+def q_feed_forward(spark, sf_dir):
+    from ..operators.layers import feed_forward
+
+    n1, shape, params = _n1(spark, sf_dir)
+    return _xout(feed_forward(n1, params, 0))
+
+
+@register(
+    "transformer_block",
+    f"""{LAYER_WITH}, ATT AS ({O.attention_sql('N1', 0, _SCALE)}),
+    XA AS (SELECT seq_id, pos, k, a.x + b.x AS x FROM ATT a JOIN X1 b USING (seq_id, pos, k)),
+    N2 AS ({O.ln_sql('XA', 'transformer_0_ln2_gamma', 'transformer_0_ln2_beta', 1e-6)}),
+    FF AS ({O.ff_sql('N2', 0)}),
+    XB AS (SELECT seq_id, pos, k, a.x + b.x AS x FROM FF a JOIN XA b USING (seq_id, pos, k))
+    {XOUT} XB""",
+)
+def q_transformer_block(spark, sf_dir):
+    from ..operators.layers import transformer_block
+
+    x1, shape, params = _x1(spark, sf_dir)
+    return _xout(transformer_block(x1, params, 0, shape))
