@@ -120,11 +120,22 @@ def predict_next(
 
 
 def forward_logits(
-    seqs: DataFrame, params: DataFrame, shape: ModelShape, key: str = "seq_id", ids: str = "ids", model=None
+    seqs: DataFrame,
+    params: DataFrame,
+    shape: ModelShape,
+    key: str = "seq_id",
+    ids: str = "ids",
+    model=None,
+    summary: bool = False,
 ) -> DataFrame:
-    """Full logits for every position: (key, pos, logits ARRAY<DOUBLE> of V).
-    For a bounded set of sequences; scoring jobs use window_loss/predict_next."""
+    """Logits for every position of each sequence.
+
+    ``summary=False``: (key, pos, logits ARRAY<DOUBLE> of V), for a bounded
+    set of sequences.  ``summary=True``: the logits are reduced inside the
+    job to (key, pos, top_token, top_logit, lse), so a whole table can be
+    scored without V numbers per position leaving the task."""
     bw = model or broadcast_model(params, shape)
+    step = chunk_rows(shape.vocab_size)
 
     def run(batches):
         w = bw.value
@@ -134,7 +145,21 @@ def forward_logits(
                 if not seq:
                     continue
                 arr, _ = pad_ids([seq])
-                logits = hidden_states(w, shape, arr)[0] @ w["output_layer"].T
-                yield pd.DataFrame({key: row[key], "pos": np.arange(len(seq)), "logits": list(logits)})
-
-    return seqs.select(key, ids).mapInPandas(run, f"{key} bigint, pos bigint, logits array<double>")
+                h = hidden_states(w, shape, arr)[0]
+                for s in range(0, len(seq), step):
+                    logits = h[s : s + step] @ w["output_layer"].T
+                    pos = np.arange(s, s + len(logits))
+                    if not summary:
+                        yield pd.DataFrame({key: row[key], "pos": pos, "logits": list(logits)})
+                        continue
+                    top = logits.argmax(axis=1)
+                    mx = logits[np.arange(len(logits)), top]
+                    lse = mx + np.log(np.exp(logits - mx[:, None]).sum(axis=1))
+                    yield pd.DataFrame({key: row[key], "pos": pos, "top_token": top.astype(np.int64), "top_logit": mx, "lse": lse})
+
+    schema = (
+        f"{key} bigint, pos bigint, top_token bigint, top_logit double, lse double"
+        if summary
+        else f"{key} bigint, pos bigint, logits array<double>"
+    )
+    return seqs.select(key, ids).mapInPandas(run, schema)

@@ -911,3 +911,270 @@ def q_transformer_block(spark, sf_dir):
 
     x1, shape, params = _x1(spark, sf_dir)
     return _xout(transformer_block(x1, params, 0, shape))
+
+
+# ---------------------------------------------------------------- 2.6 scoring jobs (rows-only checks)
+@register("forward_logits")
+def q_forward_logits(spark, sf_dir):
+    from ..operators.scoring import forward_logits
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    return forward_logits(bench_seqs(spark, sf_dir, vocab), params, shape, summary=True)
+
+
+def user_prompts(spark, sf_dir, vocab):
+    conv = read_table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    keyed = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), "text")
+    return tk.encode_frozen(keyed, vocab, key="seq_id")
+
+
+@register("predict_next")
+def q_predict_next(spark, sf_dir):
+    from ..operators.scoring import predict_next
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    return predict_next(user_prompts(spark, sf_dir, vocab), params, shape, top=40)
+
+
+@register("window_loss")
+def q_window_loss(spark, sf_dir):
+    from ..operators.scoring import window_loss
+    from ..operators.windows import eval_windows
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    return window_loss(eval_windows(bench_seqs(spark, sf_dir, vocab)), params, shape)
+
+
+@register("evaluate")
+def q_evaluate(spark, sf_dir):
+    from ..operators.scoring import evaluate
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    return evaluate(bench_seqs(spark, sf_dir, vocab), params, shape)
+
+
+# ---------------------------------------------------------------- 2.8 training
+def grad_batch(spark, sf_dir):
+    from ..operators.gradients import adam_state
+    from ..operators.windows import sample_windows
+    from ..session import cut_lineage
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    seqs = cut_lineage(doc_seqs(spark, sf_dir, vocab))
+    batch = cut_lineage(sample_windows(seqs, 64, 10, seed=SEED, epoch=0))
+    return vocab, shape, adam_state(params), batch, seqs
+
+
+@register("window_gradients")
+def q_window_gradients(spark, sf_dir):
+    from ..operators.gradients import window_gradients
+    from ..operators.scoring import broadcast_model
+
+    _, shape, state, batch, _ = grad_batch(spark, sf_dir)
+    model = broadcast_model(state.select("param", "row_id", "vec"), shape)
+    return window_gradients(batch, model, shape, "sample_no", training=False)
+
+
+@register("train_batch")
+def q_train_batch(spark, sf_dir):
+    from ..plans.train import TrainingConfig, train_batch
+
+    _, shape, state, batch, _ = grad_batch(spark, sf_dir)
+    new_state, loss, norm = train_batch(state, batch, shape, TrainingConfig(workers=8), 1)
+    changed = new_state.join(state.select("param", "row_id", F.col("vec").alias("_old")), ["param", "row_id"]).where(
+        F.col("vec") != F.col("_old")
+    )
+    return changed.groupBy("param").agg(F.count(F.lit(1)).cast("bigint").alias("rows_changed")).select(
+        "param", "rows_changed", F.lit(loss).alias("loss"), F.lit(norm).alias("grad_norm")
+    )
+
+
+TRAIN_CFG = dict(learning_rate=0.05, batch_size=64, workers=16, seed=SEED)
+
+
+@register("train")
+def q_train(spark, sf_dir):
+    from ..operators.gradients import AdamConfig
+    from ..plans.train import TrainingConfig, train
+
+    _, shape, state, _, seqs = grad_batch(spark, sf_dir)
+    cfg = TrainingConfig(adam=AdamConfig(learning_rate=0.05), **TRAIN_CFG)
+    _, losses, _ = train(state, seqs, shape, cfg, 1)
+    return losses
+
+
+@register("train_from_corpus")
+def q_train_from_corpus(spark, sf_dir):
+    from ..operators.gradients import AdamConfig
+    from ..plans.train import TrainingConfig, train_from_corpus
+    from ..session import scratch_path
+
+    cfg = TrainingConfig(adam=AdamConfig(learning_rate=0.05), **TRAIN_CFG)
+    _, _, _, losses = train_from_corpus(
+        documents(spark, sf_dir), dict(embed_size=MD, hidden_size=MH, num_layers=ML), cfg, 1, scratch_path(spark, "model")
+    )
+    return losses
+
+
+@register("generate_batch")
+def q_generate_batch(spark, sf_dir):
+    from ..plans.generate import CLI_PRESET, GenerationConfig, generate_batch
+
+    vocab, shape, params = model_parts(spark, sf_dir)
+    c = CLI_PRESET
+    cfg = GenerationConfig(3, c.temperature, c.top_k, c.top_p, c.do_sample, c.repetition_penalty, c.no_repeat_ngram)
+    return generate_batch(user_prompts(spark, sf_dir, vocab), params, shape, cfg)
+
+
+# ---------------------------------------------------------------- 2.8 gradient algebra (SQL-checked)
+def emb_hidden(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select(
+        F.col("vec_id").alias("seq_id"), F.col("embedding").cast("array<double>").alias("vec"), F.col("label").cast("bigint").alias("target")
+    )
+
+
+def grads_by(spark, sf_dir, token):
+    from ..operators.gradients import embedding_gradient
+
+    h = emb_hidden(spark, sf_dir)
+    return embedding_gradient(h.select(token.alias("token_id"), "vec"))
+
+
+def _glong(df, cols=("vec",), digits=6):
+    from ..operators.gradients import to_long
+
+    out = to_long(df).select(F.col("row_id").cast("bigint"), F.col("k").cast("bigint"), "g")
+    return out.withColumn("g", F.round(F.col("g") * 10.0**digits) / 10.0**digits + 0.0)
+
+
+EV = """EV AS (SELECT vec_id AS seq_id, embedding::DOUBLE[] AS vec, label::BIGINT AS target FROM embeddings),
+    EL AS (SELECT seq_id, target, unnest(generate_series(0, len(vec) - 1))::BIGINT AS k, unnest(vec) AS x FROM EV)"""
+G1 = "G1 AS (SELECT target AS row_id, k, sum(x) AS g FROM EL GROUP BY target, k)"
+
+
+def gq(x: str, digits: int = 6) -> str:
+    return f"round(({x}) * {10.0 ** digits!r}) / {10.0 ** digits!r} + 0.0"
+
+
+@register(
+    "output_gradient",
+    f"""{DEC_BASE}, {EV}
+    SELECT token_id AS row_id, k, {gq("sum((p - CASE WHEN token_id = target THEN 1.0 ELSE 0.0 END) * x)")} AS g
+    FROM S JOIN EL USING (seq_id) GROUP BY token_id, k""",
+)
+def q_output_gradient(spark, sf_dir):
+    from ..operators.gradients import output_gradient
+
+    return _glong(output_gradient(dec_scores(spark, sf_dir), emb_hidden(spark, sf_dir)))
+
+
+@register("embedding_gradient", f"WITH {EV}, {G1} SELECT row_id, k, {gq('g')} AS g FROM G1")
+def q_embedding_gradient(spark, sf_dir):
+    return _glong(grads_by(spark, sf_dir, F.col("target")))
+
+
+@register(
+    "zero_gradients",
+    f"""WITH {EV}, {G1} SELECT e.seq_id AS row_id, e.k, {gq('coalesce(g.g, 0.0)')} AS g
+    FROM EL e LEFT JOIN G1 g ON g.row_id = e.seq_id AND g.k = e.k""",
+)
+def q_zero_gradients(spark, sf_dir):
+    from ..operators.gradients import zero_gradients
+
+    params = emb_hidden(spark, sf_dir).select(F.lit("embedding").alias("param"), F.col("seq_id").alias("row_id"), "vec")
+    return _glong(zero_gradients(params, grads_by(spark, sf_dir, F.col("target"))))
+
+
+@register(
+    "sum_gradients",
+    f"""WITH {EV}, {G1}, G2 AS (SELECT target % 3 AS row_id, k, sum(x) AS g FROM EL GROUP BY target % 3, k)
+    SELECT row_id, k, {gq('sum(g)')} AS g FROM (SELECT * FROM G1 UNION ALL SELECT * FROM G2) GROUP BY row_id, k""",
+)
+def q_sum_gradients(spark, sf_dir):
+    from ..operators.gradients import sum_gradients
+
+    return _glong(sum_gradients(grads_by(spark, sf_dir, F.col("target")), grads_by(spark, sf_dir, F.col("target") % 3)))
+
+
+@register("scale_gradients", f"WITH {EV}, {G1} SELECT row_id, k, {gq('g * 0.5')} AS g FROM G1")
+def q_scale_gradients(spark, sf_dir):
+    from ..operators.gradients import scale_gradients
+
+    return _glong(scale_gradients(grads_by(spark, sf_dir, F.col("target")), 0.5))
+
+
+@register(
+    "clip_gradients",
+    f"""WITH {EV}, {G1}, NR AS (SELECT sqrt(sum(g * g)) AS norm FROM G1)
+    SELECT row_id, k, {gq('CASE WHEN norm > 1.0 THEN g * (1.0 / norm) ELSE g END')} AS g FROM G1, NR""",
+)
+def q_clip_gradients(spark, sf_dir):
+    from ..operators.gradients import clip_gradients
+
+    clipped, _ = clip_gradients(grads_by(spark, sf_dir, F.col("target")), 1.0)
+    return _glong(clipped)
+
+
+@register("adam_state", f"WITH {EV} SELECT seq_id AS row_id, k, x AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v FROM EL")
+def q_adam_state(spark, sf_dir):
+    from ..operators.gradients import adam_state
+
+    params = emb_hidden(spark, sf_dir).select(F.lit("embedding").alias("param"), F.col("seq_id").alias("row_id"), "vec")
+    st = adam_state(params)
+    return st.select(F.col("row_id").cast("bigint"), F.posexplode(F.arrays_zip("vec", "m", "v")).alias("k", "c")).select(
+        "row_id", F.col("k").cast("bigint"), F.col("c.vec").alias("w"), F.col("c.m").alias("m"), F.col("c.v").alias("v")
+    )
+
+
+def _adam_sql():
+    from ..operators.gradients import AdamConfig, step_size
+
+    c = AdamConfig()
+    lr1 = step_size(c, 1)
+    g = f"(coalesce(G1.g, 0.0) + {c.weight_decay!r} * x)"
+    m = f"({c.beta1!r} * 0.0 + {1 - c.beta1!r} * {g})"
+    v = f"({c.beta2!r} * 0.0 + {1 - c.beta2!r} * {g} * {g})"
+    w = f"greatest(least(x - {lr1!r} * {m} / (sqrt({v}) + {c.epsilon!r}), 10.0), -10.0)"
+    return f"""WITH {EV}, {G1} SELECT e.seq_id AS row_id, e.k, {gq(w)} AS w, {gq(m, 10)} AS m, {gq(v, 10)} AS v
+    FROM EL e LEFT JOIN G1 ON G1.row_id = e.seq_id AND G1.k = e.k"""
+
+
+@register("adam_step", _adam_sql())
+def q_adam_step(spark, sf_dir):
+    from ..operators.gradients import AdamConfig, adam_state, adam_step
+
+    params = emb_hidden(spark, sf_dir).select(F.lit("embedding").alias("param"), F.col("seq_id").alias("row_id"), "vec")
+    new = adam_step(adam_state(params), grads_by(spark, sf_dir, F.col("target")), 1, AdamConfig(), ["embedding"])
+    cells = new.select(F.col("row_id").cast("bigint"), F.posexplode(F.arrays_zip("vec", "m", "v")).alias("k", "c"))
+    r = lambda x, d: F.round(x * 10.0**d) / 10.0**d + 0.0
+    return cells.select("row_id", F.col("k").cast("bigint"), r(F.col("c.vec"), 6).alias("w"), r(F.col("c.m"), 10).alias("m"), r(F.col("c.v"), 10).alias("v"))
+
+
+STEPS_SQL = f"""ST AS (SELECT r.range::BIGINT AS t FROM range((SELECT (ceil(least(sum(len(regexp_extract_all(lower(text), '{O.PAT}')) + 2) // 20, 1000) / 32) + 1)::BIGINT FROM documents)) r)"""
+
+
+def plan_steps(spark, sf_dir):
+    from ..operators.windows import plan_values
+    from ..sources.clean import corpus_stats
+
+    n_tokens = corpus_stats(documents(spark, sf_dir)).first()["n_tokens"]
+    return spark.range(plan_values(n_tokens, 0.001, 64, 8)["n_batches"] + 1).select(F.col("id").alias("t"))
+
+
+@register(
+    "effective_lr",
+    f"WITH {STEPS_SQL} SELECT t, {gq('CASE WHEN t = 0 THEN 0.001 ELSE 0.001 * sqrt(1.0 - pow(0.999, t)) / (1.0 - pow(0.9, t)) END', 12)} AS lr FROM ST",
+)
+def q_effective_lr(spark, sf_dir):
+    from ..operators.gradients import effective_lr
+
+    st = plan_steps(spark, sf_dir)
+    return st.select("t", (F.round(effective_lr(0.001, F.col("t")) * 1e12) / 1e12 + 0.0).alias("lr"))
+
+
+@register("warmup_lr", f"WITH {STEPS_SQL} SELECT t, CASE WHEN t < 10 THEN 0.001::DOUBLE * t / 10.0::DOUBLE ELSE 0.001::DOUBLE END AS lr FROM ST")
+def q_warmup_lr(spark, sf_dir):
+    from ..operators.gradients import warmup_lr
+
+    return plan_steps(spark, sf_dir).select("t", warmup_lr(0.001, F.col("t"), 10).alias("lr"))
