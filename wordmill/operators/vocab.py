@@ -44,16 +44,20 @@ def build_vocab(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def grow_vocab(vocab: DataFrame, tokens: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Add a batch: known tokens keep their rows, new ones get the next ids in
-    order of first occurrence within the batch."""
+    """Add a batch: known tokens keep their ids and first positions and add
+    the batch's occurrences to n; new ones get the next ids in order of first
+    occurrence within the batch."""
     firsts = _firsts(tokens, key)
+    known = vocab.join(firsts.select("token", F.col("n").alias("_bn")), "token", "left").select(
+        "token", "id", (F.col("n") + F.coalesce(F.col("_bn"), F.lit(0))).cast("bigint").alias("n"), "first_doc", "first_pos"
+    )
     new = firsts.join(vocab.select("token"), "token", "left_anti")
     # One scalar reaches the driver: the next free id.
     next_id = vocab.agg(F.max("id")).first()[0]
     next_id = len(SPECIAL_TOKENS) if next_id is None else next_id + 1
     ranked = global_rank(new, ["first_doc", "first_pos"], name="id", start=next_id)
     grown = ranked.select("token", "id", F.col("n").cast("bigint"), "first_doc", "first_pos")
-    return vocab.select("token", "id", "n", "first_doc", "first_pos").unionByName(grown)
+    return known.unionByName(grown)
 
 
 def vocab_size(vocab: DataFrame) -> DataFrame:

@@ -178,7 +178,9 @@ def q_vocab_size(spark, sf_dir):
     O.doc_vocab_with(
         f""", btoks AS ({O.tokens_cte('benchmark', 'item_id')}),
         fresh AS (SELECT * FROM btoks WHERE token NOT IN (SELECT token FROM vocab))
-        SELECT * FROM vocab UNION ALL {O.vocab_cte('fresh', 'item_id', start='(SELECT max(id) FROM vocab)')}"""
+        SELECT v.token, v.id, (v.n + coalesce(b.n, 0))::BIGINT AS n, v.first_doc, v.first_pos
+        FROM vocab v LEFT JOIN (SELECT token, count(*) AS n FROM btoks GROUP BY token) b USING (token)
+        UNION ALL {O.vocab_cte('fresh', 'item_id', start='(SELECT max(id) FROM vocab)')}"""
     ),
 )
 def q_grow_vocab(spark, sf_dir):
@@ -1178,3 +1180,14 @@ def q_warmup_lr(spark, sf_dir):
     from ..operators.gradients import warmup_lr
 
     return plan_steps(spark, sf_dir).select("t", warmup_lr(0.001, F.col("t"), 10).alias("lr"))
+
+
+# ---------------------------------------------------------------- 2.9 streaming
+@register("stream_vocab", O.doc_vocab_with(" SELECT * FROM vocab"))
+def q_stream_vocab(spark, sf_dir):
+    from ..session import scratch_path
+    from ..streaming.vocab_stream import stream_vocab, write_in_order
+
+    base = scratch_path(spark, "stream")
+    write_in_order(documents(spark, sf_dir), f"{base}/source", 4)
+    return stream_vocab(spark, f"{base}/source", f"{base}/vocab", f"{base}/checkpoint")
