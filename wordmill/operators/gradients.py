@@ -120,9 +120,28 @@ def from_long(long: DataFrame, value: str = "g") -> DataFrame:
     )
 
 
+def add_vectors(col: str = "vec") -> Column:
+    """Element-wise sum of the vectors of a group.  Gradient producers emit at
+    most one row per (param, row_id) per partition, so a group holds at most
+    one vector per producing partition, never one per window."""
+    lists = F.collect_list(col)
+    first = F.element_at(lists, 1)
+    zeros = F.transform(first, lambda x: F.lit(0.0))
+    return F.aggregate(lists, zeros, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
+
+
 def sum_gradients(*grads: DataFrame) -> DataFrame:
-    """Add gradient tables: partial sums map-side, then one shuffle on
-    (param, row_id, k)."""
+    """Add gradient tables: one shuffle on (param, row_id), vectors summed
+    element-wise (rows of different lengths are an error of the caller)."""
+    u = grads[0]
+    for g in grads[1:]:
+        u = u.unionByName(g)
+    return u.groupBy("param", "row_id").agg(add_vectors("vec").alias("vec"))
+
+
+def sum_gradients_long(*grads: DataFrame) -> DataFrame:
+    """Same through the long form (param, row_id, k): fully partial
+    aggregation, for gradient tables with many rows per key."""
     u = grads[0]
     for g in grads[1:]:
         u = u.unionByName(g)

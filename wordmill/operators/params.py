@@ -138,9 +138,11 @@ def collect_weights(params: DataFrame, shape: ModelShape) -> dict[str, np.ndarra
         if name not in out:
             continue
         m = out[name]
-        for rid, vec in zip(grp["row_id"].to_numpy(), grp["vec"]):
-            if 0 <= rid < m.shape[0] and vec is not None and len(vec) == m.shape[1]:
-                m[int(rid)] = np.asarray(vec, dtype=np.float64)
+        rid = grp["row_id"].to_numpy()
+        vecs = grp["vec"].to_numpy()
+        ok = (rid >= 0) & (rid < m.shape[0]) & np.array([v is not None and len(v) == m.shape[1] for v in vecs], dtype=bool)
+        if ok.any():
+            m[rid[ok].astype(np.int64)] = np.stack(vecs[ok]).astype(np.float64)
     return out
 
 

@@ -55,9 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise ``df`` in the shared checkpoint folder."""
+    """Reliable checkpoint: materialise ``df`` in the shared checkpoint folder.
+
+    The plan is persisted first so that it runs once: an eager checkpoint
+    otherwise computes it for the count and again for the checkpoint write.
+    The cache is dropped once the files exist; a lost executor then costs
+    nothing, since readers use the checkpoint files."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
