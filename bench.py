@@ -24,7 +24,7 @@ HEADLINE = [
     "matrix_multiply",
     "row_softmax",
     "sample_next",
-    "causal_attention",
+    "forward_logits",
     "window_loss",
     "evaluate",
     "train_batch",

@@ -21,6 +21,7 @@ from ..functions.random import hash_symmetric
 from ._util import BROADCAST_ROWS
 
 PARAMS_SCHEMA = "param string, row_id bigint, vec array<double>"
+SMALL_PARAM_CELLS = 1 << 16  # parameters below this many cells are built in one task
 
 
 @dataclass(frozen=True)
@@ -100,7 +101,8 @@ def init_params(spark: SparkSession, shape: ModelShape, seed: int = 0) -> DataFr
             r, c = shape.embed_size, shape.vocab_size  # Xavier limit of the D x V matrix
         row = F.col("id")
         vec = F.transform(F.sequence(F.lit(0), F.lit(cols - 1)), _cell_fn(kind, seed, name, r, c, row, shape.embed_size))
-        frames.append(spark.range(rows).select(F.lit(name).alias("param"), F.col("id").alias("row_id"), vec.alias("vec")))
+        parts = None if rows * cols > SMALL_PARAM_CELLS else 1
+        frames.append(spark.range(0, rows, 1, parts).select(F.lit(name).alias("param"), F.col("id").alias("row_id"), vec.alias("vec")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

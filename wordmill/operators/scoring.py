@@ -22,6 +22,14 @@ from .windows import eval_windows
 LOSS_EPS = 1e-10  # fixed value: added to p before the log
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster's cores: scoring cost is compute per
+    row, so a small table (that AQE would pack into one partition) must
+    still use every core."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    return df.repartition(n)
+
+
 def broadcast_model(params: DataFrame, shape: ModelShape):
     ship_package(params.sparkSession)
     w = collect_weights(params, shape)
@@ -59,7 +67,7 @@ def window_loss(
                 yield pd.DataFrame({key: sub[key].to_numpy(), "i": sub["i"].to_numpy(), "target": tgt, "p": p, "loss": loss})
 
     schema = f"{key} bigint, i bigint, target bigint, p double, loss double"
-    return windows.select(key, "i", "input", "target").mapInPandas(run, schema)
+    return spread(windows.select(key, "i", "input", "target")).mapInPandas(run, schema)
 
 
 def evaluate(seqs: DataFrame, params: DataFrame, shape: ModelShape, key: str = "seq_id", model=None) -> DataFrame:
@@ -116,7 +124,7 @@ def predict_next(
                         tok = np.union1d(seen, best)
                     yield pd.DataFrame({key: np.full(len(tok), keys[b]), "token_id": tok.astype(np.int64), "p": pb[tok]})
 
-    return seqs.select(key, ids).mapInPandas(run, f"{key} bigint, token_id bigint, p double")
+    return spread(seqs.select(key, ids)).mapInPandas(run, f"{key} bigint, token_id bigint, p double")
 
 
 def forward_logits(
@@ -162,4 +170,4 @@ def forward_logits(
         if summary
         else f"{key} bigint, pos bigint, logits array<double>"
     )
-    return seqs.select(key, ids).mapInPandas(run, schema)
+    return spread(seqs.select(key, ids)).mapInPandas(run, schema)

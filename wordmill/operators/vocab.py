@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import SPECIAL_TOKENS
+from ..session import cut_lineage
 from ._util import global_rank
 
 VOCAB_SCHEMA = "token string, id bigint, n bigint, first_doc bigint, first_pos bigint"
@@ -21,9 +22,32 @@ def special_tokens(spark: SparkSession) -> DataFrame:
     )
 
 
+PACK_SHIFT = 32  # first occurrence packed as key * 2^32 + pos when 0 <= key < 2^31
+
+
 def _firsts(tokens: DataFrame, key: str) -> DataFrame:
-    # Partial aggregation runs map-side, so a hot token (say ",") shuffles one
-    # row per partition, not one per occurrence.
+    """(token, n, first_doc, first_pos), checkpointed.
+
+    The first occurrence is a plain min over (key, pos) packed into one
+    BIGINT, so the aggregate is a hash aggregate with partial sums map-side
+    (a hot token such as "," shuffles one row per partition); the key range
+    rides along in the same pass and is checked on the vocabulary-sized
+    result.  Keys outside [0, 2^31) take the struct-min path instead."""
+    packed = F.shiftleft(F.col(key).cast("bigint"), PACK_SHIFT) + F.col("pos").cast("bigint")
+    agg = cut_lineage(
+        tokens.groupBy("token").agg(
+            F.min(packed).alias("_first"),
+            F.count(F.lit(1)).alias("n"),
+            F.min(key).alias("_kmin"),
+            F.max(key).alias("_kmax"),
+        )
+    )
+    lo, hi = agg.agg(F.min("_kmin"), F.max("_kmax")).first()
+    if lo is None or (lo >= 0 and hi < 2**31):
+        first_doc = F.shiftright(F.col("_first"), PACK_SHIFT)
+        return agg.select(
+            "token", "n", first_doc.alias("first_doc"), (F.col("_first") - F.shiftleft(first_doc, PACK_SHIFT)).alias("first_pos")
+        )
     return tokens.groupBy("token").agg(
         F.min(F.struct(F.col(key).alias("d"), F.col("pos").alias("p"))).alias("first"),
         F.count(F.lit(1)).alias("n"),

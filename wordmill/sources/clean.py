@@ -16,6 +16,8 @@ HTML_DROP_BLOCKS = [
     "(?is)<style\\b.*?</style\\s*>",
     "(?is)<nav\\b.*?</nav\\s*>",
     "(?s)<!--.*?-->",
+    "(?is)<ref[^>]*/>",
+    "(?is)<ref[^>]*>.*?</ref\\s*>",
 ]
 HTML_BREAKS = "(?i)</(p|div|h[1-6]|li|ul|ol|tr|table|article|section|header|footer|title|blockquote|pre)\\s*>|<br\\s*/?>"
 HTML_TAG = "(?s)<[^>]*>"
