@@ -74,6 +74,12 @@ def layer_norm_affine(x: DataFrame, gamma: DataFrame, beta: DataFrame, eps: floa
 def causal_attention(x: DataFrame, params: DataFrame, layer: int, shape: ModelShape) -> DataFrame:
     """Single-head causal attention with the 4-head scale, as the reference
     computes it: softmax(Q K^T / sqrt(D/heads), t <= i) V W_out."""
+    longest = x.agg(F.max("pos")).first()[0]
+    if longest is not None and longest >= shape.max_seq_len:
+        raise ValueError(
+            f"relational attention pairs every position with its predecessors; sequences are limited to "
+            f"{shape.max_seq_len} positions here (use the scoring kernel for longer ones)"
+        )
     p = f"transformer_{layer}"
     q = matmul(x, weight_cells(params, f"{p}_attn_query")).select("seq_id", F.col("pos").alias("i"), "k", F.col("x").alias("q"))
     kk = matmul(x, weight_cells(params, f"{p}_attn_key")).select("seq_id", F.col("pos").alias("t"), "k", F.col("x").alias("kv"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import hash_uniform
-from ._util import global_prefix_sum
+from ._util import BROADCAST_ROWS, global_prefix_sum
 
 EVAL_WINDOW = 20
 
@@ -65,10 +65,13 @@ def sample_windows(
         key, "off", "cnt",
         F.explode(F.sequence(F.floor(F.col("off") / width), F.floor((F.col("off") + F.col("cnt") - 1) / width))).alias("b"),
     )
-    hits = spans.join(F.broadcast(draws.withColumn("b", F.floor(F.col("g") / width))), "b").where(
+    keyed = draws.withColumn("b", F.floor(F.col("g") / width))
+    # k draws per epoch (the reference caps it at 1000): broadcast under the row bound
+    keyed = F.broadcast(keyed) if k <= BROADCAST_ROWS else keyed
+    hits = spans.join(keyed, "b").where(
         (F.col("g") >= F.col("off")) & (F.col("g") < F.col("off") + F.col("cnt"))
     ).select("sample_no", key, (F.col("g") - F.col("off")).alias("i"))
-    picked = seqs.select(key, ids).join(F.broadcast(hits), key)
+    picked = seqs.select(key, ids).join(F.broadcast(hits) if k <= BROADCAST_ROWS else hits, key)
     return picked.select(
         "sample_no", key, "i",
         window_input(F.col(ids), F.col("i"), max_len).alias("input"),

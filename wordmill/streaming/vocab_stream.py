@@ -13,32 +13,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from ..operators.tokens import explode_tokens
-from ..operators.vocab import build_vocab, grow_vocab
+from ..operators.vocab import VOCAB_SCHEMA, build_vocab, grow_vocab
 from ..session import cut_lineage
 
 VERSION_COL = "batch"
 
 
-def _versions(spark: SparkSession, vocab_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(vocab_dir)
-    except AnalysisException:
-        return None
+def _version_ids(spark: SparkSession, vocab_dir: str) -> list[int]:
+    """Batch ids with a written version: a listing of folder names."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(vocab_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{VERSION_COL}="):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
 
 
 def latest_vocab(spark: SparkSession, vocab_dir: str, before: int | None = None) -> DataFrame | None:
-    """The newest version (optionally the newest older than ``before``)."""
-    allv = _versions(spark, vocab_dir)
-    if allv is None:
-        return None
-    cand = allv if before is None else allv.where(F.col(VERSION_COL) < before)
-    last = cand.agg(F.max(VERSION_COL)).first()[0]
-    if last is None:
+    """The newest complete version (optionally the newest older than ``before``)."""
+    ids = [b for b in _version_ids(spark, vocab_dir) if before is None or b < before]
+    if not ids:
         return None
-    return cand.where(F.col(VERSION_COL) == last).drop(VERSION_COL)
+    return spark.read.schema(VOCAB_SCHEMA).parquet(f"{vocab_dir}/{VERSION_COL}={ids[-1]}")
 
 
 def vocab_batch_writer(vocab_dir: str, key: str = "doc_id", text: str = "text"):
@@ -86,7 +90,7 @@ def stream_vocab(
 def write_in_order(docs: DataFrame, out_dir: str, chunks: int, key: str = "doc_id") -> list[str]:
     """Land a table as ``chunks`` files in key order, one write after the
     other, so a file stream picks them up oldest first (tests, replays)."""
-    bounds = docs.approxQuantile(key, [i / chunks for i in range(1, chunks)], 0.0) if chunks > 1 else []
+    bounds = docs.approxQuantile(key, [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
     edges = [None] + bounds + [None]
     paths = []
     for i in range(chunks):
