@@ -111,3 +111,14 @@ def test_global_rank_matches_row_number(spark):
 def test_token_counts(spark):
     out = vc.token_counts(seqs_df(spark, [[5, 5, 6]]))
     assert {r["token_id"]: r["count"] for r in out.collect()} == {5: 2, 6: 1}
+
+
+def test_encode_shuffles_text_once(spark):
+    docs = docs_df(spark, ["hello world", "more words here", "hello again"])
+    from wordmill.session import cut_lineage
+
+    vocab = cut_lineage(vocab_of(spark, ["hello world", "more words here", "hello again"]))
+    plan = tk.encode(docs, vocab)._jdf.queryExecution().executedPlan().toString()
+    # one hash exchange of the text by key; the lookup is a broadcast and the
+    # regrouping reuses the partitioning
+    assert plan.count("Exchange hashpartitioning") == 1
