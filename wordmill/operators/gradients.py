@@ -66,7 +66,8 @@ def window_gradients(
         out_g = np.zeros((V, D))
         emb_g: dict[int, np.ndarray] = {}
         loss_sum, n = 0.0, 0
-        for pdf in batches:
+        for rb in batches:
+            pdf = rb.to_pandas()
             seqs = [list(x) if x is not None else [] for x in pdf["input"]]
             tgts = pdf["target"].to_numpy()
             keys = pdf[key].to_numpy()
@@ -99,13 +100,25 @@ def window_gradients(
         if n == 0:
             return
         rows = np.nonzero(np.any(out_g != 0.0, axis=1))[0]
-        yield pd.DataFrame({"param": "output_layer", "row_id": rows.astype(np.int64), "vec": list(out_g[rows])})
+        yield _grad_batch("output_layer", rows, out_g[rows])
         if emb_g:
             ids_ = np.fromiter(emb_g.keys(), dtype=np.int64)
-            yield pd.DataFrame({"param": "embedding", "row_id": ids_, "vec": [emb_g[int(i)] for i in ids_]})
-        yield pd.DataFrame({"param": [LOSS_PARAM], "row_id": [0], "vec": [np.array([loss_sum, float(n)])]})
+            yield _grad_batch("embedding", ids_, np.stack([emb_g[int(i)] for i in ids_]))
+        yield _grad_batch(LOSS_PARAM, np.array([0]), np.array([[loss_sum, float(n)]]))
 
-    return windows.select(key, "input", "target").mapInPandas(run, GRADS_SCHEMA)
+    return windows.select(key, "input", "target").mapInArrow(run, GRADS_SCHEMA)
+
+
+def _grad_batch(name: str, row_ids: np.ndarray, vecs: np.ndarray):
+    """Arrow batch (param, row_id, vec) built from one flat buffer."""
+    import pyarrow as pa
+
+    k, d = vecs.shape
+    offsets = pa.array(np.arange(0, (k + 1) * d, d, dtype=np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([name] * k, pa.string()), pa.array(row_ids.astype(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(vecs.reshape(-1)))],
+        names=["param", "row_id", "vec"],
+    )
 
 
 def to_long(grads: DataFrame) -> DataFrame:
@@ -216,25 +229,27 @@ def adam_step(state: DataFrame, grads: DataFrame, t: int, cfg: AdamConfig, names
     zeros = F.array_repeat(F.lit(0.0), F.size("vec"))
     gz = F.coalesce(F.col("_g"), zeros)
 
-    def cell(s):
-        w, m, v, gr = s["w"], s["m"], s["v"], s["g"]
+    def cell(i):
+        w, m, v, gr = F.get("_w", i), F.get("_m", i), F.get("_v", i), F.get("_gz", i)
         if cfg.weight_decay > 0:
             gr = gr + F.lit(cfg.weight_decay) * w
         m2 = F.lit(cfg.beta1) * m + F.lit(1 - cfg.beta1) * gr
         v2 = F.lit(cfg.beta2) * v + F.lit(1 - cfg.beta2) * gr * gr
         w2 = w - F.lit(lr_t) * m2 / (F.sqrt(v2) + F.lit(cfg.epsilon))
-        w2 = F.greatest(F.least(w2, F.lit(cfg.clamp)), F.lit(-cfg.clamp))
-        return F.struct(w2.alias("w"), m2.alias("m"), v2.alias("v"))
+        return F.greatest(F.least(w2, F.lit(cfg.clamp)), F.lit(-cfg.clamp)), m2, v2
 
-    zipped = F.arrays_zip(F.col("vec").alias("w"), F.col("m").alias("m"), F.col("v").alias("v"), gz.alias("g"))
-    upd = joined.withColumn("_u", F.transform(zipped, cell))
-    hit = F.col("param").isin(*names)
+    # inputs renamed so that no output alias can shadow them inside the lambdas
+    upd = joined.select(
+        "param", "row_id", F.col("vec").alias("_w"), F.col("m").alias("_m"), F.col("v").alias("_v"), gz.alias("_gz")
+    )
+    idx = F.sequence(F.lit(0), F.size("_w") - 1)
+    hit = F.col("param").isin(*names) & (F.size("_w") > 0)
     return upd.select(
         "param",
         "row_id",
-        F.when(hit, F.transform("_u", lambda s: s["w"])).otherwise(F.col("vec")).alias("vec"),
-        F.when(hit, F.transform("_u", lambda s: s["m"])).otherwise(F.col("m")).alias("m"),
-        F.when(hit, F.transform("_u", lambda s: s["v"])).otherwise(F.col("v")).alias("v"),
+        F.when(hit, F.transform(idx, lambda i: cell(i)[0])).otherwise(F.col("_w")).alias("vec"),
+        F.when(hit, F.transform(idx, lambda i: cell(i)[1])).otherwise(F.col("_m")).alias("m"),
+        F.when(hit, F.transform(idx, lambda i: cell(i)[2])).otherwise(F.col("_v")).alias("v"),
     )
 
 

@@ -135,16 +135,22 @@ def collect_weights(params: DataFrame, shape: ModelShape) -> dict[str, np.ndarra
             f"model has {cells} cells, above the broadcast bound {MAX_BROADCAST_CELLS}; cap the vocabulary"
         )
     out = {name: np.zeros((rows, cols)) for name, rows, cols, _ in param_specs(shape)}
-    pdf = params.select("param", "row_id", "vec").toPandas()
-    for name, grp in pdf.groupby("param"):
+    tbl = params.select("param", "row_id", "vec").toArrow()
+    names = np.asarray(tbl.column("param").to_pylist(), dtype=object)
+    rid = tbl.column("row_id").to_numpy()
+    vec = tbl.column("vec").combine_chunks()
+    offsets = vec.offsets.to_numpy()
+    lens = np.diff(offsets)
+    flat = vec.values.to_numpy(zero_copy_only=False)
+    for name in np.unique(names):
         if name not in out:
             continue
         m = out[name]
-        rid = grp["row_id"].to_numpy()
-        vecs = grp["vec"].to_numpy()
-        ok = (rid >= 0) & (rid < m.shape[0]) & np.array([v is not None and len(v) == m.shape[1] for v in vecs], dtype=bool)
-        if ok.any():
-            m[rid[ok].astype(np.int64)] = np.stack(vecs[ok]).astype(np.float64)
+        r, c = m.shape
+        idx = np.nonzero(names == name)[0]
+        ok = idx[(lens[idx] == c) & (rid[idx] >= 0) & (rid[idx] < r) & ~np.asarray(vec.is_null().to_numpy(zero_copy_only=False))[idx]]
+        if len(ok):
+            m[rid[ok]] = flat[offsets[ok][:, None] + np.arange(c)[None, :]]
     return out
 
 
