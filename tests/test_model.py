@@ -136,3 +136,24 @@ def test_relational_block_matches_kernel(spark, model):
         for p in range(len(seq)):
             for k in range(8):
                 assert got[(s, p, k)] == pytest.approx(h[p, k], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("cfg", [(0.8, 5, 0.9, True), (1.0, 3, 0.5, True), (1.3, 7, 0.95, True), (1.0, 0, 0.0, False)])
+def test_pruned_candidates_pick_the_same_token(spark, model, cfg):
+    """Seen tokens plus the k best others give the same next token as all V rows."""
+    from wordmill.operators import decoding as dc
+
+    params, _ = model
+    temp, k, top_p, sample = cfg
+    V = SHAPE.vocab_size
+    prompts = seqs_df(spark, SEQS + [[2, 5, 5, 5, 5, 7, 7, 7, 3], [2, 8, 9, 8, 9, 8, 9, 3]])
+    hist = prompts.select("seq_id", F.col("ids").alias("hist"))
+
+    def pick(top):
+        c = predict_next(prompts, params, SHAPE, top=top)
+        c = dc.repetition_penalty(c, hist, 1.2, vocab_size=V)
+        c = dc.ngram_filter(c, hist, 3, vocab_size=V)
+        out = dc.sample_next(c, temp, k, top_p, V) if sample else dc.greedy_pick(c)
+        return {r["seq_id"]: r["token_id"] for r in out.collect()}
+
+    assert pick(k if sample else 1) == pick(None)
