@@ -122,3 +122,18 @@ def test_encode_shuffles_text_once(spark):
     # one hash exchange of the text by key; the lookup is a broadcast and the
     # regrouping reuses the partitioning
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_build_vocab_partition_independent(spark):
+    texts = ["the cat sat on the mat", "a dog ran", "the end, the cat!", "", "more cats and dogs"] * 7
+    docs = docs_df(spark, texts)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = key(vc.build_vocab(tk.explode_tokens(docs.repartition(1))))
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        many = key(vc.build_vocab(tk.explode_tokens(docs.repartition(13))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert one == many
