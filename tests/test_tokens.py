@@ -137,3 +137,10 @@ def test_build_vocab_partition_independent(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert one == many
+
+
+def test_build_vocab_wide_keys_take_the_struct_path(spark):
+    texts = [(-5, "b a"), (2**40, "a c"), (7, "c d b")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    v = {r["token"]: (r["id"], r["n"], r["first_doc"], r["first_pos"]) for r in vc.build_vocab(tk.explode_tokens(docs)).collect()}
+    assert v["b"] == (4, 2, -5, 0) and v["a"] == (5, 2, -5, 1) and v["c"] == (6, 2, 7, 0) and v["d"] == (7, 1, 7, 1)
