@@ -76,11 +76,15 @@ def ids_to_tokens(ids_long: DataFrame, vocab: DataFrame, id_col: str = "token_id
     ).drop("_tok")
 
 
-def decode(seqs: DataFrame, vocab: DataFrame, key: str = "seq_id", ids: str = "ids", out: str = "text") -> DataFrame:
+def decode(
+    seqs: DataFrame, vocab: DataFrame, key: str = "seq_id", ids: str = "ids", out: str = "text", partitioned: bool = False
+) -> DataFrame:
     """ids -> text.  BOS, EOS and PAD are skipped, unknown ids read <UNK>;
     words are joined by one space except before punctuation and before the
-    first kept word."""
-    parts = seqs.select(key, ids).repartition(key).select(
+    first kept word.  ``partitioned=True`` when the input is already
+    hash-partitioned by the key (the output of ``encode``): no shuffle then."""
+    src = seqs.select(key, ids)
+    parts = (src if partitioned else src.repartition(key)).select(
         key, F.posexplode_outer(F.col(ids)).alias("pos", "token_id")
     )
     lookup = bounded_broadcast(vocab.select(F.col("id").alias("token_id"), F.col("token").alias("_tok")))
@@ -110,7 +114,7 @@ def roundtrip_check(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text:
     text with the flag ``same``.  Both sides are normalised the same way, so
     a mismatch means the ids lost or reordered a word."""
     enc = encode_frozen(df, vocab, key, text)
-    dec = decode(enc.withColumnRenamed(key, "seq_id"), vocab, "seq_id", "ids", "decoded").withColumnRenamed("seq_id", key)
+    dec = decode(enc.withColumnRenamed(key, "seq_id"), vocab, "seq_id", "ids", "decoded", partitioned=True).withColumnRenamed("seq_id", key)
     words = split_words_expr(F.col(text))
     expected = F.array_join(
         F.transform(

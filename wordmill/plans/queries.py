@@ -123,7 +123,7 @@ def q_ids_to_tokens(spark, sf_dir):
 def q_decode(spark, sf_dir):
     vocab = doc_vocab(spark, sf_dir)
     enc = tk.encode(documents(spark, sf_dir), vocab).withColumnRenamed("doc_id", "seq_id")
-    return tk.decode(enc, vocab)
+    return tk.decode(enc, vocab, partitioned=True)
 
 
 @register(
