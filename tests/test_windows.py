@@ -51,3 +51,11 @@ def test_batches(spark):
     assert [r["worker"] for r in out if r["batch"] == 2] == [0, 1, 2, 3, 3, 3]
     b = wn.assign_batches(s, 32).orderBy("sample_no").collect()
     assert b[64]["batch"] == 2
+
+
+def test_chunked_windows_equal_narrow(spark):
+    seqs = seqs_df(spark, [list(range(n)) for n in [0, 1, 2, 3, 7, 30, 101]])
+    key = lambda df: sorted((r["seq_id"], r["i"], tuple(r["input"]), r["target"]) for r in df.collect())
+    narrow = key(wn.next_token_windows(seqs, 4))
+    for c in (1, 3, 16, 1000):
+        assert key(wn.next_token_windows(seqs, 4, chunk=c)) == narrow

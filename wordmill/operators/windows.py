@@ -24,8 +24,18 @@ def window_input(ids, i, max_len: int):
     return F.slice(ids, (i + 2 - n).cast("int"), n.cast("int"))
 
 
-def next_token_windows(seqs: DataFrame, max_len: int, key: str = "seq_id", ids: str = "ids") -> DataFrame:
-    """(key, i, input, target) for i in 0..n-2; sequences under 2 ids give none."""
+def next_token_windows(
+    seqs: DataFrame, max_len: int, key: str = "seq_id", ids: str = "ids", chunk: int | None = None
+) -> DataFrame:
+    """(key, i, input, target) for i in 0..n-2; sequences under 2 ids give none.
+
+    Default: a narrow explode, no shuffle.  ``chunk=C`` is the skew-safe
+    form for corpora where one sequence may hold a large share of all ids:
+    each sequence is cut into pieces of C windows (plus the L-1 ids of
+    context before them), the pieces are spread round-robin, and windows are
+    exploded there, so a huge document is windowed by many tasks."""
+    if chunk:
+        return _chunked_windows(seqs, max_len, key, ids, chunk)
     size = F.size(ids)
     idx = F.when(size >= 2, F.sequence(F.lit(0), size - 2)).otherwise(F.array().cast("array<int>"))
     exploded = seqs.select(key, ids, F.explode(idx).alias("i"))
@@ -37,6 +47,31 @@ def next_token_windows(seqs: DataFrame, max_len: int, key: str = "seq_id", ids:
     )
 
 
+def _chunked_windows(seqs: DataFrame, max_len: int, key: str, ids: str, chunk: int) -> DataFrame:
+    n_win = F.greatest(F.size(ids) - 1, F.lit(0))
+    n_chunks = F.ceil(n_win / F.lit(chunk)).cast("int")
+    parts = seqs.select(
+        key, ids, n_win.alias("_nw"),
+        F.explode(F.when(n_chunks > 0, F.sequence(F.lit(0), n_chunks - 1)).otherwise(F.array().cast("array<int>"))).alias("_c"),
+    )
+    first = F.col("_c") * chunk
+    last = F.least(first + chunk, F.col("_nw")) - 1
+    base = F.greatest(first - (max_len - 1), F.lit(0))
+    pieces = parts.select(
+        key, F.col("_c"), base.alias("_base"), first.alias("_first"), last.alias("_last"),
+        F.slice(F.col(ids), (base + 1).cast("int"), (last + 2 - base).cast("int")).alias("_piece"),
+    )
+    spread = pieces.repartition(max(seqs.sparkSession.sparkContext.defaultParallelism, 1))
+    local = spread.select(key, "_base", "_piece", F.explode(F.sequence(F.col("_first"), F.col("_last"))).alias("i"))
+    li = F.col("i") - F.col("_base")
+    return local.select(
+        key,
+        F.col("i").cast("bigint").alias("i"),
+        window_input(F.col("_piece"), li, max_len).alias("input"),
+        F.get(F.col("_piece"), li + 1).alias("target"),
+    )
+
+
 def eval_windows(seqs: DataFrame, key: str = "seq_id", ids: str = "ids") -> DataFrame:
     return next_token_windows(seqs, EVAL_WINDOW, key, ids)
 
