@@ -157,3 +157,21 @@ def test_pruned_candidates_pick_the_same_token(spark, model, cfg):
         return {r["seq_id"]: r["token_id"] for r in out.collect()}
 
     assert pick(k if sample else 1) == pick(None)
+
+
+def test_generate_batch_contract(spark, model):
+    from wordmill.operators.decoding import repetitive_expr
+    from wordmill.plans.generate import GenerationConfig, generate_batch
+
+    params, _ = model
+    prompts = seqs_df(spark, SEQS)
+    for cfg in (GenerationConfig(4, 0.8, 5, 0.9, True, 1.2, 3), GenerationConfig(4, 1.0, 0, 0.0, False, 0.0, 0)):
+        out = generate_batch(prompts, params, SHAPE, cfg)
+        rows = {r["seq_id"]: r for r in out.withColumn("rep", repetitive_expr(F.col("ids"))).collect()}
+        assert set(rows) == set(range(len(SEQS)))
+        for sid, r in rows.items():
+            ids, n_new = r["ids"], r["n_new"]
+            assert ids[: len(SEQS[sid])] == SEQS[sid] and len(ids) == len(SEQS[sid]) + n_new
+            assert 1 <= n_new <= 4
+            if n_new < 4:  # stopped early: EOS or a repeating suffix
+                assert ids[-1] == 3 or r["rep"]
