@@ -48,3 +48,19 @@ def test_entry_contract(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 90
     assert os.path.isdir(SF)
+
+
+def test_stream_batch_replay_is_idempotent(spark):
+    from wordmill.streaming.vocab_stream import latest_vocab, vocab_batch_writer
+
+    texts = ["the cat sat", "the dog ran far", "a cat and a dog", "far far away"]
+    docs = docs_df(spark, texts)
+    d = tempfile.mkdtemp(prefix="wm-replay-") + "/vocab"
+    write = vocab_batch_writer(d)
+    b0, b1 = docs.where("doc_id < 2"), docs.where("doc_id >= 2")
+    write(b0, 0)
+    write(b1, 1)
+    write(b1, 1)  # a replayed micro-batch recomputes from version 0 and overwrites version 1
+    write(b0, 0)  # replaying an older batch rewrites its own version only
+    key = lambda df: sorted(tuple(r) for r in df.select("token", "id", "n", "first_doc", "first_pos").collect())
+    assert key(latest_vocab(spark, d)) == key(vc.build_vocab(tk.explode_tokens(docs)))
