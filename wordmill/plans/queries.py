@@ -726,7 +726,8 @@ def model_parts(spark, sf_dir):
 
     vocab = cut_lineage(doc_vocab(spark, sf_dir))
     shape = ModelShape(vocab.count(), MD, MH, ML)
-    params = cut_lineage(init_params(spark, shape, MSEED))
+    # fresh weights are a pure function of (seed, name, row, column): no lineage to cut
+    params = init_params(spark, shape, MSEED)
     return vocab, shape, params
 
 
