@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -726,8 +727,9 @@ def model_parts(spark, sf_dir):
 
     vocab = cut_lineage(doc_vocab(spark, sf_dir))
     shape = ModelShape(vocab.count(), MD, MH, ML)
-    # fresh weights are a pure function of (seed, name, row, column): no lineage to cut
-    params = init_params(spark, shape, MSEED)
+    # fresh weights are a pure function of (seed, name, row, column): cached for
+    # reuse within the query (a lost block is recomputed exactly), not checkpointed
+    params = init_params(spark, shape, MSEED).persist(StorageLevel.MEMORY_AND_DISK)
     return vocab, shape, params
 
 
