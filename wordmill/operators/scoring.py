@@ -111,18 +111,27 @@ def predict_next(
                 e, z = _lse(h @ w["output_layer"].T)
                 probs = e / z
                 keys = sub[key].to_numpy()
-                for b in range(len(sub)):
-                    pb = probs[b]
-                    if top is None or top >= V:
-                        tok = np.arange(V)
-                    else:
-                        seen = np.unique(np.asarray([t for t in seqs_[b] if 0 <= t < V], dtype=np.int64))
-                        masked = pb.copy()
-                        masked[seen] = -1.0
-                        k = min(top, V - len(seen))
-                        best = np.argpartition(-masked, k - 1)[:k] if k > 0 else np.array([], dtype=np.int64)
-                        tok = np.union1d(seen, best)
-                    yield pd.DataFrame({key: np.full(len(tok), keys[b]), "token_id": tok.astype(np.int64), "p": pb[tok]})
+                if top is None or top >= V:
+                    yield pd.DataFrame({key: np.repeat(keys, V), "token_id": np.tile(np.arange(V, dtype=np.int64), len(sub)), "p": probs.reshape(-1)})
+                    continue
+                # per row: every token already in the sequence, plus the k best others
+                masked = probs.copy()
+                seen_rows, seen_cols = [], []
+                for b, seq in enumerate(seqs_):
+                    cols = np.unique(np.asarray([t for t in seq if 0 <= t < V], dtype=np.int64))
+                    seen_rows.append(np.full(len(cols), b))
+                    seen_cols.append(cols)
+                sr = np.concatenate(seen_rows) if seen_rows else np.zeros(0, dtype=np.int64)
+                sc = np.concatenate(seen_cols) if seen_cols else np.zeros(0, dtype=np.int64)
+                masked[sr, sc] = -1.0
+                k = min(top, V)
+                best = np.argpartition(-masked, k - 1, axis=1)[:, :k]
+                br = np.repeat(np.arange(len(sub)), k)
+                bc = best.reshape(-1)
+                keep = masked[br, bc] >= 0.0  # rows with fewer than k unseen tokens
+                rows = np.concatenate([sr, br[keep]])
+                cols = np.concatenate([sc, bc[keep]])
+                yield pd.DataFrame({key: keys[rows], "token_id": cols.astype(np.int64), "p": probs[rows, cols]})
 
     return spread(seqs.select(key, ids)).mapInPandas(run, f"{key} bigint, token_id bigint, p double")
 
