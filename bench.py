@@ -77,6 +77,7 @@ def main() -> None:
     if os.path.isdir(warm_dir):
         QUERIES["clean_articles"](spark, warm_dir).write.format("noop").mode("overwrite").save()
         QUERIES["encode"](spark, warm_dir).write.format("noop").mode("overwrite").save()
+        QUERIES["window_loss"](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
