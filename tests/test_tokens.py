@@ -144,3 +144,25 @@ def test_build_vocab_wide_keys_take_the_struct_path(spark):
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
     v = {r["token"]: (r["id"], r["n"], r["first_doc"], r["first_pos"]) for r in vc.build_vocab(tk.explode_tokens(docs)).collect()}
     assert v["b"] == (4, 2, -5, 0) and v["a"] == (5, 2, -5, 1) and v["c"] == (6, 2, 7, 0) and v["d"] == (7, 1, 7, 1)
+
+
+def test_shuffle_join_path_matches_broadcast(spark, monkeypatch):
+    """The path taken when the vocabulary exceeds the broadcast bound."""
+    texts = ["Hello world! This is a test.", "another test, with words", "", "hello again world"]
+    from wordmill.session import cut_lineage
+
+    docs = docs_df(spark, texts)
+    vocab = cut_lineage(vocab_of(spark, texts))
+    key = lambda df, k: sorted((r[k], tuple(r["ids"]) if "ids" in r else r["text"]) for r in df.collect())
+    enc_b = key(tk.encode(docs, vocab), "doc_id")
+    dec_b = key(tk.decode(tk.encode(docs, vocab).withColumnRenamed("doc_id", "seq_id"), vocab), "seq_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(tk, "bounded_broadcast", lambda df, *a, **k: df)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        enc = tk.encode(docs, vocab)
+        assert "BroadcastHashJoin" not in enc._jdf.queryExecution().executedPlan().toString()
+        assert key(enc, "doc_id") == enc_b
+        assert key(tk.decode(enc.withColumnRenamed("doc_id", "seq_id"), vocab), "seq_id") == dec_b
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
