@@ -59,3 +59,15 @@ def test_chunked_windows_equal_narrow(spark):
     narrow = key(wn.next_token_windows(seqs, 4))
     for c in (1, 3, 16, 1000):
         assert key(wn.next_token_windows(seqs, 4, chunk=c)) == narrow
+
+
+def test_global_prefix_sum_matches_window(spark):
+    from pyspark.sql import Window
+
+    from wordmill.operators._util import global_prefix_sum
+
+    df = spark.range(3000).select(F.col("id").alias("k"), ((F.col("id") * 37) % 11).alias("c")).repartition(11)
+    got = {r["k"]: r["off"] for r in global_prefix_sum(df, ["k"], "c", "off").collect()}
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    exp = {r["k"]: r["off"] for r in df.select("k", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("off")).collect()}
+    assert got == exp
