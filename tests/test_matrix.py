@@ -86,3 +86,16 @@ def test_dropout(spark):
 def test_from_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0]), (2, [4.0, 5.0, 6.0])], "k bigint, vec array<double>")
     assert dense(mx.matrix_from_rows(df, "k", "vec")) == [[1, 2], [3, 0], [4, 5]]
+
+
+def test_multiply_shuffle_path(spark, monkeypatch):
+    a, b = mat(spark, [[1, 2, 3], [4, 5, 6]]), mat(spark, [[7, 8], [9, 10], [11, 12]])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(mx, "bounded_broadcast", lambda df, *x, **k: df)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = mx.matrix_multiply(a, b)
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+        assert dense(out) == [[58, 64], [139, 154]]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
