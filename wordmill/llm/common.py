@@ -49,10 +49,15 @@ def row_key(df: DataFrame) -> list[Column]:
 
 
 def map_text(
-    df: DataFrame, fn: Callable[[list[bytes | None]], dict[str, pa.Array]], schema: str, drop: tuple[str, ...] = ()
+    df: DataFrame,
+    fn: Callable[..., dict[str, pa.Array]],
+    schema: str,
+    drop: tuple[str, ...] = (),
+    with_batch: bool = False,
 ) -> DataFrame:
     """Append the columns of ``schema`` that ``fn`` computes from each batch of
-    the ``text`` column (UTF-8 bytes, None for null), dropping ``drop``."""
+    the ``text`` column (UTF-8 bytes, None for null), dropping ``drop``. With
+    ``with_batch``, ``fn`` also gets the Arrow batch."""
     ship_package(df.sparkSession)
     keep = [f for f in df.schema.fields if f.name not in drop]
     out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [schema])
@@ -64,7 +69,7 @@ def map_text(
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 texts = batch.column("text").cast(pa.binary()).to_pylist()
-                new = fn(texts)
+                new = fn(texts, batch) if with_batch else fn(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n) for n in names] + list(new.values()), names=names + list(new)
                 )

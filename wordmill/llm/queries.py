@@ -1,4 +1,4 @@
 """All queries of this folder; importing the modules registers them."""
 
-from . import quality, secrets  # noqa: F401
+from . import decontam, quality, secrets  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
