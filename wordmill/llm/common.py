@@ -39,11 +39,12 @@ def crc_mod(key: str, m: int) -> Column:
 
 def row_key(df: DataFrame) -> list[Column]:
     """Two columns that identify a row by content, null-safe: rows with the
-    same key are equal in every column, so they may share one result."""
+    same key are equal in every column, so they may share one result. The first
+    orders by doc_id, nulls last."""
     first = F.col("doc_id") if "doc_id" in df.columns else F.lit(0)
     cols = [F.col(f"`{c}`") for c in df.columns]
     return [
-        F.coalesce(first.cast("bigint"), F.lit(-(2**63))).alias("__wm_d"),
+        F.coalesce(first.cast("bigint"), F.lit(2**63 - 1)).alias("__wm_d"),
         F.xxhash64(*[F.struct(c.isNull(), c) for c in cols]).alias("__wm_t"),
     ]
 
