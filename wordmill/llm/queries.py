@@ -1,4 +1,4 @@
 """All queries of this folder; importing the modules registers them."""
 
-from . import decontam, lines, quality, secrets, simhash, urls  # noqa: F401
+from . import decontam, language, lines, mixing, quality, secrets, simhash, toxicity, urls  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
