@@ -47,12 +47,12 @@ from .common import crc_mod, documents, map_text, read_table, register
 DECAY = 0.5
 ORDERS = (2, 3, 4)
 WIDEST = 24  # longer words are read in overlapping pieces
-SAMPLE = 1500
+SAMPLE = 1000
 MAX_CHARS = 200_000
 LANDMARKS = 40
 MIN_SUPPORT = 5  # toxic documents of the sample that a suspicious word is in
 MIN_ODDS = 3.0  # its log odds of toxic against clean documents
-POOL = 30_000  # clean words that are searched for hard ones
+POOL = 20_000  # clean words that are searched for hard ones
 CACHE = 1_000_000
 THRESHOLD = 0.7
 
@@ -280,20 +280,24 @@ def train(bags: list[tuple[list[list[bytes]], int]]) -> Model:
     return model
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Model:
-    """labelled(text, toxic) -> Model from a hash sample of each label."""
-    rows = labelled.where(F.col("toxic").isin(0, 1) & (F.length("text") <= max_chars)).select("text", "toxic")
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Model:
+    """docs(doc_id, text), labels(doc_id, toxic) -> Model.
+
+    About ``sample`` rows of each label are drawn by a hash of doc_id before
+    the join, so what is broadcast to the texts is bounded by that number."""
+    rows = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("__id"), "toxic")
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    u = F.pmod(F.xxhash64("text", F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    u = F.pmod(F.xxhash64("__id", F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rate = F.when(F.col("toxic") == 1, min(1.0, sample / sizes.get(1, 1))).otherwise(min(1.0, sample / sizes.get(0, 1)))
+    texts = docs.where(F.length("text") <= max_chars).select("doc_id", "text")
+    drawn = texts.join(F.broadcast(rows.where(u < rate)), F.col("doc_id") == F.col("__id")).select("text", "toxic")
 
     def bags(texts: list[bytes | None]) -> dict[str, pa.Array]:
         docs = [[sorted(w) for s in _SENTENCE.split(t or b"") if (w := words_of(s))] for t in texts]
         return {"bag": pa.array(docs, pa.list_(pa.list_(pa.binary())))}
 
-    picked = map_text(rows.where(u < rate), bags, "bag array<array<binary>>").drop("text").collect()
-    docs = [([[bytes(w) for w in s] for s in r.bag], r.toxic) for r in picked]
-    return train(sorted(docs))
+    picked = map_text(drawn, bags, "bag array<array<binary>>").drop("text").collect()
+    return train(sorted(([[bytes(w) for w in s] for s in r.bag], r.toxic) for r in picked))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -306,7 +310,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def q_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where(crc_mod("doc_id", 3) != 1)
-    model = fit(docs.join(labels, "doc_id").select("text", "toxic"))
+    model = fit(docs, labels)
     return score(docs, model).select(
         "doc_id",
         F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
