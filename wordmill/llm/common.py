@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import read_table, ship_package
+from ..session import read_table, scratch_path, ship_package
 
 # A word of the contracts that split on ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +49,14 @@ def row_key(df: DataFrame) -> list[Column]:
     ]
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder, which cuts its lineage and
+    takes less room than a checkpoint."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def map_text(
     df: DataFrame,
     fn: Callable[..., dict[str, pa.Array]],

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ship_package
-from .common import documents, map_text, register, row_key
+from .common import documents, map_text, register, row_key, written
 from .gsaca import suffix_array
 
 LENGTH = 200
@@ -287,8 +287,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     """docs(__wm_d, __wm_t, text) -> d, t, spans: byte ranges [s, e) that lie in
     repeated strings (they may overlap), for rows that have any."""
     found = _anchor_rows(docs, length)
-    heads = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    shared = cut_lineage(found.join(heads, "h"))
+    # Written first, so that the join can split the rows of a hot hash.
+    heads = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "heads")
+    shared = written(found.join(heads, "h"), "anchors")
     classes = shared.groupBy("h", "a", "hull").agg(
         F.count("*").alias("c"), F.min(F.struct("d", "t", "p")).alias("one")
     )
