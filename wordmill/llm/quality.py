@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import cut_lineage
-from .common import WORD, documents, register
+from .common import WORD, documents, register, row_key
 
 SYMBOLS = "#*$%&|<>"
 GRAM = 8
@@ -227,15 +227,12 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """The rows of docs that pass, with the columns of docs.
-
-    The texts are counted twice (for the sketches, then beside the verdict),
-    which avoids shuffling them."""
-    need = docs.select("doc_id", "lang", "source", "text")
-    fences = thresholds(_counts(need).drop("text"), min_group)
+    """The rows of docs that pass, with the columns of docs."""
+    key = row_key(docs)
+    counts = cut_lineage(_counts(docs.select(*key, "lang", "source", "text")).drop("text"))
+    kept = judge(counts, thresholds(counts, min_group)).where("kept").select("__wm_d", "__wm_t")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    counts = _counts(docs.select("text", "lang", "source", row))
-    return judge(counts, fences).where("kept").select("__row.*")
+    return docs.select(*key, row).join(kept, ["__wm_d", "__wm_t"], "left_semi").select("__row.*")
 
 
 @register("op7_quality_rules")
