@@ -99,3 +99,10 @@ def test_multiply_shuffle_path(spark, monkeypatch):
         assert dense(out) == [[58, 64], [139, 154]]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_set_twice_keeps_one_cell(spark):
+    m = spark.createDataFrame([(0, 0, 1.0), (0, 1, 2.0)], "i int, j int, v double")
+    u = spark.createDataFrame([(0, 0, 9.0, 1), (0, 0, 5.0, 2), (7, 7, 1.0, 1)], "i int, j int, v double, n int")
+    got = sorted(tuple(r) for r in mx.matrix_set(m, u, "n").collect())
+    assert got == [(0, 0, 5.0), (0, 1, 2.0)]

@@ -64,3 +64,12 @@ def test_stream_batch_replay_is_idempotent(spark):
     write(b0, 0)  # replaying an older batch rewrites its own version only
     key = lambda df: sorted(tuple(r) for r in df.select("token", "id", "n", "first_doc", "first_pos").collect())
     assert key(latest_vocab(spark, d)) == key(vc.build_vocab(tk.explode_tokens(docs)))
+
+
+def test_write_in_order_takes_null_keys_and_empty_tables(spark, tmp_path):
+    from wordmill.streaming.vocab_stream import write_in_order
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "doc_id bigint, text string")
+    for name, table in (("some", rows), ("none", rows.limit(0))):
+        paths = write_in_order(table, str(tmp_path / name), 2)
+        assert sum(spark.read.schema(rows.schema).parquet(p).count() for p in paths) == table.count()

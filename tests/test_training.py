@@ -90,7 +90,9 @@ def test_lr_schedules(spark):
     e = [r[0] for r in t.select(gr.effective_lr(0.001, F.col("t"))).collect()]
     assert e[0] == 0.001 and e[1] == pytest.approx(0.001 * math.sqrt(0.001) / 0.1)
     wu = [r[0] for r in t.select(gr.warmup_lr(0.001, F.col("t"), 2)).collect()]
-    assert wu == [0.0, 0.0005, 0.001, 0.001]
+    assert wu == [0.001, 0.0005, 0.0005, 0.0005]
+    wu = [r[0] for r in spark.range(6).select(gr.warmup_lr(1.0, F.col("id"), 4)).collect()]
+    assert wu == [1.0, 0.25, 0.5, 0.75, 0.75, 0.75]
 
 
 def test_train_errors_and_noop(spark):

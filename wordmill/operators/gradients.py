@@ -208,8 +208,12 @@ def effective_lr(lr: float, t: Column, beta1: float = 0.9, beta2: float = 0.999)
 
 
 def warmup_lr(lr: float, t: Column, warmup: int) -> Column:
-    """lr t / warmup while t < warmup, then lr (the last value set stays)."""
-    return F.when(t < warmup, F.lit(lr) * t.cast("double") / F.lit(float(warmup))).otherwise(F.lit(lr))
+    """Rate after t steps: the base rate before the first step, lr t / warmup
+    while t < warmup, and from then on the last value that was set."""
+    if warmup < 2:
+        return F.lit(lr)
+    last = F.least(t, F.lit(warmup - 1)).cast("double")
+    return F.when(t < 1, F.lit(lr)).otherwise(F.lit(lr) * last / F.lit(float(warmup)))
 
 
 def step_size(cfg: AdamConfig, t: int) -> float:

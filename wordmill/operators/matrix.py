@@ -67,10 +67,12 @@ def matrix_xavier(spark: SparkSession, rows: int, cols: int, seed: int, name: st
     return matrix_random(spark, rows, cols, seed, name).select("i", "j", (F.col("v") * F.lit(lim)).alias("v"))
 
 
-def matrix_set(m: DataFrame, updates: DataFrame) -> DataFrame:
+def matrix_set(m: DataFrame, updates: DataFrame, order: str | None = None) -> DataFrame:
     """Write cells of a dense matrix; updates outside it match no cell and are
-    ignored.  The last update of a cell is not defined: one per cell."""
-    u = updates.select("i", "j", F.col("v").alias("_new"))
+    ignored.  Of several updates of a cell the last by ``order`` wins (without
+    it, the one with the largest value), so a cell never doubles."""
+    last = F.max_by("v", F.col(order) if order else F.col("v"))
+    u = updates.groupBy("i", "j").agg(last.alias("_new"))
     return m.join(u, ["i", "j"], "left").select("i", "j", F.coalesce(F.col("_new"), F.col("v")).alias("v"))
 
 

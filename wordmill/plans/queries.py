@@ -1178,7 +1178,7 @@ def q_effective_lr(spark, sf_dir):
     return st.select("t", (F.round(effective_lr(0.001, F.col("t")) * 1e12) / 1e12 + 0.0).alias("lr"))
 
 
-@register("warmup_lr", f"WITH {STEPS_SQL} SELECT t, CASE WHEN t < 10 THEN 0.001::DOUBLE * t / 10.0::DOUBLE ELSE 0.001::DOUBLE END AS lr FROM ST")
+@register("warmup_lr", f"WITH {STEPS_SQL} SELECT t, CASE WHEN t = 0 THEN 0.001::DOUBLE WHEN t < 10 THEN 0.001::DOUBLE * t / 10.0::DOUBLE ELSE 0.001::DOUBLE * 9.0::DOUBLE / 10.0::DOUBLE END AS lr FROM ST")
 def q_warmup_lr(spark, sf_dir):
     from ..operators.gradients import warmup_lr
 

@@ -91,7 +91,9 @@ def write_in_order(docs: DataFrame, out_dir: str, chunks: int, key: str = "doc_i
     """Land a table as ``chunks`` files in key order, one write after the
     other, so a file stream picks them up oldest first (tests, replays)."""
     bounds = docs.approxQuantile(key, [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
+    # An empty table, or one of null keys only, has no quantiles: one part takes all.
     edges = [None] + bounds + [None]
+    chunks = len(edges) - 1
     paths = []
     for i in range(chunks):
         lo, hi = edges[i], edges[i + 1]
@@ -99,7 +101,9 @@ def write_in_order(docs: DataFrame, out_dir: str, chunks: int, key: str = "doc_i
         if lo is not None:
             part = part.where(F.col(key) > lo)
         if hi is not None:
-            part = part.where(F.col(key) <= hi)
+            # Null keys go with the first part.
+            low = F.col(key) <= hi
+            part = part.where(low | F.col(key).isNull() if lo is None else low)
         path = f"{out_dir}/part_{i:05d}"
         part.coalesce(1).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
         paths.append(path)
