@@ -290,8 +290,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     # Written first, so that the join can split the rows of a hot hash.
     heads = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "heads")
     shared = written(found.join(heads, "h"), "anchors")
-    classes = shared.groupBy("h", "a", "hull").agg(
-        F.count("*").alias("c"), F.min(F.struct("d", "t", "p")).alias("one")
+    # Written as well: the join that marks all copies of a class can then be
+    # split, which it can't be above a grouped side.
+    classes = written(
+        shared.groupBy("h", "a", "hull").agg(F.count("*").alias("c"), F.min(F.struct("d", "t", "p")).alias("one")),
+        "classes",
     )
     mixed = classes.groupBy("h").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 AND least = 1")
     todo = cut_lineage(
