@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,6 +236,15 @@ def test_kernel_equals_definition():
             assert got[i, j] == pytest.approx(want / len(toxicity.ORDERS), abs=1e-5)
 
 
+def test_folded_weights_equal_the_kernel_sum():
+    words = [b"", b"a", b"ab", b"idiot", b"idxiot", b"aaaa", "caf\u00e9".encode(), b"x" * 24, b"abcdefghijklmnop"]
+    marks = [b"idiot", b"aab", b"", "caf\u00e9s".encode(), b"abcdefghijklmnopqrstuvwx"]
+    weights = np.array([0.7, -1.3, 0.2, 2.0, -0.4])
+    want = toxicity.kernel(words, marks) @ weights
+    assert toxicity.Folded(marks, weights)(words) == pytest.approx(want, abs=1e-5)
+    assert toxicity.Folded([], np.zeros(0))(words).tolist() == [0.0] * len(words)
+
+
 def test_toxicity_held_out_and_odd_rows(spark):
     sf = "/root/testdata/sf0.01"
     table = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
