@@ -2,26 +2,24 @@
 ``X(seq_id, pos, k, x)``.
 
 These state each layer as joins, grouped sums and windows so that SQL can
-check them cell by cell.  Weight matrices are small (D x D, D x H) and are
-broadcast; activations shuffle on (seq_id, ...) keys.  The scoring and
-training jobs use the numpy kernel in ``model.py`` on the same parameters.
+check them cell by cell.  Attention, feed-forward and the whole block bring a
+sequence's rows together once and compute on arrays of row vectors.  The scoring
+and training jobs use the numpy kernel in ``model.py`` on the same parameters.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .params import ModelShape
 
 SEQ = ["seq_id", "pos"]
-
-
-def weight_cells(params: DataFrame, name: str) -> DataFrame:
-    """(k, j, w) cells of one stored parameter (row k, column j)."""
-    return params.where(F.col("param") == name).select(F.col("row_id").alias("k"), F.posexplode("vec").alias("j", "w"))
+VECTORS = ("ff_b1", "ff_b2", "ln1_gamma", "ln1_beta", "ln2_gamma", "ln2_beta")
+LAYER = ("attn_query", "attn_key", "attn_value", "attn_output", "ff_w1", "ff_w2", *VECTORS)
 
 
 def vector_cells(params: DataFrame, name: str) -> DataFrame:
@@ -29,16 +27,6 @@ def vector_cells(params: DataFrame, name: str) -> DataFrame:
     return params.where((F.col("param") == name) & (F.col("row_id") == 0)).select(F.posexplode("vec").alias("k", "w"))
 
 
-def matmul(x: DataFrame, w: DataFrame) -> DataFrame:
-    """X(seq_id, pos, k, x) . W(k, j, w) -> (seq_id, pos, k=j, x)."""
-    j = x.join(F.broadcast(w), "k")
-    return j.groupBy("seq_id", "pos", "j").agg(F.sum(F.col("x") * F.col("w")).alias("x")).withColumnRenamed("j", "k")
-
-
-def add_bias(x: DataFrame, b: DataFrame) -> DataFrame:
-    return x.join(F.broadcast(b), "k", "left").select("seq_id", "pos", "k", (F.col("x") + F.coalesce(F.col("w"), F.lit(0.0))).alias("x"))
-
-
 def embed_tokens(tokens: DataFrame, params: DataFrame, shape: ModelShape) -> DataFrame:
     """(seq_id, pos, token_id) -> X; an id outside the vocabulary embeds to zeros."""
     emb = params.where(F.col("param") == "embedding").select(F.col("row_id").alias("token_id"), "vec")
@@ -71,32 +59,106 @@ def layer_norm_affine(x: DataFrame, gamma: DataFrame, beta: DataFrame, eps: floa
     return n.select("seq_id", "pos", "k", y.alias("x"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(v: Column) -> Column:
+    return F.aggregate(v, F.lit(0.0), lambda a, y: a + y)
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return _sum(F.zip_with(a, b, lambda y, z: y * z))
+
+
+def _transpose(m: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.size(F.get(m, F.lit(0))) - 1), lambda j: F.transform(m, lambda r: F.get(r, j)))
+
+
+def _times(rows: Column, transposed: Column) -> Column:
+    return F.transform(rows, lambda r: F.transform(transposed, lambda c: _dot(r, c)))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda r, t: F.zip_with(r, t, lambda y, z: y + z))
+
+
+def _rows(x: DataFrame, params: DataFrame, layer: int, body: Callable[[Column, Callable[[str], Column]], Column]) -> DataFrame:
+    """X -> X' where ``body(rows, weight)`` maps the rows of one sequence, in the
+    order of pos, to as many new rows.  One shuffle brings a sequence together;
+    the layer's weights (D and H wide, whatever the vocabulary) come as one
+    broadcast row, matrices transposed, so that an output is a dot product."""
+    prefix = f"transformer_{layer}_"
+    own = params.where(F.col("param").startswith(prefix))
+    stored = own.groupBy("param").agg(F.sort_array(F.collect_list(F.struct("row_id", "vec")))["vec"].alias("m"))
+    names = [prefix + n for n in LAYER]
+    flat = stored.groupBy().agg(*[F.max(F.when(F.col("param") == n, F.col("m"))).alias(n) for n in names])
+    weights = flat.select(
+        F.lit(0).alias("_one"),
+        *[(F.get(n, F.lit(0)) if n[len(prefix) :] in VECTORS else _transpose(F.col(n))).alias(n) for n in names],
+    )
+    cells = x.groupBy("seq_id").agg(F.sort_array(F.collect_list(F.struct("pos", "k", "x"))).alias("_cells"))
+    d = F.size(F.array_distinct(F.col("_cells")["k"]))
+    width = cells.withColumn("_d", d).withColumn("_one", F.lit(0))
+    start = F.sequence(F.lit(1), F.size("_cells"), F.col("_d"))
+    rows = F.transform(start, lambda i: F.slice(F.col("_cells")["x"], i, F.col("_d")))
+    where = F.transform(start, lambda i: F.get(F.col("_cells")["pos"], i - 1))
+    out = width.join(F.broadcast(weights), "_one").select(
+        "seq_id",
+        F.explode(
+            F.arrays_zip(where.alias("pos"), _let(rows, lambda r: body(r, lambda n: F.col(prefix + n))).alias("vec"))
+        ).alias("_row"),
+    )
+    return out.select("seq_id", F.col("_row.pos").alias("pos"), F.posexplode("_row.vec").alias("k", "x"))
+
+
+def _attention(rows: Column, weight: Callable[[str], Column], scale: float) -> Column:
+    def of(qkv: Column) -> Column:
+        def at(q: Column, i: Column) -> Column:
+            scores = F.transform(F.slice(qkv["k"], 1, i + 1), lambda t: _dot(q, t) * F.lit(scale))
+            shifted = _let(scores, lambda s: _let(F.array_max(s), lambda m: F.transform(s, lambda y: F.exp(y - m))))
+            share = _let(shifted, lambda e: _let(_sum(e), lambda z: F.transform(e, lambda y: y / z)))
+            return _let(share, lambda a: F.transform(qkv["v"], lambda channel: _dot(a, F.slice(channel, 1, i + 1))))
+
+        return F.transform(qkv["q"], at)
+
+    projected = F.struct(
+        _times(rows, weight("attn_query")).alias("q"),
+        _times(rows, weight("attn_key")).alias("k"),
+        _let(_times(rows, weight("attn_value")), _transpose).alias("v"),
+    )
+    return _let(_let(projected, of), lambda o: _times(o, weight("attn_output")))
+
+
+def _feed(rows: Column, weight: Callable[[str], Column]) -> Column:
+    def one(r: Column) -> Column:
+        hidden = F.transform(weight("ff_w1"), lambda c, j: _dot(r, c) + F.get(weight("ff_b1"), j))
+        hot = F.transform(hidden, lambda h: _let(h, gelu_col))
+        return _let(hot, lambda h: F.transform(weight("ff_w2"), lambda c, j: _dot(h, c) + F.get(weight("ff_b2"), j)))
+
+    return F.transform(rows, one)
+
+
+def _norm(rows: Column, gamma: Column, beta: Column, eps: float) -> Column:
+    def one(r: Column) -> Column:
+        def with_mean(mu: Column) -> Column:
+            var = F.aggregate(r, F.lit(0.0), lambda a, y: a + (y - mu) * (y - mu)) / F.size(r)
+            return _let(
+                F.sqrt(var + F.lit(eps)),
+                lambda sd: F.transform(r, lambda y, j: (y - mu) / sd * F.get(gamma, j) + F.get(beta, j)),
+            )
+
+        return _let(_sum(r) / F.size(r), with_mean)
+
+    return F.transform(rows, one)
+
+
 def causal_attention(x: DataFrame, params: DataFrame, layer: int, shape: ModelShape) -> DataFrame:
     """Single-head causal attention with the 4-head scale, as the reference
-    computes it: softmax(Q K^T / sqrt(D/heads), t <= i) V W_out."""
-    longest = x.agg(F.max("pos")).first()[0]
-    if longest is not None and longest >= shape.max_seq_len:
-        raise ValueError(
-            f"relational attention pairs every position with its predecessors; sequences are limited to "
-            f"{shape.max_seq_len} positions here (use the scoring kernel for longer ones)"
-        )
-    p = f"transformer_{layer}"
-    q = matmul(x, weight_cells(params, f"{p}_attn_query")).select("seq_id", F.col("pos").alias("i"), "k", F.col("x").alias("q"))
-    kk = matmul(x, weight_cells(params, f"{p}_attn_key")).select("seq_id", F.col("pos").alias("t"), "k", F.col("x").alias("kv"))
-    v = matmul(x, weight_cells(params, f"{p}_attn_value")).select("seq_id", F.col("pos").alias("t"), "k", F.col("x").alias("v"))
-    scale = 1.0 / math.sqrt(shape.head_size)
-    s = (
-        q.join(kk, ["seq_id", "k"])
-        .where(F.col("t") <= F.col("i"))
-        .groupBy("seq_id", "i", "t")
-        .agg((F.sum(F.col("q") * F.col("kv")) * F.lit(scale)).alias("s"))
-    )
-    mx = s.groupBy("seq_id", "i").agg(F.max("s").alias("_mx"))
-    e = s.join(mx, ["seq_id", "i"]).withColumn("e", F.exp(F.col("s") - F.col("_mx")))
-    z = e.groupBy("seq_id", "i").agg(F.sum("e").alias("_z"))
-    a = e.join(z, ["seq_id", "i"]).select("seq_id", "i", "t", (F.col("e") / F.col("_z")).alias("a"))
-    o = a.join(v, ["seq_id", "t"]).groupBy("seq_id", "i", "k").agg(F.sum(F.col("a") * F.col("v")).alias("x"))
-    return matmul(o.withColumnRenamed("i", "pos"), weight_cells(params, f"{p}_attn_output"))
+    computes it: softmax(Q K^T / sqrt(D/heads), t <= i) V W_out.  A sequence of
+    any length is one row; its pairs are sums inside it, never rows."""
+    return _rows(x, params, layer, lambda r, w: _attention(r, w, 1.0 / math.sqrt(shape.head_size)))
 
 
 def gelu_col(x):
@@ -105,20 +167,19 @@ def gelu_col(x):
 
 def feed_forward(x: DataFrame, params: DataFrame, layer: int) -> DataFrame:
     """GeLU(x W1 + b1) W2 + b2."""
-    p = f"transformer_{layer}"
-    h = add_bias(matmul(x, weight_cells(params, f"{p}_ff_w1")), vector_cells(params, f"{p}_ff_b1"))
-    h = h.withColumn("x", gelu_col(F.col("x")))
-    return add_bias(matmul(h, weight_cells(params, f"{p}_ff_w2")), vector_cells(params, f"{p}_ff_b2"))
-
-
-def _add(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.join(b.withColumnRenamed("x", "_y"), ["seq_id", "pos", "k"]).select("seq_id", "pos", "k", (F.col("x") + F.col("_y")).alias("x"))
+    return _rows(x, params, layer, _feed)
 
 
 def transformer_block(x: DataFrame, params: DataFrame, layer: int, shape: ModelShape) -> DataFrame:
     """x + attn(LN1 x), then + ff(LN2 .), in inference mode (no dropout)."""
-    p = f"transformer_{layer}"
-    n1 = layer_norm_affine(x, vector_cells(params, f"{p}_ln1_gamma"), vector_cells(params, f"{p}_ln1_beta"), shape.eps)
-    x1 = _add(causal_attention(n1, params, layer, shape), x)
-    n2 = layer_norm_affine(x1, vector_cells(params, f"{p}_ln2_gamma"), vector_cells(params, f"{p}_ln2_beta"), shape.eps)
-    return _add(feed_forward(n2, params, layer), x1)
+
+    def block(r: Column, w: Callable[[str], Column]) -> Column:
+        n1 = _norm(r, w("ln1_gamma"), w("ln1_beta"), shape.eps)
+        attended = _let(n1, lambda n: _plus(_attention(n, w, 1.0 / math.sqrt(shape.head_size)), r))
+
+        def rest(x1: Column) -> Column:
+            return _plus(_let(_norm(x1, w("ln2_gamma"), w("ln2_beta"), shape.eps), lambda n: _feed(n, w)), x1)
+
+        return _let(attended, rest)
+
+    return _rows(x, params, layer, block)

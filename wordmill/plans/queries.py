@@ -810,7 +810,7 @@ def layer_input(spark, sf_dir):
     vocab, shape, params = model_parts(spark, sf_dir)
     w = eval_windows(bench_seqs(spark, sf_dir, vocab))
     toks = w.select(
-        (F.col("seq_id") * 1000000 + F.col("i")).alias("seq_id"), F.posexplode("input").alias("pos", "token_id")
+        F.concat_ws(":", "seq_id", "i").alias("seq_id"), F.posexplode("input").alias("pos", "token_id")
     ).withColumn("pos", F.col("pos").cast("bigint"))
     return toks, shape, params
 
@@ -820,7 +820,7 @@ LAYER_WITH = O.doc_vocab_with(
     enc AS ({O.encode_cte('benchmark', 'item_id', 'text', frozen=True)}),
     seqs AS (SELECT item_id AS seq_id, ids FROM enc),
     WN AS ({O.windows_sql('seqs', 20)}),
-    TK AS (SELECT seq_id * 1000000 + i AS seq_id, unnest(generate_series(0, len(input) - 1))::BIGINT AS pos, unnest(input) AS token_id FROM WN),
+    TK AS (SELECT concat_ws(':', seq_id, i) AS seq_id, unnest(generate_series(0, len(input) - 1))::BIGINT AS pos, unnest(input) AS token_id FROM WN),
     X0 AS (SELECT seq_id, pos, unnest(generate_series(0, {MD - 1}))::BIGINT AS k,
                   unnest(coalesce(e.vec, list_transform(range({MD}), lambda z: 0.0))) AS x
            FROM TK LEFT JOIN (SELECT row_id AS token_id, vec FROM PR WHERE param = 'embedding') e USING (token_id)),
