@@ -113,3 +113,30 @@ def test_train_batch_moves_only_updated_params(spark):
     # final beta starts at 0 and gets no gradient, so weight decay leaves it at 0
     assert changed == set(gr.updated_params(SHAPE)) - {"final_ln_beta"}
     assert "transformer_0_attn_query" not in changed
+
+
+@pytest.mark.parametrize("rate", [0.001, 0.03, 0.05])
+def test_train_takes_every_window_once_per_epoch(spark, rate):
+    """Epochs of one batch equal plain steps on all windows; smaller batches
+    cover the same windows."""
+    from wordmill.operators.windows import all_windows, next_token_windows
+
+    seqs = seqs_df(spark, [[2, 5, 7, 9, 3], [2, 11, 3], [2, 3]])
+    state = gr.adam_state(init_params(spark, SHAPE, seed=3)).cache()
+    cfg = TrainingConfig(learning_rate=rate, batch_size=16, max_seq_len=4, dropout=False)
+    got, losses, steps = train(state, seqs, SHAPE, cfg, 2)
+    want, means = state, []
+    batch = next_token_windows(seqs, 4).withColumn("sample_no", F.col("seq_id") * 10 + F.col("i")).cache()
+    for t in (1, 2):
+        want, loss, _ = train_batch(want, batch, SHAPE, cfg, t)
+        means.append(loss)
+    assert steps == 2
+    assert [r["mean_loss"] for r in losses.orderBy("epoch").collect()] == pytest.approx(means, rel=1e-9)
+    a, b = ({(r["param"], r["row_id"]): r["vec"] for r in s.select("param", "row_id", "vec").collect()} for s in (got, want))
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-6, abs=1e-9) for k in a)
+    numbered = all_windows(seqs, 4, seed=1, epoch=1)
+    assert sorted(r["sample_no"] for r in numbered.collect()) == list(range(7))
+    assert numbered.drop("sample_no").exceptAll(batch.drop("sample_no")).count() == 0
+    if rate == 0.05:
+        small = TrainingConfig(learning_rate=rate, batch_size=3, samples_per_epoch=8, max_seq_len=4, dropout=False)
+        assert train(state, seqs, SHAPE, small, 1)[2] == 3

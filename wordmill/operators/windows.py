@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import hash_uniform
-from ._util import BROADCAST_ROWS, global_prefix_sum
+from ._util import BROADCAST_ROWS, global_prefix_sum, global_rank
 
 EVAL_WINDOW = 20
 
@@ -76,6 +76,14 @@ def eval_windows(seqs: DataFrame, key: str = "seq_id", ids: str = "ids") -> Data
     return next_token_windows(seqs, EVAL_WINDOW, key, ids)
 
 
+def all_windows(seqs: DataFrame, max_len: int, seed: int = 0, epoch: int = 0, key: str = "seq_id", ids: str = "ids") -> DataFrame:
+    """Every window once, numbered by a random order of this epoch (ties by key
+    and i): (key, i, input, target, sample_no).  The key is unique."""
+    drawn = hash_uniform(seed, "order", F.lit(epoch), F.col(key), F.col("i"))
+    wins = next_token_windows(seqs, max_len, key, ids).withColumn("_u", drawn)
+    return global_rank(wins, ["_u", key, "i"], "sample_no", start=0).drop("_u")
+
+
 def sample_windows(
     seqs: DataFrame, k: int, max_len: int, seed: int = 0, epoch: int = 0, key: str = "seq_id", ids: str = "ids"
 ) -> DataFrame:

@@ -1000,10 +1000,10 @@ TRAIN_CFG = dict(learning_rate=0.05, batch_size=64, workers=16, seed=SEED)
 @register("train")
 def q_train(spark, sf_dir):
     from ..operators.gradients import AdamConfig
-    from ..plans.train import TrainingConfig, train
+    from ..plans.train import TrainingConfig, planned, token_count, train
 
     _, shape, state, _, seqs = grad_batch(spark, sf_dir)
-    cfg = TrainingConfig(adam=AdamConfig(learning_rate=0.05), **TRAIN_CFG)
+    cfg = planned(TrainingConfig(adam=AdamConfig(learning_rate=0.05), **TRAIN_CFG), token_count(seqs))
     _, losses, _ = train(state, seqs, shape, cfg, 1)
     return losses
 
@@ -1016,7 +1016,7 @@ def q_train_from_corpus(spark, sf_dir):
 
     cfg = TrainingConfig(adam=AdamConfig(learning_rate=0.05), **TRAIN_CFG)
     _, _, _, losses = train_from_corpus(
-        documents(spark, sf_dir), dict(embed_size=MD, hidden_size=MH, num_layers=ML), cfg, 1, scratch_path(spark, "model")
+        documents(spark, sf_dir), dict(embed_size=MD, hidden_size=MH, num_layers=ML), cfg, 1, scratch_path(spark, "model"), by_plan=True
     )
     return losses
 
