@@ -4,22 +4,29 @@ Urls that a rule decides are the labelled ones. Per host, the path segments form
 a tree that grows level by level:
 
 1. A segment that looks like a value (digits, long hex) becomes ``*``, and so
-   do all children of a node that has many of them with few urls each.
+   do all children of a node that has many of them with few shapes each. A
+   shape is a distinct (host, segments): repeated rows and more pages of one
+   shape change no count.
 2. Siblings whose labelled shares agree (a z test against the pooled share of
    the siblings on the same side of one half) merge into one branch, so their
-   counts add up. A sibling with few labels stays alone.
+   counts add up. A labelled sibling with few labels stays alone, unless a
+   branch without labels joins its side.
+3. A branch without labels joins the side of its labelled siblings whose
+   remaining paths are most like its own (Jaccard index of SIMILAR or more; a
+   variable next segment counts as ``*``). If both sides are as near, it stays
+   alone.
 
 A leaf's template is rejected if its smoothed purity
 (blocked + k p0) / (labelled + k), with p0 the blocked share of all labelled
 urls, reaches a threshold and at least one of its urls is labelled.
 
-Only aggregates of (host, segments) take part in the tree, after the value-like
-segments are gone; a hot host is summed map-side first. The verdicts join back on
+Only distinct (host, segments) take part in the tree, after the value-like
+segments are gone; it grows to the deepest level present. A hot host is summed map-side first. The verdicts join back on
 that key, whose right side is unique, so a hot key can be split.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
-and no rule; an empty path has the template ``/``; segments beyond ``depth``
-form one variable segment; repeated rows each get their result; an empty table
+and no rule; an empty path has the template ``/``; if a caller sets ``depth``, the
+segments beyond it form one variable segment; repeated rows each get their result; an empty table
 gives no rows.
 """
 
@@ -38,10 +45,11 @@ RULES = (
     ("block", "example.com/de/"),
     ("allow", "org/fr/"),
 )
-DEPTH = 6
+DEPTH = 6  # levels of the query's SQL; the tree itself has all
 MIN_CHILDREN = 10  # a node with so many children, and
-MAX_PER_CHILD = 3  # at most so many urls for each on average, is variable
-MIN_LABELS = 5  # a branch with fewer labelled urls never merges
+MAX_PER_CHILD = 3  # at most so many shapes for each on average, is variable
+MIN_LABELS = 5  # a branch with fewer labelled shapes merges only with unlabelled ones
+SIMILAR = 0.5  # Jaccard index from which an unlabelled branch joins a side
 SMOOTHING = 2.0
 PURITY = 0.75
 VALUE = r"^[0-9]+(\..*)?$|^[0-9a-f-]{16,}$|[0-9].*[0-9].*[0-9].*[0-9]"
@@ -72,47 +80,90 @@ def _segments() -> Column:
     return F.transform(parts, lambda s: F.when(s.rlike(VALUE), "*").otherwise(s))
 
 
-def templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
+def _joining(at: DataFrame, children: DataFrame, level: int) -> DataFrame:
+    """The branches without labels that join a side: host, template, seg, side.
+    Branches meet only through the rows of their side's distinct remaining
+    paths, so siblings are never paired."""
+    branch, side = ["host", "template", "seg"], ["host", "template", "side"]
+    tails = at.where("seg IS NOT NULL").select(*branch, F.get("segs", F.lit(level + 1)).alias("next"), F.expr(f"slice(segs, {level + 3}, size(segs))").alias("rest"))
+    below = tails.groupBy(*branch).agg(F.count_distinct("next").alias("d"), F.count("*").alias("all"))
+    variable = (F.col("d") >= MIN_CHILDREN) & (F.col("all") <= F.col("d") * MAX_PER_CHILD)
+    form = F.struct(F.when(variable & F.col("next").isNotNull(), "*").otherwise(F.col("next")).alias("next"), "rest")
+    forms = tails.join(below, branch).select(*branch, F.to_json(form).alias("form")).distinct()
+    forms = forms.join(children.select(*branch, "lab", "leaning"), branch)
+    pool = forms.where("lab > 0").select("host", "template", F.col("leaning").alias("side"), "form").distinct()
+    sizes = pool.groupBy(*side).agg(F.count("*").alias("size"))
+    bare = forms.where("lab = 0").drop("lab", "leaning")
+    own = bare.groupBy(*branch).agg(F.count("*").alias("own"))
+    shared = bare.join(pool, ["host", "template", "form"]).groupBy(*branch, "side").agg(F.count("*").alias("shared"))
+    like = F.col("shared") / (F.col("own") + F.col("size") - F.col("shared"))
+    scored = shared.join(sizes, side).join(own, branch).withColumn("like", like).where(F.col("like") >= SIMILAR)
+    best = scored.groupBy(*branch).agg(
+        F.max(F.when(F.col("side") == "+", F.col("like")).otherwise(0.0)).alias("bad"),
+        F.max(F.when(F.col("side") == "-", F.col("like")).otherwise(0.0)).alias("good"),
+    )
+    return best.where("bad <> good").select(*branch, F.when(F.col("bad") > F.col("good"), "+").otherwise("-").alias("joins"))
+
+
+def templates(urls: DataFrame, depth: int | None = None) -> DataFrame:
     """urls(host, segs, verdict) -> host, segs, template, labelled, blocked:
     the leaf of each distinct (host, segs), with the counts of the whole leaf."""
+    has = lambda v: F.max(F.when(F.col("verdict") == v, 1).otherwise(0))
     tree = cut_lineage(
         urls.groupBy("host", "segs")
-        .agg(
-            F.count("*").alias("n"),
-            F.count("verdict").alias("lab"),
-            F.count(F.when(F.col("verdict") == "block", 1)).alias("blk"),
-        )
-        .withColumn("template", F.lit("/"))
+        .agg(has("block").alias("blk"), has("allow").alias("alw"))
+        .select("host", "segs", (F.col("blk") + F.col("alw")).alias("lab"), "blk", F.lit("/").alias("template"))
     )
     deepest = tree.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(min(deepest, depth + 1)):
-        seg = F.get("segs", F.lit(level)) if level < depth else F.when(F.size("segs") > depth, F.lit("*"))
-        at = tree.withColumn("seg", seg)
-        children = at.groupBy("host", "template", "seg").agg(
-            F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("blk").alias("blk")
+    ended = []
+    for level in range(deepest if depth is None else min(deepest, depth + 1)):
+        # Shapes that ended at an earlier level share no template with others.
+        ended.append(tree.where(F.size("segs") < level))
+        seg = F.get("segs", F.lit(level))
+        if level == depth:
+            seg = F.when(F.size("segs") > depth, F.lit("*"))
+        at = tree.where(F.size("segs") >= level).withColumn("seg", seg)
+        leaning = F.when(F.col("lab") > 0, F.when(F.col("blk") * 2 >= F.col("lab"), "+").otherwise("-"))
+        children = (
+            at.groupBy("host", "template", "seg")
+            .agg(F.count("*").alias("n"), F.sum("lab").alias("lab"), F.sum("blk").alias("blk"))
+            .withColumn("leaning", leaning)
+            .withColumn("side", F.when(F.col("lab") >= MIN_LABELS, F.col("leaning")))
         )
         nodes = children.groupBy("host", "template").agg(F.count("seg").alias("d"), F.sum("n").alias("all"))
         variable = (F.col("d") >= MIN_CHILDREN) & (F.col("all") <= F.col("d") * MAX_PER_CHILD)
         # Siblings on the same side of one half, then near its pooled share.
-        side = F.when(F.col("lab") >= MIN_LABELS, F.when(F.col("blk") * 2 >= F.col("lab"), "+").otherwise("-"))
-        children = children.withColumn("side", side)
+        few = F.col("side").isNull()
         pools = (
-            children.where("side IS NOT NULL AND seg IS NOT NULL")
-            .groupBy("host", "template", "side")
-            .agg(F.try_divide(F.sum("blk"), F.sum("lab")).alias("p"), F.count("*").alias("siblings"))
+            children.where("leaning IS NOT NULL AND seg IS NOT NULL")
+            .groupBy("host", "template", "leaning")
+            .agg(
+                F.try_divide(F.sum(F.when(~few, F.col("blk"))), F.sum(F.when(~few, F.col("lab")))).alias("p"),
+                F.count("side").alias("siblings"),
+                F.try_divide(F.sum("blk"), F.sum("lab")).alias("p_all"),
+            )
         )
+        joining = cut_lineage(_joining(at, children, level))
+        taken = joining.select("host", "template", F.col("joins").alias("leaning"), F.lit(True).alias("taken")).distinct()
         share = F.try_divide("blk", "lab")
-        error = 2 * F.sqrt(F.try_divide(F.col("p") * (1 - F.col("p")), F.col("lab")))
-        near = F.abs(share - F.col("p")) <= error + F.try_divide(F.lit(0.5), F.col("lab"))
+
+        def near(p: str, share: Column = share) -> Column:
+            error = 2 * F.sqrt(F.try_divide(F.col(p) * (1 - F.col(p)), F.col("lab")))
+            return F.abs(share - F.col(p)) <= error + F.try_divide(F.lit(0.5), F.col("lab"))
+
         name = (
             F.when(F.col("seg").isNull(), None)
             .when(variable, "*")
-            .when((F.col("siblings") > 1) & near, F.concat(F.lit("~"), F.col("side")))
+            .when(F.col("joins").isNotNull(), F.concat(F.lit("~"), F.col("joins")))
+            .when((F.col("siblings") > 1) & ~few & near("p"), F.concat(F.lit("~"), F.col("side")))
+            .when(F.col("taken") & near("p_all"), F.concat(F.lit("~"), F.col("leaning")))
             .otherwise(F.col("seg"))
         )
         named = (
             children.join(nodes, ["host", "template"])
-            .join(pools, ["host", "template", "side"], "left")
+            .join(pools, ["host", "template", "leaning"], "left")
+            .join(taken, ["host", "template", "leaning"], "left")
+            .join(joining, ["host", "template", "seg"], "left")
             .select("host", "template", "seg", name.alias("name"))
         )
         a, b = at.alias("a"), named.alias("b")
@@ -125,12 +176,14 @@ def templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
         grown = F.when(F.col("b.name").isNull(), F.col("a.template")).otherwise(
             F.concat(F.col("a.template"), F.col("b.name"), F.lit("/"))
         )
-        tree = cut_lineage(joined.select("a.host", "a.segs", "a.n", "a.lab", "a.blk", grown.alias("template")))
+        tree = cut_lineage(joined.select("a.host", "a.segs", "a.lab", "a.blk", grown.alias("template")))
+    for part in ended:
+        tree = tree.unionByName(part)
     leaves = tree.groupBy("host", "template").agg(F.sum("lab").alias("labelled"), F.sum("blk").alias("blocked"))
     return tree.select("host", "segs", "template").join(leaves, ["host", "template"])
 
 
-def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, depth: int = DEPTH) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, depth: int | None = None) -> DataFrame:
     """pages(page_id, url) -> page_id, host, path, rule, template, purity, verdict."""
     urls = parse(pages.select("page_id", "url"))
     rule, verdict = rule_of(rules)
