@@ -39,6 +39,7 @@ def throughput(spark, sf_dir: str, times: dict) -> dict:
     from pyspark.sql import functions as F
 
     from wordmill.functions.text import split_words_expr
+    from wordmill.plans.generate import CLI_PRESET
     from wordmill.session import read_table
 
     docs = read_table(spark, sf_dir, "documents")
@@ -58,7 +59,8 @@ def throughput(spark, sf_dir: str, times: dict) -> dict:
     if "train_batch" in times:
         rates["train_batch_s_incl_setup"] = times["train_batch"]
     if "generate_batch" in times:
-        rates["generated_tokens_per_s"] = round(3 * prompts / times["generate_batch"], 1)
+        # As if no prompt stopped early.
+        rates["generated_tokens_per_s_at_most"] = round(CLI_PRESET.max_new_tokens * prompts / times["generate_batch"], 1)
     return rates
 
 

@@ -1023,12 +1023,10 @@ def q_train_from_corpus(spark, sf_dir):
 
 @register("generate_batch")
 def q_generate_batch(spark, sf_dir):
-    from ..plans.generate import CLI_PRESET, GenerationConfig, generate_batch
+    from ..plans.generate import CLI_PRESET, generate_batch
 
     vocab, shape, params = model_parts(spark, sf_dir)
-    c = CLI_PRESET
-    cfg = GenerationConfig(3, c.temperature, c.top_k, c.top_p, c.do_sample, c.repetition_penalty, c.no_repeat_ngram)
-    return generate_batch(user_prompts(spark, sf_dir, vocab), params, shape, cfg)
+    return generate_batch(user_prompts(spark, sf_dir, vocab), params, shape, CLI_PRESET)
 
 
 # ---------------------------------------------------------------- 2.8 gradient algebra (SQL-checked)
