@@ -17,7 +17,8 @@ hold a match: words outside the items' vocabulary, and runs of known words that
 are shorter than the shortest window. That skips no match.
 
 Defined cases: a null or empty text has no words; an item without words never
-matches; equal items are all reported; repeated rows each get their result; an
+matches; equal items are all reported; an item with a null id counts and is
+removed like any other, but no list of item ids names it; repeated rows each get their result; an
 empty document or item table works; other columns of the input are not read.
 """
 
@@ -63,7 +64,7 @@ class Automaton:
         self.link = [-1]
         self.len = [0]
         self.own: list[set[str]] = [set()]  # items with a prefix that ends in the state
-        self.short: list[set[str]] = [set()]  # short items whose whole text ends in the state
+        self.short: list[set[str | None]] = [set()]  # short items whose whole text ends in the state
         self.min_window = window
 
     def _state(self, length: int, edges: dict[int, int], link: int) -> int:
@@ -85,7 +86,7 @@ class Automaton:
         self.link[q] = copy
         return copy
 
-    def add(self, item: str, words: list[bytes]) -> None:
+    def add(self, item: str | None, words: list[bytes]) -> None:
         last = 0
         for word in words:
             w = self.vocab.setdefault(word, len(self.vocab))
@@ -101,7 +102,8 @@ class Automaton:
                 if p >= 0:
                     self.link[new] = self._split(p, w, self.next[p][w])
                 last = new
-            self.own[last].add(item)
+            if item is not None:
+                self.own[last].add(item)
         if 0 < len(words) < self.window:
             self.short[last].add(item)
             self.min_window = min(self.min_window, len(words))
@@ -118,12 +120,12 @@ class Automaton:
                 self.holds[v] = tuple(sorted(holds[v]))
         # The state whose substrings include the last ``window`` words.
         self.at_window = list(range(len(self.len)))
-        self.ends: list[tuple[tuple[int, str], ...]] = [()] * len(self.len)
+        self.ends: list[tuple[tuple[int, str | None], ...]] = [()] * len(self.len)
         for v in reversed(order):
             u = self.link[v]
             if self.len[u] >= self.window:
                 self.at_window[v] = self.at_window[u]
-            self.ends[v] = self.ends[u] + tuple((self.len[v], x) for x in sorted(self.short[v]))
+            self.ends[v] = self.ends[u] + tuple((self.len[v], x) for x in sorted(self.short[v], key=lambda x: x or ""))
         del self.own, self.short
         return self
 
@@ -159,7 +161,8 @@ class Automaton:
                         items.update(self.holds[at])
                 for size, item in self.ends[state]:
                     if size <= length:
-                        items.add(item)
+                        if item is not None:
+                            items.add(item)
                         reach = max(reach, size)
                 if reach:
                     if spans and spans[-1][1] >= i - reach:
@@ -175,7 +178,7 @@ class Automaton:
 def shards(items: DataFrame, window: int, shard_words: int) -> Iterator[Automaton]:
     """Automata over at most ``shard_words`` words each (one item at least);
     items stream to the driver partition by partition."""
-    rows = items.select(F.col("item_id").cast("string").alias("i"), "text").where("i IS NOT NULL")
+    rows = items.select(F.col("item_id").cast("string").alias("i"), "text")
     one, size = Automaton(window), 0
     for row in rows.toLocalIterator(prefetchPartitions=False):
         words = words_of((row.text or "").encode())
