@@ -8,8 +8,9 @@ centroid with the largest cosine. Every centroid keeps the cosine that nearly al
 its own members reach; a text below it by a margin is rejected as far from all
 learned languages.
 
-Fitting takes a bounded sample: about ``sample`` documents per language, at most
-``total`` in all, drawn by a hash of the row, and the centroids are fitted on the
+Fitting takes a bounded sample: at most ``sample`` distinct texts per language
+and ``total`` in all (but one per language), drawn by a hash of text and language,
+so copies neither raise a text's chance nor its weight, and the centroids are fitted on the
 driver (languages x sample sparse vectors of at most DIMS numbers). Predicting is
 a narrow map over whole texts with the centroids (languages x k x DIMS floats).
 
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, documents, map_text, register
@@ -111,12 +112,14 @@ def _cluster(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, total: int = TOTAL, k: int = CENTROIDS) -> Model:
-    """labelled(text, lang) -> Model from a hash sample of the rows."""
+    """labelled(text, lang) -> Model from a hash sample of the distinct texts,
+    never more than ``sample`` of a language."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("__h", F.xxhash64("text", "lang"))
+    sizes = {r.lang: r.n for r in rows.select("lang", "__h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     each = min(sample, max(1, total // max(1, len(languages))))
-    u = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    u = F.pmod("__h", F.lit(1 << 30)) / F.lit(float(1 << 30))
     rate: Column = F.lit(0.0)
     for lang in languages:
         rate = F.when(F.col("lang") == lang, min(1.0, each / sizes[lang])).otherwise(rate)
@@ -130,7 +133,12 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, total: int = TOTAL, k: int =
         kind = pa.list_(pa.int32())
         return {"at": pa.array(at, kind), "n": pa.array(n, kind)}
 
-    picked = map_text(rows.where(u < rate), sparse, "at array<int>, n array<int>").drop("text").collect()
+    # Hashes are drawn first, so only the texts of drawn ones move, one of each.
+    drawn = rows.where(u < rate).select("lang", "__h").distinct()
+    order = Window.partitionBy("lang").orderBy(F.pmod("__h", F.lit(1 << 30)), "__h")
+    drawn = [r["__h"] for r in drawn.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= each).collect()]
+    once = rows.where(F.col("__h").isin(drawn)).groupBy("lang", "__h").agg(F.first("text").alias("text"))
+    picked = map_text(once.select("text", "lang"), sparse, "at array<int>, n array<int>").drop("text").collect()
     picked = sorted((r for r in picked if r.at), key=lambda r: (r.lang, r.at, r.n))
     x = np.zeros((len(picked), DIMS), np.float32)
     for i, r in enumerate(picked):
