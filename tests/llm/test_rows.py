@@ -110,19 +110,24 @@ def test_secret_spans(spark):
 
 
 # ------------------------------------------------------------------ lines
-def slow_lines(rows, run=3):
-    """Kept texts; rows in order of place."""
+def slow_lines(rows, run=3, words=50):
+    """Kept texts; rows in order of place. Windows are ``run`` lines, or fewer
+    that hold ``words`` words."""
     first, out = {}, []
     for _, text in rows:
         ls = (text or "").split("\n")
         at = [i for i, x in enumerate(ls) if re.search(r"[^\x20\x09-\x0D]", x)]
         it = [ls[i].strip(" \t\n\r\x0b\x0c") for i in at]
+        size = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in it]
         gone = set()
-        for j in range(len(it) - run + 1):
-            g = tuple(it[j : j + run])
-            if g in first:
-                gone |= set(range(j, j + run))
-            first.setdefault(g, 1)
+        for k in range(1, run + 1):
+            for j in range(len(it) - k + 1):
+                if k < run and sum(size[j : j + k]) < words:
+                    continue
+                g = tuple(it[j : j + k])
+                if g in first:
+                    gone |= set(range(j, j + k))
+                first.setdefault(g, 1)
         spans, j = [], 0
         for j in sorted(gone):
             if spans and spans[-1][1] == j - 1:

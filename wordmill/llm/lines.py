@@ -145,9 +145,11 @@ def dedup_lines(docs: DataFrame, run: int = RUN, words: int | None = WORDS) -> D
         "__cut",
         F.transform("runs", lambda r: F.struct(F.get("__at", r["a"]).alias("a"), F.get("__at", r["b"] - 1).alias("b"))),
     )
-    kept = F.array_join(
-        F.filter("__l", lambda s, i: ~F.exists("__cut", lambda r: (i >= r["a"]) & (i <= r["b"]))), "\n"
-    )
+    # The lines between the cuts, which are in order and apart: no line looks at all cuts.
+    cut = lambda r, side, end: F.coalesce(F.get(F.col("__cut"), r)[side], end)
+    after = lambda r: F.when(r == 0, F.lit(0)).otherwise(cut(r - 1, "b", F.lit(0)) + 1)
+    gap = lambda r: F.slice("__l", after(r) + 1, cut(r, "a", F.size("__l")) - after(r))
+    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("__cut")), gap)), "\n")
     removed = F.aggregate(F.coalesce("runs", F.array()), F.lit(0).cast("bigint"), lambda a, r: a + r["b"] - r["a"])
     return df.select(
         "__row",
@@ -169,15 +171,19 @@ _ORACLE = f"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''),
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
       it AS (SELECT doc_id, i, regexp_replace(line, '{_BLANK}', '', 'g') AS t,
         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-      w AS (SELECT doc_id, j, [{", ".join(f"lead(t, {k}) OVER d" for k in range(RUN))}] AS g,
-        lead(j, {RUN - 1}) OVER d IS NOT NULL AS whole FROM it WINDOW d AS (PARTITION BY doc_id ORDER BY j)),
-      f AS (SELECT doc_id, j, g, min((doc_id, j)) OVER (PARTITION BY g) AS first FROM w WHERE whole),
-      gone AS (SELECT DISTINCT doc_id, j + k AS j FROM f, range({RUN}) AS r(k) WHERE first <> (doc_id, j)),
-      m AS (SELECT doc_id, count(*) AS n_matches FROM (SELECT doc_id, j, first,
-          lag((j + 1, first.element_1, first.element_2 + 1)) OVER (PARTITION BY doc_id ORDER BY j) AS prev
-          FROM (SELECT doc_id, j, struct_pack(element_1 := first[1], element_2 := first[2]) AS first FROM f
-            WHERE first <> (doc_id, j)))
-        WHERE prev IS NULL OR prev[1] <> j OR prev[2] <> first.element_1 OR prev[3] <> first.element_2 GROUP BY doc_id),
+      a AS (SELECT doc_id, list(t ORDER BY j) AS t, list(len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) ORDER BY j) AS c
+        FROM it GROUP BY doc_id),
+      w AS (SELECT doc_id, j, k, t[j:j + k - 1] AS g FROM (
+          SELECT doc_id, t, c, k, unnest(range(1, len(t) - k + 2)) AS j FROM a, range(1, {RUN + 1}) AS r(k))
+        WHERE k = {RUN} OR list_sum(c[j:j + k - 1]) >= {WORDS}),
+      f AS (SELECT doc_id, j, k, min((doc_id, j)) OVER (PARTITION BY k, g) AS first FROM w),
+      x AS (SELECT doc_id, j, k, first[1] AS d1, first[2] AS j1, max(j + k) OVER (PARTITION BY doc_id ORDER BY j, k DESC
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM f WHERE first <> (doc_id, j)),
+      y AS (SELECT * FROM x WHERE reach IS NULL OR reach < j + k),
+      gone AS (SELECT DISTINCT doc_id, unnest(range(j, j + k)) AS j FROM y),
+      m AS (SELECT doc_id, count(*) AS n_matches FROM (SELECT *, lag((j + 1, k, d1, j1 + 1)) OVER (
+          PARTITION BY doc_id ORDER BY j, k DESC) AS prev FROM y)
+        WHERE prev IS NULL OR prev <> (j, k, d1, j1) GROUP BY doc_id),
       cut AS (SELECT it.doc_id, it.i, it.j - row_number() OVER (PARTITION BY it.doc_id ORDER BY it.j) AS island
         FROM it JOIN gone USING (doc_id, j)),
       span AS (SELECT doc_id, min(i) AS a, max(i) AS b, count(*) AS c FROM cut GROUP BY doc_id, island),
