@@ -1,33 +1,37 @@
 """URL filters: fixed rules, then a path-template tree judged by label purity.
 
-Urls that a rule decides are the labelled ones. Per host, the path segments form
-a tree that grows level by level:
+Urls that a rule decides are the labelled ones. Per host, the distinct paths form
+a tree of segments, in which a segment that looks like a value (digits, long hex)
+is ``*``. A shape is a distinct (host, segments); it carries the number of its
+distinct labelled urls and of the blocked ones among them. Repeated rows change no
+count. The tree grows in rounds, all nodes of all hosts at a time:
 
-1. A segment that looks like a value (digits, long hex) becomes ``*``, and so
-   do all children of a node that has many of them with few shapes each. A
-   shape is a distinct (host, segments): repeated rows and more pages of one
-   shape change no count.
-2. Siblings whose labelled shares agree (a z test against the pooled share of
-   the siblings on the same side of one half) merge into one branch, so their
-   counts add up. A labelled sibling with few labels stays alone, unless a
-   branch without labels joins its side.
-3. A branch without labels joins the side of its labelled siblings whose
-   remaining paths are most like its own (Jaccard index of SIMILAR or more; a
-   variable next segment counts as ``*``). If both sides are as near, it stays
-   alone.
+1. What all shapes of a node have in common ahead (a chain of only children, or
+   the rest of a lone shape) is one step, so the rounds follow the number of
+   branchings on a path, not its length.
+2. A node with many children of few shapes each is variable: its children are
+   one branch ``*``.
+3. Siblings merge that are statistically similar: those with MIN_LABELS labelled
+   urls or more set the blocked share of the side on which they lie (one half or
+   more blocked, or less), and labelled siblings of that lean join whose share
+   passes a z test against it.
+4. A branch without labels joins the side whose remaining paths are most like its
+   own (Jaccard index of SIMILAR or more against the siblings with MIN_LABELS; a
+   variable next segment counts as ``*``). If both sides are as near, or no
+   sibling has that many labels, it stays alone.
 
-A leaf's template is rejected if its smoothed purity
-(blocked + k p0) / (labelled + k), with p0 the blocked share of all labelled
-urls, reaches a threshold and at least one of its urls is labelled.
+A leaf's template is rejected if it has MIN_LABELS labelled urls and the lower
+confidence bound of its blocked share (Wilson's, which smooths towards one half)
+reaches PURITY. Only labels of the leaf itself count: a few votes block nothing,
+and neither do the labels of other hosts.
 
-Only distinct (host, segments) take part in the tree, after the value-like
-segments are gone; it grows to the deepest level present. A hot host is summed map-side first. The verdicts join back on
-that key, whose right side is unique, so a hot key can be split.
+Hot hosts are summed map-side; every join has a unique right side, so a hot key
+can be split.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
-and no rule; an empty path has the template ``/``; if a caller sets ``depth``, the
-segments beyond it form one variable segment; repeated rows each get their result; an empty table
-gives no rows.
+and no rule; an empty path has the template ``/``; a path of any depth is one row,
+worked in as many rounds as branchings lie on it; repeated rows each get their
+result; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, read_table
+from ..session import cut_lineage, read_table, scratch_path, stored
 from .common import register
 
 # The fixed rules of the query: (verdict, host and path).
@@ -45,12 +49,11 @@ RULES = (
     ("block", "example.com/de/"),
     ("allow", "org/fr/"),
 )
-DEPTH = 6  # levels of the query's SQL; the tree itself has all
 MIN_CHILDREN = 10  # a node with so many children, and
 MAX_PER_CHILD = 3  # at most so many shapes for each on average, is variable
-MIN_LABELS = 5  # a branch with fewer labelled shapes merges only with unlabelled ones
+MIN_LABELS = 9  # labelled urls that a merge or a verdict asks for
 SIMILAR = 0.5  # Jaccard index from which an unlabelled branch joins a side
-SMOOTHING = 2.0
+SURE = 1.645  # standard errors of the lower bound: 95 %, one-sided
 PURITY = 0.75
 VALUE = r"^[0-9]+(\..*)?$|^[0-9a-f-]{16,}$|[0-9].*[0-9].*[0-9].*[0-9]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,20 +83,27 @@ def _segments() -> Column:
     return F.transform(parts, lambda s: F.when(s.rlike(VALUE), "*").otherwise(s))
 
 
-def _joining(at: DataFrame, children: DataFrame, level: int) -> DataFrame:
-    """The branches without labels that join a side: host, template, seg, side.
+def _common(lo: Column, hi: Column) -> Column:
+    """Length of the common prefix of two arrays."""
+    short = F.least(F.size(lo), F.size(hi))
+    places = F.sequence(F.lit(0), short)
+    return F.array_min(F.filter(places, lambda i: (i == short) | (F.get(lo, i) != F.get(hi, i))))
+
+
+def _joining(at: DataFrame, children: DataFrame) -> DataFrame:
+    """The branches without labels that join a side: host, template, seg, joins.
     Branches meet only through the rows of their side's distinct remaining
     paths, so siblings are never paired."""
     branch, side = ["host", "template", "seg"], ["host", "template", "side"]
-    tails = at.where("seg IS NOT NULL").select(*branch, F.get("segs", F.lit(level + 1)).alias("next"), F.expr(f"slice(segs, {level + 3}, size(segs))").alias("rest"))
+    tails = at.select(*branch, F.get("rest", F.lit(1)).alias("next"), F.expr("slice(rest, 3, size(rest))").alias("tail"))
     below = tails.groupBy(*branch).agg(F.count_distinct("next").alias("d"), F.count("*").alias("all"))
     variable = (F.col("d") >= MIN_CHILDREN) & (F.col("all") <= F.col("d") * MAX_PER_CHILD)
-    form = F.struct(F.when(variable & F.col("next").isNotNull(), "*").otherwise(F.col("next")).alias("next"), "rest")
+    form = F.struct(F.when(variable & F.col("next").isNotNull(), "*").otherwise(F.col("next")).alias("next"), "tail")
     forms = tails.join(below, branch).select(*branch, F.to_json(form).alias("form")).distinct()
-    forms = forms.join(children.select(*branch, "lab", "leaning"), branch)
-    pool = forms.where("lab > 0").select("host", "template", F.col("leaning").alias("side"), "form").distinct()
+    forms = forms.join(children.select(*branch, "lab", "lean"), branch)
+    pool = forms.where(F.col("lab") >= MIN_LABELS).select("host", "template", F.col("lean").alias("side"), "form").distinct()
     sizes = pool.groupBy(*side).agg(F.count("*").alias("size"))
-    bare = forms.where("lab = 0").drop("lab", "leaning")
+    bare = forms.where("lab = 0").drop("lab", "lean")
     own = bare.groupBy(*branch).agg(F.count("*").alias("own"))
     shared = bare.join(pool, ["host", "template", "form"]).groupBy(*branch, "side").agg(F.count("*").alias("shared"))
     like = F.col("shared") / (F.col("own") + F.col("size") - F.col("shared"))
@@ -105,155 +115,163 @@ def _joining(at: DataFrame, children: DataFrame, level: int) -> DataFrame:
     return best.where("bad <> good").select(*branch, F.when(F.col("bad") > F.col("good"), "+").otherwise("-").alias("joins"))
 
 
-def templates(urls: DataFrame, depth: int | None = None) -> DataFrame:
-    """urls(host, segs, verdict) -> host, segs, template, labelled, blocked:
-    the leaf of each distinct (host, segs), with the counts of the whole leaf."""
-    has = lambda v: F.max(F.when(F.col("verdict") == v, 1).otherwise(0))
-    tree = cut_lineage(
-        urls.groupBy("host", "segs")
-        .agg(has("block").alias("blk"), has("allow").alias("alw"))
-        .select("host", "segs", (F.col("blk") + F.col("alw")).alias("lab"), "blk", F.lit("/").alias("template"))
+def _branch_names(at: DataFrame) -> DataFrame:
+    """at(host, template, rest, lab, blk), rest not empty -> host, template,
+    seg, name: the branch that the child ``seg`` of a node becomes part of."""
+    node, branch = ["host", "template"], ["host", "template", "seg"]
+    lean = F.when(F.col("lab") > 0, F.when(F.col("blk") * 2 >= F.col("lab"), "+").otherwise("-"))
+    children = cut_lineage(
+        at.groupBy(*branch).agg(F.count("*").alias("n"), F.sum("lab").alias("lab"), F.sum("blk").alias("blk")).withColumn("lean", lean)
     )
-    deepest = tree.agg(F.max(F.size("segs"))).first()[0] or 0
-    ended = []
-    for level in range(deepest if depth is None else min(deepest, depth + 1)):
-        # Shapes that ended at an earlier level share no template with others.
-        ended.append(tree.where(F.size("segs") < level))
-        seg = F.get("segs", F.lit(level))
-        if level == depth:
-            seg = F.when(F.size("segs") > depth, F.lit("*"))
-        at = tree.where(F.size("segs") >= level).withColumn("seg", seg)
-        leaning = F.when(F.col("lab") > 0, F.when(F.col("blk") * 2 >= F.col("lab"), "+").otherwise("-"))
-        children = (
-            at.groupBy("host", "template", "seg")
-            .agg(F.count("*").alias("n"), F.sum("lab").alias("lab"), F.sum("blk").alias("blk"))
-            .withColumn("leaning", leaning)
-            .withColumn("side", F.when(F.col("lab") >= MIN_LABELS, F.col("leaning")))
-        )
-        nodes = children.groupBy("host", "template").agg(F.count("seg").alias("d"), F.sum("n").alias("all"))
-        variable = (F.col("d") >= MIN_CHILDREN) & (F.col("all") <= F.col("d") * MAX_PER_CHILD)
-        # Siblings on the same side of one half, then near its pooled share.
-        few = F.col("side").isNull()
-        pools = (
-            children.where("leaning IS NOT NULL AND seg IS NOT NULL")
-            .groupBy("host", "template", "leaning")
-            .agg(
-                F.try_divide(F.sum(F.when(~few, F.col("blk"))), F.sum(F.when(~few, F.col("lab")))).alias("p"),
-                F.count("side").alias("siblings"),
-                F.try_divide(F.sum("blk"), F.sum("lab")).alias("p_all"),
-            )
-        )
-        joining = cut_lineage(_joining(at, children, level))
-        taken = joining.select("host", "template", F.col("joins").alias("leaning"), F.lit(True).alias("taken")).distinct()
-        share = F.try_divide("blk", "lab")
+    nodes = children.groupBy(*node).agg(F.count("*").alias("d"), F.sum("n").alias("all"))
+    variable = (F.col("d") >= MIN_CHILDREN) & (F.col("all") <= F.col("d") * MAX_PER_CHILD)
+    pools = (
+        children.where(F.col("lab") >= MIN_LABELS).groupBy(*node, "lean").agg((F.sum("blk") / F.sum("lab")).alias("p"))
+    )
+    share = F.try_divide("blk", "lab")
+    error = 2 * F.sqrt(F.try_divide(F.col("p") * (1 - F.col("p")), F.col("lab"))) + F.try_divide(F.lit(0.5), F.col("lab"))
+    near = F.abs(share - F.col("p")) <= error
+    sides = (
+        children.join(pools, [*node, "lean"], "left")
+        .join(_joining(at, children), branch, "left")
+        .withColumn("side", F.coalesce("joins", F.when((F.col("lab") > 0) & near, F.col("lean"))))
+        .select(*branch, "side")
+    )
+    members = sides.where("side IS NOT NULL").groupBy(*node, "side").agg(F.count("*").alias("members"))
+    named = sides.join(nodes, node).join(members, [*node, "side"], "left")
+    name = F.when(variable, "*").when(F.col("members") > 1, F.concat(F.lit("~"), F.col("side"))).otherwise(F.col("seg"))
+    return named.select(*branch, name.alias("name"))
 
-        def near(p: str, share: Column = share) -> Column:
-            error = 2 * F.sqrt(F.try_divide(F.col(p) * (1 - F.col(p)), F.col("lab")))
-            return F.abs(share - F.col(p)) <= error + F.try_divide(F.lit(0.5), F.col("lab"))
 
-        name = (
-            F.when(F.col("seg").isNull(), None)
-            .when(variable, "*")
-            .when(F.col("joins").isNotNull(), F.concat(F.lit("~"), F.col("joins")))
-            .when((F.col("siblings") > 1) & ~few & near("p"), F.concat(F.lit("~"), F.col("side")))
-            .when(F.col("taken") & near("p_all"), F.concat(F.lit("~"), F.col("leaning")))
-            .otherwise(F.col("seg"))
-        )
-        named = (
-            children.join(nodes, ["host", "template"])
-            .join(pools, ["host", "template", "leaning"], "left")
-            .join(taken, ["host", "template", "leaning"], "left")
-            .join(joining, ["host", "template", "seg"], "left")
-            .select("host", "template", "seg", name.alias("name"))
-        )
-        a, b = at.alias("a"), named.alias("b")
-        joined = a.join(
-            b,
-            (F.col("a.host") == F.col("b.host"))
-            & (F.col("a.template") == F.col("b.template"))
-            & F.col("a.seg").eqNullSafe(F.col("b.seg")),
+def templates(urls: DataFrame) -> DataFrame:
+    """urls(host, path, segs, verdict) -> host, segs, template, labelled,
+    blocked: the leaf of each distinct (host, segs), with the labelled urls of the
+    whole leaf."""
+    spark = urls.sparkSession
+    distinct = urls.groupBy("host", "path").agg(F.first("segs").alias("segs"), F.first("verdict").alias("verdict"))
+    live = stored(
+        distinct.groupBy("host", "segs")
+        .agg(F.count("verdict").alias("lab"), F.count_if(F.col("verdict") == "block").alias("blk"))
+        .select("host", "segs", F.col("segs").alias("rest"), "lab", "blk", F.lit("/").alias("template")),
+        "shapes",
+    )
+    ended = scratch_path(spark, "leaves")
+    left = live.count()
+    live.limit(0).drop("rest").write.parquet(ended)
+    while left:
+        # What a node's shapes share ahead is one step.
+        ahead = live.groupBy("host", "template").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+        ahead = ahead.select("host", "template", _common(F.col("lo"), F.col("hi")).alias("skip"))
+        step = F.concat(F.col("template"), F.array_join(F.transform(F.expr("slice(rest, 1, skip)"), lambda x: F.concat(x, F.lit("/"))), ""))
+        moved = stored(
+            live.join(ahead, ["host", "template"]).select(
+                "host", "segs", F.expr("slice(rest, skip + 1, size(rest))").alias("rest"), "lab", "blk", step.alias("template")
+            ),
+            "moved",
         )
-        grown = F.when(F.col("b.name").isNull(), F.col("a.template")).otherwise(
-            F.concat(F.col("a.template"), F.col("b.name"), F.lit("/"))
+        moved.where(F.size("rest") == 0).drop("rest").write.mode("append").parquet(ended)
+        at = moved.where(F.size("rest") > 0).withColumn("seg", F.get("rest", F.lit(0)))
+        grown = at.join(_branch_names(at), ["host", "template", "seg"]).select(
+            "host",
+            "segs",
+            F.expr("slice(rest, 2, size(rest))").alias("rest"),
+            "lab",
+            "blk",
+            F.concat("template", "name", F.lit("/")).alias("template"),
         )
-        tree = cut_lineage(joined.select("a.host", "a.segs", "a.lab", "a.blk", grown.alias("template")))
-    for part in ended:
-        tree = tree.unionByName(part)
+        live = stored(grown, "shapes")
+        left = live.count()
+    tree = spark.read.parquet(ended)
     leaves = tree.groupBy("host", "template").agg(F.sum("lab").alias("labelled"), F.sum("blk").alias("blocked"))
     return tree.select("host", "segs", "template").join(leaves, ["host", "template"])
 
 
-def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, depth: int | None = None) -> DataFrame:
-    """pages(page_id, url) -> page_id, host, path, rule, template, purity, verdict."""
+def lower_bound(blocked: Column, labelled: Column) -> Column:
+    """Wilson's lower bound of the blocked share; null without labels."""
+    z2 = SURE * SURE
+    spread = F.sqrt(F.try_divide(blocked * (labelled - blocked), labelled) + F.lit(z2 / 4))
+    return F.when(labelled > 0, (blocked + F.lit(z2 / 2) - F.lit(SURE) * spread) / (labelled + F.lit(z2)))
+
+
+def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
+    """pages(page_id, url) -> page_id, host, path, rule, template, purity (lower
+    bound of the template's blocked share), verdict."""
     urls = parse(pages.select("page_id", "url"))
     rule, verdict = rule_of(rules)
     urls = urls.withColumns({"rule": rule, "verdict": verdict, "segs": _segments()})
-    leaves = templates(urls, depth)
-    total = leaves.select("host", "template", "labelled", "blocked").distinct().agg(
-        F.sum("labelled").alias("all_lab"), F.sum("blocked").alias("all_blk")
-    ).first()
-    p0 = (total.all_blk or 0) / total.all_lab if total.all_lab else 0.0
-    purity = (F.col("blocked") + SMOOTHING * p0) / (F.col("labelled") + SMOOTHING)
-    method = F.when((F.col("labelled") > 0) & (purity >= PURITY), "block").otherwise("allow")
+    purity = lower_bound(F.col("blocked"), F.col("labelled"))
+    leaves = templates(urls).select("host", "segs", "template", "labelled", purity.alias("purity"))
+    bad = (F.col("labelled") >= MIN_LABELS) & (F.col("purity") >= PURITY)
+    method = F.when(bad, "block").otherwise("allow")
     return urls.join(leaves, ["host", "segs"], "left").select(
-        "page_id",
-        "host",
-        "path",
-        "rule",
-        "template",
-        purity.alias("purity"),
-        F.coalesce("verdict", method).alias("verdict"),
+        "page_id", "host", "path", "rule", "template", "purity", F.coalesce("verdict", method).alias("verdict")
     )
 
 
 def _oracle() -> str:
-    """The same tree as a chain of common table expressions, one per level."""
+    """The same tree as a recursive query, a round at a time."""
     fits = []
     for kind, text in sorted(RULES, key=lambda r: -len(r[1])):
         host, _, path = text.partition("/")
         fits.append((f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')", text, kind))
     case = lambda k: "CASE " + " ".join(f"WHEN {f[0]} THEN '{f[k]}'" for f in fits) + " END"
-    ctes = [
-        "r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)",
-        "h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h0 FROM r)",
-        f"""p AS (SELECT page_id, translate(h0, '{UPPER}', '{LOWER}') AS host,
-              regexp_extract(substr(rest, length(h0) + 1), '^[^?#]*') AS path FROM h)""",
-        f"""u AS (SELECT *, {case(1)} AS rule, {case(2)} AS verdict,
-              list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
-                lambda s: CASE WHEN regexp_matches(s, '{VALUE}') THEN '*' ELSE s END) AS segs FROM p)""",
-        """t0 AS (SELECT host, segs, count(*) AS n, count(verdict) AS lab, count(*) FILTER (verdict = 'block') AS blk,
-              '/' AS template FROM u GROUP BY host, segs)""",
-    ]
-    for i in range(DEPTH + 1):
-        seg = f"segs[{i + 1}]" if i < DEPTH else f"CASE WHEN len(segs) > {DEPTH} THEN '*' END"
-        ctes += [
-            f"a{i} AS (SELECT *, {seg} AS seg FROM t{i})",
-            f"""c{i} AS (SELECT host, template, seg, sum(n) AS n, sum(lab) AS lab, sum(blk) AS blk,
-                  CASE WHEN sum(lab) >= {MIN_LABELS} THEN CASE WHEN sum(blk) * 2 >= sum(lab) THEN '+' ELSE '-' END END AS side
-                  FROM a{i} GROUP BY ALL)""",
-            f"""v{i} AS (SELECT *, count(seg) OVER w AS d, sum(n) OVER w AS every,
-                  sum(CASE WHEN seg IS NOT NULL THEN blk END) OVER s / sum(CASE WHEN seg IS NOT NULL THEN lab END) OVER s AS p,
-                  count(seg) OVER s AS siblings FROM c{i}
-                  WINDOW w AS (PARTITION BY host, template), s AS (PARTITION BY host, template, side))""",
-            f"""n{i} AS (SELECT host, template, seg, CASE WHEN seg IS NULL THEN NULL
-                  WHEN d >= {MIN_CHILDREN} AND every <= d * {MAX_PER_CHILD} THEN '*'
-                  WHEN side IS NOT NULL AND siblings > 1
-                    AND abs(blk / lab - p) <= 2 * sqrt(p * (1 - p) / lab) + 0.5 / lab THEN '~' || side
-                  ELSE seg END AS name FROM v{i})""",
-            f"""t{i + 1} AS (SELECT a.host, a.segs, a.n, a.lab, a.blk,
-                  CASE WHEN b.name IS NULL THEN a.template ELSE a.template || b.name || '/' END AS template
-                  FROM a{i} a JOIN n{i} b ON a.host = b.host AND a.template = b.template AND a.seg IS NOT DISTINCT FROM b.seg)""",
-        ]
-    last = f"t{DEPTH + 1}"
-    ctes += [
-        f"l AS (SELECT host, template, sum(lab) AS labelled, sum(blk) AS blocked FROM {last} GROUP BY ALL)",
-        "z AS (SELECT coalesce(sum(blocked) / nullif(sum(labelled), 0), 0) AS p0 FROM l)",
-        f"""j AS (SELECT {last}.host, segs, labelled > 0 AND (blocked + {SMOOTHING} * p0) / (labelled + {SMOOTHING}) >= {PURITY}
-              AS bad FROM {last} JOIN l ON {last}.host = l.host AND {last}.template = l.template, z)""",
-    ]
-    return "WITH " + ",\n".join(ctes) + """
+    some = f"{MIN_CHILDREN} AND every <= d * {MAX_PER_CHILD}"
+    z2 = SURE * SURE
+    return f"""WITH RECURSIVE
+      r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+      h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h0 FROM r),
+      p AS (SELECT page_id, translate(h0, '{UPPER}', '{LOWER}') AS host,
+        regexp_extract(substr(rest, length(h0) + 1), '^[^?#]*') AS path FROM h),
+      u AS (SELECT *, {case(1)} AS rule, {case(2)} AS verdict,
+        list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+          lambda s: CASE WHEN regexp_matches(s, '{VALUE}') THEN '*' ELSE s END) AS segs FROM p),
+      t AS (
+        SELECT host, segs, segs AS rest, count(verdict) AS lab, count(*) FILTER (verdict = 'block') AS blk, '/' AS template, true AS live
+        FROM (SELECT DISTINCT host, path, segs, verdict FROM u) GROUP BY host, segs
+      UNION ALL (
+        WITH l AS (SELECT * FROM t WHERE live),
+        g AS (SELECT host, template, coalesce(list_min(list_filter(range(least(len(lo), len(hi))), lambda i: lo[i + 1] <> hi[i + 1])),
+            least(len(lo), len(hi))) AS skip
+          FROM (SELECT host, template, min(rest) AS lo, max(rest) AS hi FROM l GROUP BY ALL)),
+        m AS (SELECT host, segs, rest[skip + 1:] AS rest, lab, blk,
+            template || array_to_string(list_transform(rest[:skip], lambda x: x || '/'), '') AS template
+          FROM l JOIN g USING (host, template)),
+        a AS (SELECT *, rest[1] AS seg FROM m WHERE len(rest) > 0),
+        c AS (SELECT *, CASE WHEN lab > 0 THEN CASE WHEN blk * 2 >= lab THEN '+' ELSE '-' END END AS lean FROM (
+          SELECT host, template, seg, count(*) AS n, sum(lab) AS lab, sum(blk) AS blk FROM a GROUP BY ALL)),
+        s AS (SELECT *, rest[2] AS nxt, rest[3:] AS tail FROM a),
+        b AS (SELECT host, template, seg, count(DISTINCT nxt) AS d, count(*) AS every FROM s GROUP BY ALL),
+        f AS (SELECT DISTINCT host, template, seg, lab, lean, form FROM (
+          SELECT s.host, s.template, s.seg, [coalesce(CASE WHEN d >= {some} AND nxt IS NOT NULL THEN '*' ELSE nxt END, '/')] || tail AS form
+          FROM s JOIN b USING (host, template, seg)) JOIN (SELECT host, template, seg, lab, lean FROM c) USING (host, template, seg)),
+        pool AS (SELECT DISTINCT host, template, lean AS side, form FROM f WHERE lab >= {MIN_LABELS}),
+        size AS (SELECT host, template, side, count(*) AS size FROM pool GROUP BY ALL),
+        own AS (SELECT host, template, seg, count(*) AS own FROM f WHERE lab = 0 GROUP BY ALL),
+        sh AS (SELECT f.host, f.template, seg, side, count(*) AS shared FROM f JOIN pool USING (host, template, form)
+          WHERE lab = 0 GROUP BY ALL),
+        sc AS (SELECT host, template, seg, side, shared / (own + size - shared) AS alike FROM sh
+          JOIN size USING (host, template, side) JOIN own USING (host, template, seg)),
+        j AS (SELECT host, template, seg, CASE WHEN bad > good THEN '+' ELSE '-' END AS joins FROM (
+          SELECT host, template, seg, max(CASE WHEN side = '+' THEN alike ELSE 0 END) AS bad,
+            max(CASE WHEN side = '-' THEN alike ELSE 0 END) AS good FROM sc WHERE alike >= {SIMILAR} GROUP BY ALL) WHERE bad <> good),
+        q AS (SELECT host, template, lean, sum(blk) / sum(lab) AS p FROM c WHERE lab >= {MIN_LABELS} GROUP BY ALL),
+        sd AS (SELECT c.host, c.template, c.seg, c.n, coalesce(joins,
+            CASE WHEN lab > 0 AND abs(blk / lab - p) <= 2 * sqrt(p * (1 - p) / lab) + 0.5 / lab THEN c.lean END) AS side
+          FROM c LEFT JOIN q ON q.host = c.host AND q.template = c.template AND q.lean = c.lean
+            LEFT JOIN j ON j.host = c.host AND j.template = c.template AND j.seg = c.seg),
+        nm AS (SELECT host, template, seg, CASE WHEN d >= {some} THEN '*'
+            WHEN side IS NOT NULL AND members > 1 THEN '~' || side ELSE seg END AS name
+          FROM (SELECT *, count(*) OVER w AS d, sum(n) OVER w AS every, count(*) OVER (PARTITION BY host, template, side) AS members
+            FROM sd WINDOW w AS (PARTITION BY host, template)))
+        SELECT host, segs, rest, lab, blk, template, false FROM m WHERE len(rest) = 0
+        UNION ALL
+        SELECT a.host, a.segs, a.rest[2:], a.lab, a.blk, a.template || name || '/', true FROM a JOIN nm USING (host, template, seg))),
+      l AS (SELECT host, template, sum(lab) AS n, sum(blk) AS b FROM t WHERE NOT live GROUP BY ALL),
+      v AS (SELECT t.host, segs, n >= {MIN_LABELS} AND
+          (b + {z2 / 2} - {SURE} * sqrt(b * (n - b) / n + {z2 / 4})) / (n + {z2}) >= {PURITY} AS bad
+        FROM t JOIN l USING (host, template) WHERE NOT live)
       SELECT page_id, u.host, path, rule, coalesce(verdict, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
-      FROM u LEFT JOIN j ON u.host = j.host AND u.segs = j.segs"""
+      FROM u LEFT JOIN v ON u.host = v.host AND u.segs = v.segs"""
 
 
 @register("op10_url_filter", _oracle())
