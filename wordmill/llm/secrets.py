@@ -11,9 +11,14 @@ holds a count per character; a step adds one character and removes another,
 which changes the sum of c log2 c by two table look-ups. Tables hold
 round(1e6 c log2 c), so the sums are exact integers. The entropy of a window is
 log2(20) - sum / 20. A candidate is of one character class (hex, digits and
-letters mixed, letters only), each with its own threshold, and is reported if
-its best window reaches it, unless an allow-list pattern matches it or a base
-span already holds it.
+letters, letters of both cases, of one case, other), each with its own threshold,
+and is reported if its best window reaches it, unless an allow-list pattern
+matches it or a base span already holds it. An allow-list word (``example`` and
+the like) clears the part between slashes that holds it; the other parts are
+judged on their own.
+
+Spans of a text, however many, take a running sum over blocks of BLOCK spans, so
+a text with n of them costs about n BLOCK steps.
 
 Defined cases: a null or empty text has no spans and the hash of an empty
 string; a long text or candidate is scanned whole; repeated rows each get their
@@ -59,15 +64,21 @@ class CharClass:
 
 
 # Random hex has about 3.3 bits in 20 characters, random base64 about 4.1;
-# words and identifiers stay under 3.7. Letters alone need nearly all distinct.
+# words and identifiers stay under 3.7. Random letters of both cases have 4.0, of
+# one case 3.7; words of 20 letters reach 3.58. Names with separators need nearly all
+# characters distinct.
 CLASSES = (
     CharClass("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0),
     CharClass("mixed", r"^(?=.*[0-9])(?=.*[A-Za-z]).*$", 3.7),
-    CharClass("letters", r"^.*$", 4.2),
+    CharClass("cased", r"^[A-Za-z]*[a-z][A-Za-z]*[A-Z][A-Za-z]*$", 3.75),
+    CharClass("letters", r"^[A-Za-z]+$", 3.65),
+    CharClass("other", r"^.*$", 4.2),
 )
-# Values that look random but are no secrets: placeholders, UUIDs, paths.
+BLOCK = 256  # spans of a text whose positions are summed together
+# Words of values that look random but are no secrets.
+WORDS = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]"
+# Such values whole: UUIDs, paths, one character repeated.
 ALLOW = (
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^/?([A-Za-z_-]+/)+[A-Za-z_-]*$",
     r"^(.)\1+$",
@@ -75,24 +86,52 @@ ALLOW = (
 
 
 
+def _with(value: Column, body) -> Column:
+    """body(value) with value computed once, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(items: Column, value, add, zero: Column) -> Column:
+    """For each item, the values of the items before it, added up: first within
+    blocks, then over the blocks' totals."""
+
+    def before(xs: Column, start: Column, of) -> Column:
+        none = F.filter(F.array(start), lambda x: x.isNull())
+        first = F.struct(start.alias("at"), none.alias("out"))
+        step = lambda a, x: F.struct(add(a["at"], of(x)).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
+        return F.aggregate(xs, first, step, lambda a: a["out"])
+
+    def of_items(xs: Column) -> Column:
+        last = F.greatest(F.floor((F.size(xs) - 1) / BLOCK), F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * BLOCK + 1, BLOCK))
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda xs: F.aggregate(xs, zero, lambda a, x: add(a, value(x))))
+        return F.flatten(F.zip_with(blocks, before(totals, zero, lambda t: t), lambda xs, start: before(xs, start, value)))
+
+    return _with(_with(items, of_items), of_blocks)
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """array<struct<s,e,m>> of the leftmost non-overlapping matches, as code
     points with the end exclusive; empty if there are none."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    pairs = F.slice(
-        F.zip_with(between, found, lambda b, m: F.struct(F.length(b).alias("gap"), m.alias("m"))), 1, F.size(found)
+    pairs = _with(
+        found,
+        lambda f: F.slice(F.zip_with(between, f, lambda b, m: F.struct(F.length(b).alias("gap"), m.alias("m"))), 1, F.size(f)),
     )
     none = F.array().cast("array<struct<s:int,e:int,m:string>>")
 
-    def step(acc: Column, p: Column) -> Column:
-        s = acc["at"] + p["gap"]
-        e = s + F.length(p["m"])
-        span = F.struct(s.alias("s"), e.alias("e"), p["m"].alias("m"))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def span(p: Column, at: Column) -> Column:
+        s = at + p["gap"]
+        return F.struct(s.alias("s"), (s + F.length(p["m"])).alias("e"), p["m"].alias("m"))
+
+    def placed(ps: Column) -> Column:
+        at = _running(ps, lambda p: p["gap"] + F.length(p["m"]), lambda a, x: a + x, F.lit(0))
+        return F.zip_with(ps, at, span)
 
-    first = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, first, step, lambda acc: acc["out"])).otherwise(none)
+    return F.when(text.rlike(pattern), _with(pairs, placed)).otherwise(none)
 
 
 def _put(counts: Column, at: Column, value: Column) -> Column:
@@ -137,7 +176,7 @@ def least_sum(value: Column) -> Column:
     return F.aggregate(steps, zero, step, lambda a: a["least"])
 
 
-def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW, words: str = WORDS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, spans: array<struct<s,k,e,m>> ordered by
     start and kind (k indexes KINDS), m the matched string."""
     text = F.coalesce("text", F.lit(""))
@@ -160,15 +199,31 @@ def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     df = df.withColumn("base", F.concat(*[tagged(n, k) for k, n in enumerate(KINDS[:3])]))
 
     def secret(x: Column) -> Column:
-        bound = F.lit(-1)
-        for c in reversed(CLASSES):
-            bound = F.when(x["m"].rlike(c.pattern), c.max_sum).otherwise(bound)
-        ok = least_sum(x["m"]) <= bound
+        def random(v: Column) -> Column:
+            bound = F.lit(-1)
+            for c in reversed(CLASSES):
+                bound = F.when(v.rlike(c.pattern), c.max_sum).otherwise(bound)
+            return least_sum(v) <= bound
+
+        parts = F.filter(F.split(x["m"], "/"), lambda v: (F.length(v) >= WINDOW) & ~v.rlike(words))
+        ok = F.when(x["m"].rlike(words), F.exists(parts, random)).otherwise(random(x["m"]))
         for pattern in allow:
             ok = ~x["m"].rlike(pattern) & ok
-        return ~F.exists("base", lambda b: (b["s"] <= x["s"]) & (x["e"] <= b["e"])) & ok
+        return ~x["held"] & ok
 
-    df = df.withColumn("entropy", F.filter("candidate", secret))
+    # A base span holds a candidate if the ends of the spans up to its start reach its end.
+    every = F.array_sort(
+        F.concat(
+            F.transform("base", lambda x: F.struct(x["s"].alias("s"), F.lit(0).alias("c"), x["e"].alias("e"), F.lit("").alias("m"))),
+            F.transform("candidate", lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("c"), x["e"].alias("e"), x["m"].alias("m"))),
+        )
+    )
+
+    def judged(spans: Column) -> Column:
+        reach = _running(spans, lambda x: F.when(x["c"] == 0, x["e"]).otherwise(0), lambda a, x: F.greatest(a, x), F.lit(0))
+        return F.zip_with(spans, reach, lambda x, r: x.withField("held", r >= x["e"]))
+
+    df = df.withColumn("entropy", F.filter(F.filter(_with(every, judged), lambda x: x["c"] == 1), secret))
     return df.select("doc_id", F.array_sort(F.concat("base", tagged("entropy", 3))).alias("spans"))
 
 
@@ -194,23 +249,26 @@ def _oracle() -> str:
         for i, (k, p) in enumerate(kinds.items())
     )
     logs = ", ".join(map(str, CLOGC[1:]))
-    bound = " ".join(
-        f"WHEN regexp_matches(m, '{p}') THEN {c.max_sum}"
-        for c, p in zip(CLASSES, ("^([0-9a-f]+|[0-9A-F]+)$", "[0-9].*[A-Za-z]|[A-Za-z].*[0-9]", "^.*$"), strict=True)
-    )
+    sql_patterns = [c.pattern for c in CLASSES]
+    sql_patterns[1] = "[0-9].*[A-Za-z]|[A-Za-z].*[0-9]"  # no lookahead in RE2
+    bound = " ".join(f"WHEN regexp_matches(v, '{p}') THEN {c.max_sum}" for c, p in zip(CLASSES, sql_patterns, strict=True))
     allow = " AND ".join(
-        [f"NOT regexp_matches(m, '{p}')" for p in ALLOW[:3]] + ["NOT length(replace(m, m[1], '')) = 0"]
+        [f"NOT regexp_matches(m, '{p}')" for p in ALLOW[:2]] + ["NOT length(replace(m, m[1], '')) = 0"]
     )
     return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
       r AS (SELECT rid, kind, k, x.s AS s, x.s + length(x.m) AS e, x.m AS m FROM ({spans})),
       base AS (SELECT * FROM r WHERE kind = 'hex' OR (kind = 'access' AND e - s >= 16)
         OR (kind = 'assign' AND length(regexp_extract(m, '{kinds["assign"]}', 2)) >= 8)),
-      w AS (SELECT DISTINCT m, substr(m, i, {WINDOW}) AS w
-            FROM (SELECT DISTINCT m, unnest(range(1, length(m) - {WINDOW} + 2)) AS i FROM r WHERE kind = 'cand')),
-      sums AS (SELECT m, w, sum([{logs}][c]) AS t FROM (
-            SELECT m, w, ch, count(*) AS c FROM (SELECT m, w, unnest(string_split(w, '')) AS ch FROM w) GROUP BY ALL)
+      parts AS (SELECT DISTINCT m, unnest(CASE WHEN regexp_matches(m, '{WORDS}')
+          THEN list_filter(string_split(m, '/'), lambda v: length(v) >= {WINDOW} AND NOT regexp_matches(v, '{WORDS}')) ELSE [m] END) AS v
+        FROM r WHERE kind = 'cand'),
+      w AS (SELECT DISTINCT v, substr(v, i, {WINDOW}) AS w
+            FROM (SELECT DISTINCT v, unnest(range(1, length(v) - {WINDOW} + 2)) AS i FROM parts)),
+      sums AS (SELECT v, w, sum([{logs}][c]) AS t FROM (
+            SELECT v, w, ch, count(*) AS c FROM (SELECT v, w, unnest(string_split(w, '')) AS ch FROM w) GROUP BY ALL)
             GROUP BY ALL),
-      hit AS (SELECT m FROM sums GROUP BY m HAVING min(t) <= CASE {bound} END AND {allow}),
+      random AS (SELECT v FROM sums GROUP BY v HAVING min(t) <= CASE {bound} END),
+      hit AS (SELECT DISTINCT m FROM parts WHERE v IN (SELECT v FROM random) AND {allow}),
       extra AS (SELECT * FROM r WHERE kind = 'cand' AND m IN (SELECT m FROM hit)
         AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = r.rid AND b.s <= r.s AND r.e <= b.e)),
       spans AS (SELECT rid, s, k, kind || ':' || s || ':' || e AS t, TRUE AS is_base FROM base
