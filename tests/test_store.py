@@ -57,3 +57,45 @@ def test_sample_corpus_trains_vocab(spark):
     v = vc.build_vocab(tk.explode_tokens(sample_corpus(spark)))
     ids = {r["token"]: r["id"] for r in v.collect()}
     assert ids["hello"] == 4 and ids["world"] == 5 and ids["."] == 6
+
+
+def test_a_saved_model_loads_by_its_own_dimensions_and_goes_on(spark):
+    """Train, save, load, train on: equal to training without a break."""
+    from conftest import seqs_df
+
+    from wordmill.operators.gradients import adam_state
+    from wordmill.operators.windows import next_token_windows
+    from wordmill.plans.train import TrainingConfig, train_batch
+    from wordmill.sources.store import load_model
+
+    cfg = TrainingConfig(learning_rate=0.05, dropout=False)
+    wins = next_token_windows(seqs_df(spark, [[2, 5, 7, 9, 3], [2, 11, 3]]), 4)
+    batch = wins.withColumn("sample_no", F.col("seq_id") * 10 + F.col("i")).cache()
+    one, _, _ = train_batch(adam_state(init_params(spark, SHAPE, seed=3)), batch, SHAPE, cfg, 1)
+    whole, loss, _ = train_batch(one, batch, SHAPE, cfg, 2)
+
+    path = tempfile.mkdtemp(prefix="wm-model-") + "/m"
+    write_params(one, SHAPE, path, step=1)
+    state, shape, step = load_model(spark, path, seed=99)
+    assert shape == SHAPE and step == 1
+    again, loss2, _ = train_batch(state, batch, shape, cfg, step + 1)
+    assert abs(loss - loss2) < 1e-12
+    rows = lambda df: {(r.param, r.row_id): (r.vec, r.m, r.v) for r in df.collect()}
+    a, b = rows(whole), rows(again)
+    assert a.keys() == b.keys()
+    assert all(abs(x - y) < 1e-9 for k in a for u, w in zip(a[k], b[k], strict=True) for x, y in zip(u, w, strict=True))
+
+
+def test_params_flatten_and_back(spark):
+    from wordmill.operators.params import flatten_all, flatten_matrix, unflatten_all, unflatten_matrix
+
+    init = init_params(spark, SHAPE, seed=1).cache()
+    flat = flatten_all(init)
+    shapes = init.groupBy("param").agg(F.count("*").alias("rows"), F.max(F.size("vec")).alias("cols"))
+    rows = lambda df: sorted((r.param, r.row_id, tuple(r.vec)) for r in df.select("param", "row_id", "vec").collect())
+    assert rows(unflatten_all(flat, shapes)) == rows(init)
+    lost = flat.where("NOT (param = 'output_layer' AND k = 3)")
+    assert {r.param for r in unflatten_all(lost, shapes).collect()} == {r.param for r in shapes.collect()} - {"output_layer"}
+    one = flatten_matrix(init, "embedding")
+    assert rows(unflatten_matrix(one, "embedding", 12, 4)) == rows(init.where("param = 'embedding'"))
+    assert unflatten_matrix(one, "embedding", 12, 5).count() == 0

@@ -73,3 +73,40 @@ def test_write_in_order_takes_null_keys_and_empty_tables(spark, tmp_path):
     for name, table in (("some", rows), ("none", rows.limit(0))):
         paths = write_in_order(table, str(tmp_path / name), 2)
         assert sum(spark.read.schema(rows.schema).parquet(p).count() for p in paths) == table.count()
+
+
+def test_a_batch_writes_its_new_words_only_and_compaction_changes_nothing(spark):
+    from wordmill.streaming.vocab_stream import VocabLog, latest_vocab, vocab_batch_writer
+
+    texts = [f"the cat number{i} sat on the mat{i // 2}" for i in range(10)]
+    docs = docs_df(spark, texts)
+    key = lambda df: sorted(tuple(r) for r in df.select("token", "id", "n", "first_doc", "first_pos").collect())
+    want = key(vc.build_vocab(tk.explode_tokens(docs)))
+    for every in (1, 3, 100):
+        d = tempfile.mkdtemp(prefix="wm-log-") + "/vocab"
+        write = vocab_batch_writer(d, compact_every=every)
+        for b in range(5):
+            write(docs.where(f"doc_id div 2 = {b}"), b)
+        assert key(latest_vocab(spark, d)) == want
+        fresh = [r.token for r in spark.read.parquet(f"{d}/words/batch=3").collect()]
+        assert sorted(fresh) == ["mat3", "number6", "number7"]
+        log = VocabLog(spark, d)
+        assert log.base == {1: 4, 3: 2, 100: None}[every] and len(log.after) == {1: 0, 3: 2, 100: 5}[every]
+
+
+def test_a_crash_between_the_folders_leaves_the_log_as_it_was(spark, monkeypatch):
+    from wordmill.streaming import vocab_stream as vs
+
+    docs = docs_df(spark, ["the cat sat", "a new dog", "and the end"])
+    key = lambda df: sorted(tuple(r) for r in df.select("token", "id", "n", "first_doc", "first_pos").collect())
+    d = tempfile.mkdtemp(prefix="wm-crash-") + "/vocab"
+    write = vs.vocab_batch_writer(d)
+    write(docs.where("doc_id = 0"), 0)
+    before = key(vs.latest_vocab(spark, d))
+    # Words and counts of batch 1 are written, its manifest is not.
+    spark.createDataFrame([("torn", 99, 1, 0)], vs.WORDS).write.parquet(f"{d}/words/batch=1")
+    spark.createDataFrame([("torn", 5)], vs.COUNTS).write.parquet(f"{d}/counts/batch=1")
+    assert key(vs.latest_vocab(spark, d)) == before
+    write(docs.where("doc_id = 1"), 1)
+    write(docs.where("doc_id = 2"), 2)
+    assert key(vs.latest_vocab(spark, d)) == key(vc.build_vocab(tk.explode_tokens(docs)))

@@ -113,15 +113,22 @@ def test_token_counts(spark):
     assert {r["token_id"]: r["count"] for r in out.collect()} == {5: 2, 6: 1}
 
 
-def test_encode_shuffles_text_once(spark):
-    docs = docs_df(spark, ["hello world", "more words here", "hello again"])
+def test_encode_shuffles_text_once(spark, monkeypatch):
+    from wordmill.operators import _util
     from wordmill.session import cut_lineage
 
+    docs = docs_df(spark, ["hello world", "more words here", "hello again"])
     vocab = cut_lineage(vocab_of(spark, ["hello world", "more words here", "hello again"]))
-    plan = tk.encode(docs, vocab)._jdf.queryExecution().executedPlan().toString()
-    # one hash exchange of the text by key; the lookup is a broadcast and the
-    # regrouping reuses the partitioning
-    assert plan.count("Exchange hashpartitioning") == 1
+    plans = []
+    plain = _util.stored
+    monkeypatch.setattr(
+        _util, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, name)
+    )
+    after = tk.encode(docs, vocab)._jdf.queryExecution().executedPlan().toString()
+    # one hash exchange of the text by row; the look-up of frequent words is a
+    # broadcast and the regrouping reuses the partitioning; no text comes after
+    assert plans[0].count("Exchange hashpartitioning") == 1
+    assert "regexp_extract_all" in plans[0] and "regexp_extract_all" not in after
 
 
 def test_build_vocab_partition_independent(spark):
@@ -139,30 +146,61 @@ def test_build_vocab_partition_independent(spark):
     assert one == many
 
 
-def test_build_vocab_wide_keys_take_the_struct_path(spark):
-    texts = [(-5, "b a"), (2**40, "a c"), (7, "c d b")]
+def test_build_vocab_orders_any_key(spark):
+    """Negative and 64-bit keys, and a null one, which comes first."""
+    texts = [(-5, "b a"), (2**40, "a c"), (7, "c d b"), (2**63 - 1, "top a"), (-(2**63), "low b"), (None, "n d n")]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
     v = {r["token"]: (r["id"], r["n"], r["first_doc"], r["first_pos"]) for r in vc.build_vocab(tk.explode_tokens(docs)).collect()}
-    assert v["b"] == (4, 2, -5, 0) and v["a"] == (5, 2, -5, 1) and v["c"] == (6, 2, 7, 0) and v["d"] == (7, 1, 7, 1)
+    assert v["n"] == (4, 2, None, 0) and v["d"] == (5, 2, None, 1)
+    assert v["low"] == (6, 1, -(2**63), 0) and v["b"] == (7, 3, -(2**63), 1) and v["a"] == (8, 3, -5, 1)
+    assert v["c"] == (9, 2, 7, 0) and v["top"] == (10, 1, 2**63 - 1, 0)
 
 
-def test_shuffle_join_path_matches_broadcast(spark, monkeypatch):
-    """The path taken when the vocabulary exceeds the broadcast bound."""
-    texts = ["Hello world! This is a test.", "another test, with words", "", "hello again world"]
+def test_rare_words_by_shuffle_match_the_broadcast(spark, monkeypatch):
+    """Whatever the share of words that is broadcast, and without any."""
+    from wordmill.operators import _util
     from wordmill.session import cut_lineage
 
+    texts = ["Hello world! This is a test.", "another test, with words", "", "hello again world", None]
     docs = docs_df(spark, texts)
-    vocab = cut_lineage(vocab_of(spark, texts))
+    vocab = cut_lineage(vocab_of(spark, texts[:4]))
     key = lambda df, k: sorted((r[k], tuple(r["ids"]) if "ids" in r else r["text"]) for r in df.collect())
-    enc_b = key(tk.encode(docs, vocab), "doc_id")
-    dec_b = key(tk.decode(tk.encode(docs, vocab).withColumnRenamed("doc_id", "seq_id"), vocab), "seq_id")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    monkeypatch.setattr(tk, "bounded_broadcast", lambda df, *a, **k: df)
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    long = lambda: tk.encode(docs, vocab).select("doc_id", F.explode("ids").alias("token_id"))
+    seen = []
+    for hot in (100_000, 3, 0):
+        monkeypatch.setattr(_util, "HOT_KEYS", hot)
         enc = tk.encode(docs, vocab)
-        assert "BroadcastHashJoin" not in enc._jdf.queryExecution().executedPlan().toString()
-        assert key(enc, "doc_id") == enc_b
-        assert key(tk.decode(enc.withColumnRenamed("doc_id", "seq_id"), vocab), "seq_id") == dec_b
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        dec = tk.decode(enc.withColumnRenamed("doc_id", "seq_id"), vocab)
+        words = sorted((r.doc_id, r.token_id, r.token) for r in tk.ids_to_tokens(long(), vocab).collect())
+        seen.append((key(enc, "doc_id"), key(dec, "seq_id"), words))
+    assert seen[0] == seen[1] == seen[2]
+    assert seen[0][1][0] == (0, "hello world! this is a test.")
+
+
+def test_rows_that_share_a_key_stay_apart(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "c"), (1, "a b"), (2, None)], "doc_id bigint, text string")
+    vocab = vocab_of(spark, ["a b c"])
+    enc = tk.encode(docs, vocab)
+    assert sorted((r.doc_id, tuple(r.ids)) for r in enc.collect()) == [(1, (2, 4, 5, 3)), (1, (2, 4, 5, 3)), (1, (2, 6, 3)), (2, (2, 3))]
+    dec = tk.decode(enc.withColumnRenamed("doc_id", "seq_id"), vocab)
+    assert sorted((r.seq_id, r.text) for r in dec.collect()) == [(1, "a b"), (1, "a b"), (1, "c"), (2, "")]
+    check = tk.roundtrip_check(docs, vocab).collect()
+    assert len(check) == 4 and sorted((r.doc_id, r.same) for r in check if r.same is not None) == [(1, True)] * 3
+
+
+def test_a_hot_word_is_not_shuffled(spark, monkeypatch):
+    """A word that makes up most of the corpus stays with its texts; the rows
+    that cross the cold join are distinct (text, word) pairs."""
+    from wordmill.operators import _util
+
+    monkeypatch.setattr(_util, "HOT_KEYS", 1)
+    docs = docs_df(spark, ["the " * 500 + f"word{i} word{i} word{i % 3}x" for i in range(20)])
+    vocab = vc.build_vocab(tk.explode_tokens(docs))
+    tables = []
+    plain = _util.stored
+    monkeypatch.setattr(_util, "stored", lambda df, name: tables.append(plain(df, name)) or tables[-1])
+    enc = {r.doc_id: r.ids for r in tk.encode(docs, vocab).collect()}
+    ids = {r.token: r.id for r in vocab.collect()}
+    assert all(len(v) == 505 and v[1:501] == [ids["the"]] * 500 and v[501:503] == [ids[f"word{i}"]] * 2 for i, v in enc.items())
+    rest = tables[0].select(F.explode("_rest").alias("x")).select("x.*")
+    assert rest.where("token = 'the'").count() == 0 and rest.count() == 60

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 TWO_32 = 4294967296.0
 
 
-def hash_uniform(seed: int, name: str, *keys: Column | str | int) -> Column:
+def _digest(seed: int, name: str, keys: tuple) -> Column:
     parts = [F.lit(str(seed)), F.lit(name)]
     for k in keys:
         if isinstance(k, int):
@@ -23,14 +23,30 @@ def hash_uniform(seed: int, name: str, *keys: Column | str | int) -> Column:
             parts.append(F.col(k).cast("string"))
         else:
             parts.append(k.cast("string"))
-    digest = F.md5(F.concat_ws(":", *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(TWO_32)
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def _digest_sql(seed: int, name: str, keys: tuple[str, ...]) -> str:
+    inner = ", ".join([f"'{seed}'", f"'{name}'"] + [f"CAST({k} AS VARCHAR)" for k in keys])
+    return f"md5(concat_ws(':', {inner}))"
+
+
+def hash_uniform(seed: int, name: str, *keys: Column | str | int) -> Column:
+    return F.conv(F.substring(_digest(seed, name, keys), 1, 8), 16, 10).cast("bigint") / F.lit(TWO_32)
 
 
 def hash_uniform_sql(seed: int, name: str, *keys: str) -> str:
     """The DuckDB text of the same number (keys are SQL expressions)."""
-    inner = ", ".join([f"'{seed}'", f"'{name}'"] + [f"CAST({k} AS VARCHAR)" for k in keys])
-    return f"(CAST(('0x' || substr(md5(concat_ws(':', {inner})), 1, 8)) AS BIGINT) / {TWO_32})"
+    return f"(CAST(('0x' || substr({_digest_sql(seed, name, keys)}, 1, 8)) AS BIGINT) / {TWO_32})"
+
+
+def hash_draw(seed: int, name: str, *keys: Column | str | int) -> Column:
+    """hash_uniform with 52 bits, for draws among more than 2^32 things."""
+    return F.conv(F.substring(_digest(seed, name, keys), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
+
+
+def hash_draw_sql(seed: int, name: str, *keys: str) -> str:
+    return f"(CAST(('0x' || substr({_digest_sql(seed, name, keys)}, 1, 13)) AS BIGINT) / {float(2**52)!r})"
 
 
 def hash_symmetric(seed: int, name: str, *keys) -> Column:

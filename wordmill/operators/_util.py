@@ -1,24 +1,64 @@
-"""Small shared helpers: size-checked broadcast and a distributed global rank."""
+"""Small shared helpers: look-ups that no frequent key can skew, vector sums and a
+distributed global rank."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
-# A side is broadcast only below this many rows (about 100 MB for vocabulary
-# or parameter rows); above it the join shuffles and AQE splits skewed keys.
-BROADCAST_ROWS = 2_000_000
+HOT_KEYS = 100_000
+HOT_BYTES = 256
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Checks the row bound with a LIMIT, so a huge side is never fully counted."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _hot_and_cold(table: DataFrame, key: str, value: str, weight: str) -> tuple[DataFrame, DataFrame]:
+    """table(key, value) in two parts: the HOT_KEYS rows of greatest weight with
+    a key and a value of at most HOT_BYTES each, some 50 MB at most, and the rest."""
+    table = cut_lineage(table.select(key, F.col(value).alias("_v"), F.col(weight).alias("_n")).where(F.col(key).isNotNull()))
+    size = lambda c: F.octet_length(F.col(c).cast("string"))
+    short = table.where((size(key) <= HOT_BYTES) & (size("_v") <= HOT_BYTES))
+    hot = short.orderBy(F.col("_n").desc(), key).limit(HOT_KEYS).select(key, "_v")
+    cold = table.join(F.broadcast(hot.select(key)), key, "left_anti").select(key, "_v")
+    return hot, cold
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def split_lookup(items: DataFrame, row: list[str], table: DataFrame, key: str, value: str, weight: str) -> DataFrame:
+    """items(row, pos, key) with ``value`` looked up in table(key, value, weight):
+    one row for each ``row`` with found: array<struct<pos, v>> in the order of
+    pos; v is null for a key that the table lacks, and a null pos (a row without
+    items) gives no entry. The keys of the table are unique.
+
+    Frequent keys would make a shuffle join lopsided, so the heaviest rows of
+    the table are broadcast, within a fixed bound; the other keys are shuffled
+    once per distinct (row, key), with their places. Items are computed once."""
+    hot, cold = _hot_and_cold(table, key, value, weight)
+    marked = items.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    entry, rest = F.struct("pos", F.col("_v").alias("v")), F.struct("pos", key)
+    base = stored(
+        marked.groupBy(*row).agg(
+            F.collect_list(F.when(F.col("_hot"), entry)).alias("_near"),
+            F.collect_list(F.when(F.col("_hot").isNull() & F.col("pos").isNotNull(), rest)).alias("_rest"),
+        ),
+        "lookup",
+    )
+    far = base.select(*row, F.explode("_rest").alias("_x")).select(*row, "_x.*")
+    far = far.groupBy(*row, key).agg(F.collect_list("pos").alias("_at")).join(cold, key, "left")
+    places = F.transform("_at", lambda p: F.struct(p.alias("pos"), F.col("_v").alias("v")))
+    far = far.select(*row, places.alias("_p")).groupBy(*row).agg(F.flatten(F.collect_list("_p")).alias("_far"))
+    none = F.array().cast(base.schema["_near"].dataType)
+    every = F.array_sort(F.concat("_near", F.coalesce("_far", none)))
+    return base.select(*row, "_near").join(far, row, "left").select(*row, every.alias("found"))
+
+
+def split_join(df: DataFrame, table: DataFrame, key: str, value: str, weight: str) -> DataFrame:
+    """df with the column ``value`` of table(key, value, weight), null where it
+    has none: rows of heavy keys meet a bounded broadcast, the others are shuffled."""
+    hot, cold = _hot_and_cold(table, key, value, weight)
+    marked = stored(df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left"), "lookup")
+    near = marked.where("_hot").withColumnRenamed("_v", value)
+    far = marked.where("_hot IS NULL").drop("_v").join(cold.withColumnRenamed("_v", value), key, "left")
+    return near.unionByName(far).select(*df.columns, value)
 
 
 def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank", start: int = 1) -> DataFrame:
@@ -71,3 +111,24 @@ def global_prefix_sum(df: DataFrame, order_cols: list[str], value: str, name: st
         .withColumn(name, (F.col("_off") + F.col("_run")).cast("bigint"))
         .drop("_pid", "_off", "_run")
     )
+
+
+SUMS = 64  # vector positions summed side by side
+
+
+def add_vectors(df: DataFrame, keys: list[str], col: str = "vec") -> DataFrame:
+    """Element-wise sums of the vectors of each group: keys, col. Vectors go in
+    pieces of SUMS positions, each piece as so many plain sums, which Spark
+    combines map-side: a group holds one piece at a time, however many vectors
+    it has. A shorter vector adds nothing to the positions it lacks; a null one
+    adds nothing at all."""
+    piece = F.col("__k") * SUMS
+    at = df.where(F.col(col).isNotNull()).withColumn("__k", F.explode(F.sequence(F.lit(0), F.greatest(F.floor((F.size(col) - 1) / SUMS), F.lit(0)))))
+    cells = [F.sum(F.get(col, (piece + i).cast("int"))).alias(f"__s{i}") for i in range(SUMS)]
+    size = F.max(F.least(F.size(col) - piece, F.lit(SUMS))).alias("__n")
+    sums = at.groupBy(*keys, "__k").agg(size, *cells)
+    part = F.slice(F.array(*[F.col(f"__s{i}") for i in range(SUMS)]), F.lit(1), F.greatest(F.col("__n"), F.lit(0)).cast("int"))
+    pieces = sums.select(*keys, F.struct("__k", part.alias("v")).alias("__p"))
+    # At most one piece per SUMS positions of a row of the model.
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list("__p")), lambda p: p["v"]))
+    return pieces.groupBy(*keys).agg(whole.alias(col))

@@ -1,9 +1,9 @@
 """Gradients and the Adam update as table operations.
 
 Gradient tables are ``(param, row_id, vec ARRAY<DOUBLE>)`` with only the rows
-that exist; an absent row is zero.  Sums go through the long form
-(param, row_id, k, g) so the partial aggregate runs map-side and a hot row
-(say the output row of a frequent token) is pre-summed per partition.
+that exist; an absent row is zero.  Sums are plain sums of pieces of the
+vectors, so the partial aggregate runs map-side and a hot row (say the output
+row of a frequent token) is pre-summed per partition.
 
 The backward pass is the reference's: the last position's dlogits = p - y;
 the output gradient is x_last (p - y)^T and the embedding row of the last
@@ -19,11 +19,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .model import hidden_states, pad_ids
+from ..session import stored
+from ._util import add_vectors
+from .blocked import Model, hidden_table, softmax_gradients, softmax_states
 from .params import ModelShape
+from .scoring import loss_of
 
 GRADS_SCHEMA = "param string, row_id bigint, vec array<double>"
-LOSS_PARAM = "__loss__"  # one row per partition: vec = [loss sum, windows]
+LOSS_PARAM = "__loss__"  # one row: vec = [loss sum, windows]
 CLIPPED = ("embedding", "output_layer")
 
 
@@ -49,75 +52,29 @@ def updated_params(shape: ModelShape) -> list[str]:
 
 def window_gradients(
     windows: DataFrame,
-    model,
+    model: Model,
     shape: ModelShape,
     key: str = "sample_no",
     training: bool = True,
     seed: int = 0,
     step: int = 0,
 ) -> DataFrame:
-    """Summed gradients of all windows of each partition (one GEMM per
-    partition for the output layer), plus one loss row per partition."""
-    V, D = shape.vocab_size, shape.embed_size
-
-    def run(batches):
-        w = model.value
-        out_g = np.zeros((V, D))
-        emb_g: dict[int, np.ndarray] = {}
-        loss_sum, n = 0.0, 0
-        for rb in batches:
-            pdf = rb.to_pandas()
-            seqs = [list(x) if x is not None else [] for x in pdf["input"]]
-            tgts = pdf["target"].to_numpy()
-            keys = pdf[key].to_numpy()
-            hs = np.zeros((len(seqs), D))
-            for b, seq in enumerate(seqs):
-                if not seq:
-                    continue
-                rng = np.random.default_rng([seed, step, int(keys[b]) & 0x7FFFFFFF]) if training else None
-                ids, _ = pad_ids([seq])
-                hs[b] = hidden_states(w, shape, ids, training, rng)[0, len(seq) - 1]
-            logits = hs @ w["output_layer"].T
-            e = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p = e / e.sum(axis=1, keepdims=True)
-            dl = p.copy()
-            for b, seq in enumerate(seqs):
-                n += 1
-                if not seq:
-                    dl[b] = 0.0
-                    continue
-                t = int(tgts[b])
-                if 0 <= t < V:
-                    loss_sum += -np.log(p[b, t] + 1e-10)
-                    dl[b, t] -= 1.0
-            out_g += dl.T @ hs
-            demb = dl @ w["output_layer"]
-            for b, seq in enumerate(seqs):
-                last = seq[-1] if seq else -1
-                if 0 <= last < V:
-                    emb_g[last] = emb_g.get(last, 0.0) + demb[b]
-        if n == 0:
-            return
-        rows = np.nonzero(np.any(out_g != 0.0, axis=1))[0]
-        yield _grad_batch("output_layer", rows, out_g[rows])
-        if emb_g:
-            ids_ = np.fromiter(emb_g.keys(), dtype=np.int64)
-            yield _grad_batch("embedding", ids_, np.stack([emb_g[int(i)] for i in ids_]))
-        yield _grad_batch(LOSS_PARAM, np.array([0]), np.array([[loss_sum, float(n)]]))
-
-    return windows.select(key, "input", "target").mapInArrow(run, GRADS_SCHEMA)
-
-
-def _grad_batch(name: str, row_ids: np.ndarray, vecs: np.ndarray):
-    """Arrow batch (param, row_id, vec) built from one flat buffer."""
-    import pyarrow as pa
-
-    k, d = vecs.shape
-    offsets = pa.array(np.arange(0, (k + 1) * d, d, dtype=np.int32))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([name] * k, pa.string()), pa.array(row_ids.astype(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(vecs.reshape(-1)))],
-        names=["param", "row_id", "vec"],
-    )
+    """Summed gradients of the windows (key, input, target): partial sums per
+    pair of a window block and a vocabulary block, and one row with the loss sum
+    and the number of windows. Two passes over the output rows, one for the
+    softmax of every window and one for the sums; no task holds all V rows.
+    Windows without ids count, with no loss and no gradient."""
+    named = windows.select(key, "input", "target", F.element_at("input", -1).alias("last"), (F.size("input") > 0).alias("some"))
+    masks = (key, seed, step) if training and shape.dropout > 0 else None
+    h = stored(hidden_table(named, model, shape, "input", dropout=masks), "hidden")
+    n = h.count()
+    states = stored(softmax_states(h.where("some"), n, model, shape, ["__r"], "target"), "softmax")
+    ready = h.select("__r", "h", "target", "last").join(states, "__r")
+    grads = softmax_gradients(ready, n, model, shape, ["__r"])
+    total = states.agg(F.array(F.coalesce(F.sum(loss_of()[1]), F.lit(0.0)), F.lit(float(n))).alias("vec"))
+    if n:
+        grads = grads.unionByName(total.select(F.lit(LOSS_PARAM).alias("param"), F.lit(0).cast("bigint").alias("row_id"), "vec"))
+    return grads
 
 
 def to_long(grads: DataFrame) -> DataFrame:
@@ -132,28 +89,16 @@ def from_long(long: DataFrame, value: str = "g") -> DataFrame:
     )
 
 
-def add_vectors(col: str = "vec") -> Column:
-    """Element-wise sum of the vectors of a group.  Gradient producers emit at
-    most one row per (param, row_id) per partition, so a group holds at most
-    one vector per producing partition, never one per window."""
-    lists = F.collect_list(col)
-    first = F.element_at(lists, 1)
-    zeros = F.transform(first, lambda x: F.lit(0.0))
-    return F.aggregate(lists, zeros, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
-
-
 def sum_gradients(*grads: DataFrame) -> DataFrame:
-    """Add gradient tables: one shuffle on (param, row_id), vectors summed
-    element-wise (rows of different lengths are an error of the caller)."""
+    """Add gradient tables: vectors summed element-wise by (param, row_id)."""
     u = grads[0]
     for g in grads[1:]:
         u = u.unionByName(g)
-    return u.groupBy("param", "row_id").agg(add_vectors("vec").alias("vec"))
+    return add_vectors(u, ["param", "row_id"])
 
 
 def sum_gradients_long(*grads: DataFrame) -> DataFrame:
-    """Same through the long form (param, row_id, k): fully partial
-    aggregation, for gradient tables with many rows per key."""
+    """Same through the long form (param, row_id, k): a row per cell."""
     u = grads[0]
     for g in grads[1:]:
         u = u.unionByName(g)

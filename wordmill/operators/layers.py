@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .params import ModelShape
@@ -43,6 +43,18 @@ def positional_table(spark: SparkSession, max_len: int, d: int) -> DataFrame:
     return cells.select("pos", F.col("k").cast("bigint"), F.when(F.col("k") % 2 == 0, F.sin(angle)).otherwise(F.cos(angle)).alias("pe"))
 
 
+def position_vectors(tokens: DataFrame, max_len: int, d: int) -> DataFrame:
+    """tokens(..., pos) -> the same rows with ``vec``: the position's vector of d
+    numbers, computed in place; zeros from ``max_len`` on."""
+    pos = F.col("pos").cast("double")
+
+    def cell(k: Column) -> Column:
+        angle = pos / F.pow(F.lit(10000.0), (k - k % 2).cast("double") / F.lit(float(d)))
+        return F.when(F.col("pos") >= max_len, 0.0).when(k % 2 == 0, F.sin(angle)).otherwise(F.cos(angle))
+
+    return tokens.withColumn("vec", F.transform(F.sequence(F.lit(0), F.lit(d - 1)), cell))
+
+
 def add_positions(x: DataFrame, pe: DataFrame) -> DataFrame:
     """x + pe by (pos, k); positions beyond the table add nothing."""
     return x.join(F.broadcast(pe), ["pos", "k"], "left").select(
@@ -51,12 +63,12 @@ def add_positions(x: DataFrame, pe: DataFrame) -> DataFrame:
 
 
 def layer_norm_affine(x: DataFrame, gamma: DataFrame, beta: DataFrame, eps: float) -> DataFrame:
-    st = x.groupBy(*SEQ).agg(F.avg("x").alias("_mu"), F.var_pop("x").alias("_var"))
-    g = gamma.select("k", F.col("w").alias("_g"))
-    b = beta.select("k", F.col("w").alias("_b"))
-    n = x.join(st, SEQ).join(F.broadcast(g), "k").join(F.broadcast(b), "k")
-    y = (F.col("x") - F.col("_mu")) / F.sqrt(F.col("_var") + F.lit(eps)) * F.col("_g") + F.col("_b")
-    return n.select("seq_id", "pos", "k", y.alias("x"))
+    row = Window.partitionBy(*SEQ)
+    spread = F.sqrt(F.var_pop("x").over(row) + F.lit(eps))
+    n = x.select(*SEQ, "k", ((F.col("x") - F.avg("x").over(row)) / spread).alias("x"))
+    # gamma and beta are one vector of the model each.
+    n = n.join(F.broadcast(gamma.select("k", F.col("w").alias("_g"))), "k").join(F.broadcast(beta.select("k", F.col("w").alias("_b"))), "k")
+    return n.select("seq_id", "pos", "k", (F.col("x") * F.col("_g") + F.col("_b")).alias("x"))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -85,8 +97,8 @@ def _plus(a: Column, b: Column) -> Column:
 
 
 def _rows(x: DataFrame, params: DataFrame, layer: int, body: Callable[[Column, Callable[[str], Column]], Column]) -> DataFrame:
-    """X -> X' where ``body(rows, weight)`` maps the rows of one sequence, in the
-    order of pos, to as many new rows.  One shuffle brings a sequence together;
+    """X -> (seq_id, pos, vec) where ``body(rows, weight)`` maps the rows of one
+    sequence, in the order of pos, to as many new rows.  One shuffle brings a sequence together;
     the layer's weights (D and H wide, whatever the vocabulary) come as one
     broadcast row, matrices transposed, so that an output is a dot product."""
     prefix = f"transformer_{layer}_"
@@ -104,13 +116,16 @@ def _rows(x: DataFrame, params: DataFrame, layer: int, body: Callable[[Column, C
     start = F.sequence(F.lit(1), F.size("_cells"), F.col("_d"))
     rows = F.transform(start, lambda i: F.slice(F.col("_cells")["x"], i, F.col("_d")))
     where = F.transform(start, lambda i: F.get(F.col("_cells")["pos"], i - 1))
-    out = width.join(F.broadcast(weights), "_one").select(
+    return width.join(F.broadcast(weights), "_one").select(
         "seq_id",
         F.explode(
             F.arrays_zip(where.alias("pos"), _let(rows, lambda r: body(r, lambda n: F.col(prefix + n))).alias("vec"))
         ).alias("_row"),
-    )
-    return out.select("seq_id", F.col("_row.pos").alias("pos"), F.posexplode("_row.vec").alias("k", "x"))
+    ).select("seq_id", "_row.pos", "_row.vec")
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    return rows.select("seq_id", "pos", F.posexplode("vec").alias("k", "x"))
 
 
 def _attention(rows: Column, weight: Callable[[str], Column], scale: float) -> Column:
@@ -158,7 +173,7 @@ def causal_attention(x: DataFrame, params: DataFrame, layer: int, shape: ModelSh
     """Single-head causal attention with the 4-head scale, as the reference
     computes it: softmax(Q K^T / sqrt(D/heads), t <= i) V W_out.  A sequence of
     any length is one row; its pairs are sums inside it, never rows."""
-    return _rows(x, params, layer, lambda r, w: _attention(r, w, 1.0 / math.sqrt(shape.head_size)))
+    return _cells(_rows(x, params, layer, lambda r, w: _attention(r, w, 1.0 / math.sqrt(shape.head_size))))
 
 
 def gelu_col(x):
@@ -167,11 +182,16 @@ def gelu_col(x):
 
 def feed_forward(x: DataFrame, params: DataFrame, layer: int) -> DataFrame:
     """GeLU(x W1 + b1) W2 + b2."""
-    return _rows(x, params, layer, _feed)
+    return _cells(_rows(x, params, layer, _feed))
 
 
 def transformer_block(x: DataFrame, params: DataFrame, layer: int, shape: ModelShape) -> DataFrame:
     """x + attn(LN1 x), then + ff(LN2 .), in inference mode (no dropout)."""
+    return _cells(block_rows(x, params, layer, shape))
+
+
+def block_rows(x: DataFrame, params: DataFrame, layer: int, shape: ModelShape) -> DataFrame:
+    """transformer_block with one row (seq_id, pos, vec) per position."""
 
     def block(r: Column, w: Callable[[str], Column]) -> Column:
         n1 = _norm(r, w("ln1_gamma"), w("ln1_beta"), shape.eps)

@@ -11,14 +11,13 @@ executors builds the same model.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.random import hash_symmetric
-from ._util import BROADCAST_ROWS
 
 PARAMS_SCHEMA = "param string, row_id bigint, vec array<double>"
 SMALL_PARAM_CELLS = 1 << 16  # parameters below this many cells are built in one task
@@ -38,7 +37,7 @@ class ModelShape:
 
     def __post_init__(self):
         if self.embed_size % self.num_heads != 0:
-            raise ValueError("Embed size must be divisible by number of heads")
+            raise ValueError(f"{self.num_heads} heads cannot share {self.embed_size} dimensions evenly")
 
     @property
     def head_size(self) -> int:
@@ -109,32 +108,26 @@ def init_params(spark: SparkSession, shape: ModelShape, seed: int = 0) -> DataFr
     return out
 
 
-def model_meta(spark: SparkSession, shape: ModelShape, step: int = 0) -> DataFrame:
-    return spark.createDataFrame(
-        [(shape.vocab_size, shape.embed_size, shape.hidden_size, shape.num_layers, shape.max_seq_len, step)],
-        "vocab_size bigint, embed_size bigint, hidden_size bigint, num_layers bigint, max_seq_len bigint, step bigint",
-    )
+def model_meta(spark: SparkSession, shape: ModelShape | None, step: int = 0) -> DataFrame:
+    """One row: the steps taken, and the fields of the shape (null without one)."""
+    names = [(f.name, "double" if f.type == "float" else "bigint") for f in fields(ModelShape)]
+    row = tuple(getattr(shape, n) if shape else None for n, _ in names)
+    return spark.createDataFrame([(*row, step)], ", ".join(f"{n} {t}" for n, t in names) + ", step bigint")
 
 
-def model_cells(shape: ModelShape) -> int:
-    return sum(r * c for _, r, c, _ in param_specs(shape))
+V_SIZED = ("embedding", "output_layer")
 
 
-# A model is shipped to executors (broadcast) only below this many cells
-# (64M doubles = 512 MB); larger vocabularies must be capped (min_count).
-MAX_BROADCAST_CELLS = 64 * 1024 * 1024
+def core_specs(shape: ModelShape) -> list[tuple[str, int, int, str]]:
+    """The parameters whose size does not depend on the vocabulary."""
+    return [spec for spec in param_specs(shape) if spec[0] not in V_SIZED]
 
 
-def collect_weights(params: DataFrame, shape: ModelShape) -> dict[str, np.ndarray]:
-    """Dense numpy weights for the broadcast to executors, after a size check.
+def collect_rows(params: DataFrame, specs: list[tuple[str, int, int, str]]) -> dict[str, np.ndarray]:
+    """Dense numpy tensors of the named parameters, on the driver.
 
     Absent rows keep zeros; vectors of the wrong length are ignored."""
-    cells = model_cells(shape)
-    if cells > MAX_BROADCAST_CELLS or shape.vocab_size > BROADCAST_ROWS * 4:
-        raise ValueError(
-            f"model has {cells} cells, above the broadcast bound {MAX_BROADCAST_CELLS}; cap the vocabulary"
-        )
-    out = {name: np.zeros((rows, cols)) for name, rows, cols, _ in param_specs(shape)}
+    out = {name: np.zeros((rows, cols)) for name, rows, cols, _ in specs}
     tbl = params.select("param", "row_id", "vec").toArrow()
     names = np.asarray(tbl.column("param").to_pylist(), dtype=object)
     rid = tbl.column("row_id").to_numpy()
@@ -154,24 +147,47 @@ def collect_weights(params: DataFrame, shape: ModelShape) -> dict[str, np.ndarra
     return out
 
 
-def flatten_matrix(params: DataFrame, name: str, cols: int) -> DataFrame:
-    """Row-major flat list of one parameter: element i*cols+j (the stored
-    layout; output_layer is stored as V rows of D)."""
-    cells = params.where(F.col("param") == name).select(
-        "row_id", F.posexplode("vec").alias("j", "v")
+def collect_weights(params: DataFrame, shape: ModelShape) -> dict[str, np.ndarray]:
+    """A whole model on the driver, to look at a small one. No job calls it."""
+    return collect_rows(params, param_specs(shape))
+
+
+def named_rows(params: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(param, row_id, token, vec): V-sized rows with the word they belong to."""
+    words = vocab.select(F.col("id").alias("row_id"), "token")
+    sized = F.col("param").isin(*V_SIZED)
+    v = params.where(sized).join(words, "row_id", "left").select("param", "row_id", "token", "vec")
+    rest = params.where(~sized).select("param", "row_id", F.lit(None).cast("string").alias("token"), "vec")
+    return v.unionByName(rest)
+
+
+def flatten_all(params: DataFrame) -> DataFrame:
+    """Row-major flat lists of every parameter: (param, k, v) with k = row_id x
+    columns + column, in the stored layout (output_layer has V rows of D)."""
+    cells = params.select("param", "row_id", F.size("vec").alias("_c"), F.posexplode("vec").alias("_j", "v"))
+    return cells.select("param", (F.col("row_id") * F.col("_c") + F.col("_j")).alias("k"), "v")
+
+
+def unflatten_all(flat: DataFrame, shapes: DataFrame) -> DataFrame:
+    """(param, k, v) and shapes(param, rows, cols) -> (param, row_id, vec).  A
+    parameter whose list has not rows x cols elements yields nothing, so a later
+    coalesce keeps the initial value; neither does one without a shape.
+    Elements of a row gather in one group of ``cols`` numbers."""
+    counts = flat.groupBy("param").agg(F.count("*").alias("_n"))
+    good = counts.join(shapes, "param").where(F.col("_n") == F.col("rows") * F.col("cols")).select("param", "cols")
+    rows = flat.join(good, "param").groupBy("param", F.expr("k div cols").alias("row_id")).agg(
+        F.array_sort(F.collect_list(F.struct("k", "v"))).alias("_c")
     )
-    flat = cells.select(((F.col("row_id") * cols) + F.col("j")).alias("k"), "v")
-    return flat.select(F.lit(name).alias("param"), "k", "v")
+    return rows.select("param", "row_id", F.transform("_c", lambda x: x["v"]).alias("vec"))
+
+
+def flatten_matrix(params: DataFrame, name: str) -> DataFrame:
+    """flatten_all of one parameter."""
+    return flatten_all(params.where(F.col("param") == name))
 
 
 def unflatten_matrix(flat: DataFrame, name: str, rows: int, cols: int) -> DataFrame:
-    """Flat (param, k, v) -> rows; a list of the wrong length yields nothing,
-    so a later coalesce keeps the initial value."""
-    f = flat.where(F.col("param") == name)
-    n = f.count()
-    if n != rows * cols:
-        return f.sparkSession.createDataFrame([], PARAMS_SCHEMA)
-    grouped = f.groupBy((F.col("k") / cols).cast("bigint").alias("row_id")).agg(
-        F.array_sort(F.collect_list(F.struct((F.col("k") % cols).alias("j"), F.col("v")))).alias("_c")
-    )
-    return grouped.select(F.lit(name).alias("param"), "row_id", F.transform("_c", lambda x: x["v"]).alias("vec"))
+    """unflatten_all of one parameter of a given shape."""
+    spark = flat.sparkSession
+    shape = spark.createDataFrame([(name, rows, cols)], "param string, rows bigint, cols bigint")
+    return unflatten_all(flat.where(F.col("param") == name), shape)

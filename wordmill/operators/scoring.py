@@ -1,76 +1,54 @@
 """Batch scoring: logits, next-token distributions, per-window loss, evaluation.
 
-The model is broadcast once per executor (size-checked in
-``collect_weights``); windows stream through ``mapInPandas`` in Arrow
-batches, and within a batch the (rows x V) logits block is bounded by
-``chunk_rows``.  Loss is reduced inside the job: one row per window, never
-one row per (window, token).
+The vocabulary may have any size: embedding rows are joined to the ids that
+need them, and logits exist only inside the block pairs of ``blocked``. What
+leaves a task is one mergeable state per row and vocabulary block, never a row
+of V numbers unless the caller asks for all of them.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .model import chunk_rows, hidden_states, last_hidden, pad_ids
-from .params import ModelShape, collect_weights
-from ..session import ship_package
+from ..session import stored
+from .blocked import Model, best_tokens, hidden_table, load_model, logit_blocks, softmax_states
+from .params import ModelShape
 from .windows import eval_windows
 
 LOSS_EPS = 1e-10  # fixed value: added to p before the log
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the cluster's cores: scoring cost is compute per
-    row, so a small table (that AQE would pack into one partition) must
-    still use every core."""
-    n = max(df.sparkSession.sparkContext.defaultParallelism, 1)
-    return df.repartition(n)
+def broadcast_model(params: DataFrame, shape: ModelShape) -> Model:
+    """Handle of a model: its table, and the layers broadcast. Keep it over
+    calls with the same weights."""
+    return load_model(params, shape)
 
 
-def broadcast_model(params: DataFrame, shape: ModelShape):
-    ship_package(params.sparkSession)
-    w = collect_weights(params, shape)
-    return params.sparkSession.sparkContext.broadcast(w)
-
-
-def _lse(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    m = logits.max(axis=1, keepdims=True)
-    e = np.exp(logits - m)
-    return e, e.sum(axis=1, keepdims=True)
+def loss_of(top: str = "top", z: str = "z", goal: str = "goal"):
+    """(p, loss) from a softmax state: p = exp(goal - top) / z, and
+    -ln(p + 1e-10); 0 and 0 without a target in the vocabulary."""
+    p = F.coalesce(F.exp(F.col(goal) - F.col(top)) / F.col(z), F.lit(0.0))
+    return p, F.when(F.col(goal).isNull(), 0.0).otherwise(-F.log(p + F.lit(LOSS_EPS)))
 
 
 def window_loss(
-    windows: DataFrame, params: DataFrame, shape: ModelShape, key: str = "seq_id", model=None
+    windows: DataFrame, params: DataFrame, shape: ModelShape, key: str = "seq_id", model: Model | None = None
 ) -> DataFrame:
     """(key, i, target, p, loss) per window: p = softmax(last logits)[target],
     loss = -ln(p + 1e-10); 0 for an empty input or a target outside V."""
-    bw = model or broadcast_model(params, shape)
-    V = shape.vocab_size
-    step = chunk_rows(V)
-
-    def run(batches):
-        w = bw.value
-        for pdf in batches:
-            for s in range(0, len(pdf), step):
-                sub = pdf.iloc[s : s + step]
-                seqs = [list(x) if x is not None else [] for x in sub["input"]]
-                h = last_hidden(w, shape, seqs)
-                e, z = _lse(h @ w["output_layer"].T)
-                tgt = sub["target"].to_numpy()
-                ok = (tgt >= 0) & (tgt < V) & np.array([len(q) > 0 for q in seqs])
-                p = np.zeros(len(sub))
-                p[ok] = e[np.nonzero(ok)[0], tgt[ok]] / z[ok, 0]
-                loss = np.where(ok, -np.log(p + LOSS_EPS), 0.0)
-                yield pd.DataFrame({key: sub[key].to_numpy(), "i": sub["i"].to_numpy(), "target": tgt, "p": p, "loss": loss})
-
-    schema = f"{key} bigint, i bigint, target bigint, p double, loss double"
-    return spread(windows.select(key, "i", "input", "target")).mapInPandas(run, schema)
-
-
-def evaluate(seqs: DataFrame, params: DataFrame, shape: ModelShape, key: str = "seq_id", model=None) -> DataFrame:
+    model = model or load_model(params, shape)
+    named = windows.select(F.col(key).cast("bigint").alias(key), "i", "input", "target", (F.size("input") > 0).alias("some"))
+    h = stored(hidden_table(named, model, shape, "input"), "hidden")
+    states = softmax_states(h.where("some"), h.count(), model, shape, ["__r"], "target")
+    p, loss = loss_of()
+    out = h.drop("h").join(states, "__r", "left")
+    return out.select(key, F.col("i").cast("bigint").alias("i"), F.col("target").cast("bigint").alias("target"), p.alias("p"), loss.alias("loss"))
+
+
+def evaluate(
+    seqs: DataFrame, params: DataFrame, shape: ModelShape, key: str = "seq_id", model: Model | None = None
+) -> DataFrame:
     """Mean loss over all evaluation windows (up to 20 ids); 0 with no windows.
     Also the count and the perplexity exp(mean)."""
     losses = window_loss(eval_windows(seqs, key), params, shape, key, model)
@@ -86,54 +64,25 @@ def predict_next(
     seqs: DataFrame,
     params: DataFrame,
     shape: ModelShape,
-    key: str = "seq_id",
+    key: str | list[str] = "seq_id",
     ids: str = "ids",
     top: int | None = None,
-    model=None,
+    model: Model | None = None,
 ) -> DataFrame:
-    """softmax of the last position's logits: (key, token_id, p).
+    """softmax of the last position's logits: (key, token_id, p); the key may
+    be several columns. An empty sequence has the state zero.
 
     ``top=None`` emits all V rows per sequence (only for a bounded set of
     sequences).  With ``top=k`` the job emits the k most likely tokens not
-    in the sequence plus every token already in it: exactly the rows the
-    decoding filters can change (see generate_batch)."""
-    bw = model or broadcast_model(params, shape)
-    V = shape.vocab_size
-    step = chunk_rows(V)
-
-    def run(batches):
-        w = bw.value
-        for pdf in batches:
-            for s in range(0, len(pdf), step):
-                sub = pdf.iloc[s : s + step]
-                seqs_ = [list(x) if x is not None else [] for x in sub[ids]]
-                h = last_hidden(w, shape, seqs_)
-                e, z = _lse(h @ w["output_layer"].T)
-                probs = e / z
-                keys = sub[key].to_numpy()
-                if top is None or top >= V:
-                    yield pd.DataFrame({key: np.repeat(keys, V), "token_id": np.tile(np.arange(V, dtype=np.int64), len(sub)), "p": probs.reshape(-1)})
-                    continue
-                # per row: every token already in the sequence, plus the k best others
-                masked = probs.copy()
-                seen_rows, seen_cols = [], []
-                for b, seq in enumerate(seqs_):
-                    cols = np.unique(np.asarray([t for t in seq if 0 <= t < V], dtype=np.int64))
-                    seen_rows.append(np.full(len(cols), b))
-                    seen_cols.append(cols)
-                sr = np.concatenate(seen_rows) if seen_rows else np.zeros(0, dtype=np.int64)
-                sc = np.concatenate(seen_cols) if seen_cols else np.zeros(0, dtype=np.int64)
-                masked[sr, sc] = -1.0
-                k = min(top, V)
-                best = np.argpartition(-masked, k - 1, axis=1)[:, :k]
-                br = np.repeat(np.arange(len(sub)), k)
-                bc = best.reshape(-1)
-                keep = masked[br, bc] >= 0.0  # rows with fewer than k unseen tokens
-                rows = np.concatenate([sr, br[keep]])
-                cols = np.concatenate([sc, bc[keep]])
-                yield pd.DataFrame({key: keys[rows], "token_id": cols.astype(np.int64), "p": probs[rows, cols]})
-
-    return spread(seqs.select(key, ids)).mapInPandas(run, f"{key} bigint, token_id bigint, p double")
+    in the sequence (ties to the lesser id) plus every token already in it:
+    exactly the rows the decoding filters can change (see generate_batch)."""
+    model = model or load_model(params, shape)
+    keys = [key] if isinstance(key, str) else list(key)
+    named = seqs.select(*keys, ids, F.array_distinct(ids).alias("__seen"))
+    h = stored(hidden_table(named, model, shape, ids), "hidden")
+    some = None if top is None or top >= shape.vocab_size else top
+    found = best_tokens(h, h.count(), model, shape, ["__r"], "__seen", some)
+    return found.join(h.select("__r", *keys), "__r").select(*keys, "token_id", "p")
 
 
 def forward_logits(
@@ -142,7 +91,7 @@ def forward_logits(
     shape: ModelShape,
     key: str = "seq_id",
     ids: str = "ids",
-    model=None,
+    model: Model | None = None,
     summary: bool = False,
 ) -> DataFrame:
     """Logits for every position of each sequence.
@@ -151,32 +100,12 @@ def forward_logits(
     set of sequences.  ``summary=True``: the logits are reduced inside the
     job to (key, pos, top_token, top_logit, lse), so a whole table can be
     scored without V numbers per position leaving the task."""
-    bw = model or broadcast_model(params, shape)
-    step = chunk_rows(shape.vocab_size)
-
-    def run(batches):
-        w = bw.value
-        for pdf in batches:
-            for _, row in pdf.iterrows():
-                seq = list(row[ids]) if row[ids] is not None else []
-                if not seq:
-                    continue
-                arr, _ = pad_ids([seq])
-                h = hidden_states(w, shape, arr)[0]
-                for s in range(0, len(seq), step):
-                    logits = h[s : s + step] @ w["output_layer"].T
-                    pos = np.arange(s, s + len(logits))
-                    if not summary:
-                        yield pd.DataFrame({key: row[key], "pos": pos, "logits": list(logits)})
-                        continue
-                    top = logits.argmax(axis=1)
-                    mx = logits[np.arange(len(logits)), top]
-                    lse = mx + np.log(np.exp(logits - mx[:, None]).sum(axis=1))
-                    yield pd.DataFrame({key: row[key], "pos": pos, "top_token": top.astype(np.int64), "top_logit": mx, "lse": lse})
-
-    schema = (
-        f"{key} bigint, pos bigint, top_token bigint, top_logit double, lse double"
-        if summary
-        else f"{key} bigint, pos bigint, logits array<double>"
-    )
-    return spread(seqs.select(key, ids)).mapInPandas(run, schema)
+    model = model or load_model(params, shape)
+    h = stored(hidden_table(seqs.select(key, ids), model, shape, ids, every=True), "hidden")
+    at = ["__r", "pos"]
+    if not summary:
+        found = logit_blocks(h, h.count(), model, shape, at)
+        return found.join(h.select(key, *at), at).select(key, "pos", "logits")
+    found = softmax_states(h, h.count(), model, shape, at).join(h.select(key, *at), at)
+    lse = (F.col("top") + F.log("z")).alias("lse")
+    return found.select(key, "pos", F.col("token").alias("top_token"), F.col("top").alias("top_logit"), lse)

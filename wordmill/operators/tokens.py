@@ -1,10 +1,11 @@
 """Tokenization: split, explode, encode, decode, pad, round trip.
 
 Sequences are ``(key, ids ARRAY<BIGINT>)``, one row per document, prompt or
-text; an array is bounded by its own source row.  Token-level work runs on
-the long form ``(key, pos, token)`` and regroups without a second shuffle:
-the text is hash-partitioned by key once, and the explode, the broadcast
-lookup and the regrouping all keep that partitioning.
+text; an array is bounded by its own source row.  Rows that share a key stay
+rows of their own.  Token-level work runs on the long form and regroups without
+a second shuffle: the text is hash-partitioned by row once, and the explode, the
+look-up of frequent words and the regrouping keep that partitioning; rare words
+are shuffled once per text that has them (see ``split_lookup``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from ..functions.text import (
     normalize_expr,
     split_words_expr,
 )
-from ._util import bounded_broadcast
+from ..session import stored
+from ._util import split_join, split_lookup
 
 
 def split_words(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
@@ -43,16 +45,15 @@ def is_punctuation(df: DataFrame, token: str = "token", out: str = "is_punct") -
     return df.withColumn(out, is_punctuation_expr(F.col(token)))
 
 
+ROW = "__row"
+
+
 def _lookup_ids(df: DataFrame, key: str, text: str, vocab: DataFrame, frozen: bool) -> DataFrame:
-    words = df.select(key, text).repartition(key)
-    toks = words.select(key, F.posexplode_outer(split_words_expr(F.col(text))).alias("pos", "token"))
-    lookup = bounded_broadcast(vocab.select("token", "id"))
-    joined = toks.join(lookup, "token", "left")
-    tid = F.coalesce(F.col("id"), F.lit(UNK_ID)) if frozen else F.col("id")
-    item = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), tid.alias("id")))
-    grouped = joined.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    body = F.transform(F.col("_items"), lambda x: x["id"])
-    return grouped.select(
+    words = df.select(key, text).withColumn(ROW, F.monotonically_increasing_id()).repartition(ROW)
+    toks = words.select(ROW, key, F.posexplode_outer(split_words_expr(F.col(text))).alias("pos", "token"))
+    found = split_lookup(toks, [ROW, key], vocab, "token", "id", "n")
+    body = F.transform("found", lambda x: F.coalesce(x["v"], F.lit(UNK_ID).cast("bigint")) if frozen else x["v"])
+    return found.select(
         key, F.concat(F.array(F.lit(BOS_ID).cast("bigint")), body, F.array(F.lit(EOS_ID).cast("bigint"))).alias("ids")
     )
 
@@ -70,34 +71,27 @@ def encode_frozen(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text: st
 
 def ids_to_tokens(ids_long: DataFrame, vocab: DataFrame, id_col: str = "token_id") -> DataFrame:
     """id -> token, unknown ids -> <UNK>."""
-    lookup = bounded_broadcast(vocab.select(F.col("id").alias(id_col), F.col("token").alias("_tok")))
-    return ids_long.join(lookup, id_col, "left").withColumn(
-        "token", F.coalesce(F.col("_tok"), F.lit(UNK_TOKEN))
-    ).drop("_tok")
+    table = vocab.select(F.col("id").alias(id_col), F.col("token").alias("_tok"), "n")
+    found = split_join(ids_long, table, id_col, "_tok", "n")
+    return found.withColumn("token", F.coalesce(F.col("_tok"), F.lit(UNK_TOKEN))).drop("_tok")
 
 
-def decode(
-    seqs: DataFrame, vocab: DataFrame, key: str = "seq_id", ids: str = "ids", out: str = "text", partitioned: bool = False
-) -> DataFrame:
+def decode(seqs: DataFrame, vocab: DataFrame, key: str = "seq_id", ids: str = "ids", out: str = "text") -> DataFrame:
     """ids -> text.  BOS, EOS and PAD are skipped, unknown ids read <UNK>;
     words are joined by one space except before punctuation and before the
-    first kept word.  ``partitioned=True`` when the input is already
-    hash-partitioned by the key (the output of ``encode``): no shuffle then."""
-    src = seqs.select(key, ids)
-    parts = (src if partitioned else src.repartition(key)).select(
-        key, F.posexplode_outer(F.col(ids)).alias("pos", "token_id")
-    )
-    lookup = bounded_broadcast(vocab.select(F.col("id").alias("token_id"), F.col("token").alias("_tok")))
-    joined = parts.join(lookup, "token_id", "left")
-    word = F.coalesce(F.col("_tok"), F.lit(UNK_TOKEN))
-    keep = F.col("pos").isNotNull() & ~word.isin(BOS_TOKEN, EOS_TOKEN, PAD_TOKEN)
-    item = F.when(keep, F.struct(F.col("pos"), word.alias("w")))
-    grouped = joined.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    first kept word."""
+    src = seqs.select(key, ids).withColumn(ROW, F.monotonically_increasing_id()).repartition(ROW)
+    parts = src.select(ROW, key, F.posexplode_outer(F.col(ids)).alias("pos", "_id"))
+    # A null id is no id of the vocabulary.
+    parts = parts.withColumn("_id", F.when(F.col("pos").isNotNull(), F.coalesce("_id", F.lit(-1).cast("bigint"))))
+    found = split_lookup(parts, [ROW, key], vocab.select(F.col("id").alias("_id"), "token", "n"), "_id", "token", "n")
+    words = F.transform("found", lambda x: F.coalesce(x["v"], F.lit(UNK_TOKEN)))
+    kept = F.filter(words, lambda w: ~w.isin(BOS_TOKEN, EOS_TOKEN, PAD_TOKEN))
     pieces = F.transform(
-        F.col("_items"),
-        lambda x, i: F.concat(F.when((i > 0) & ~is_punctuation_expr(x["w"]), F.lit(" ")).otherwise(F.lit("")), x["w"]),
+        kept,
+        lambda w, i: F.concat(F.when((i > 0) & ~is_punctuation_expr(w), F.lit(" ")).otherwise(F.lit("")), w),
     )
-    return grouped.select(key, F.array_join(pieces, "").alias(out))
+    return found.select(key, F.array_join(pieces, "").alias(out))
 
 
 def pad_expr(c: Column, n: int) -> Column:
@@ -113,8 +107,6 @@ def roundtrip_check(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text:
     """decode(encode(x)) against x rebuilt from its own words: one row per
     text with the flag ``same``.  Both sides are normalised the same way, so
     a mismatch means the ids lost or reordered a word."""
-    enc = encode_frozen(df, vocab, key, text)
-    dec = decode(enc.withColumnRenamed(key, "seq_id"), vocab, "seq_id", "ids", "decoded", partitioned=True).withColumnRenamed("seq_id", key)
     words = split_words_expr(F.col(text))
     expected = F.array_join(
         F.transform(
@@ -123,8 +115,10 @@ def roundtrip_check(df: DataFrame, vocab: DataFrame, key: str = "doc_id", text:
         ),
         "",
     )
-    src = df.select(key, expected.alias("expected"))
-    return src.join(dec, key, "left").select(
+    # Numbered once, so that both sides speak of the same text.
+    src = stored(df.select(key, text).withColumn("__n", F.monotonically_increasing_id()), "texts")
+    dec = decode(encode_frozen(src, vocab, "__n", text), vocab, "__n", "ids", "decoded")
+    return src.select("__n", key, expected.alias("expected")).join(dec, "__n", "left").select(
         key, "expected", "decoded", (F.col("expected") == F.coalesce(F.col("decoded"), F.lit(""))).alias("same")
     )
 

@@ -6,7 +6,9 @@ first_pos BIGINT).  The four special tokens are literal rows with ids 0..3.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import SPECIAL_TOKENS
@@ -22,38 +24,30 @@ def special_tokens(spark: SparkSession) -> DataFrame:
     )
 
 
-PACK_SHIFT = 32  # first occurrence packed as key * 2^32 + pos when 0 <= key < 2^31
+# A place in the corpus as one number: (key + 2^63 + 1) * 2^32 + pos, and pos
+# alone for a null key, which comes first. 97 bits, so a decimal of 38 digits.
+_KEY_ZERO = 2**63 + 1
+_POS_SPAN = 2**32
+
+
+def _place(key: str) -> Column:
+    shifted = F.coalesce(F.col(key).cast("decimal(20,0)") + F.lit(Decimal(_KEY_ZERO)), F.lit(0).cast("decimal(21,0)"))
+    return (shifted * F.lit(Decimal(_POS_SPAN)) + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def _firsts(tokens: DataFrame, key: str) -> DataFrame:
     """(token, n, first_doc, first_pos), checkpointed.
 
-    The first occurrence is a plain min over (key, pos) packed into one
-    BIGINT, so the aggregate is a hash aggregate with partial sums map-side
-    (a hot token such as "," shuffles one row per partition); the key range
-    rides along in the same pass and is checked on the vocabulary-sized
-    result.  Keys outside [0, 2^31) take the struct-min path instead."""
-    packed = F.shiftleft(F.col(key).cast("bigint"), PACK_SHIFT) + F.col("pos").cast("bigint")
-    agg = cut_lineage(
-        tokens.groupBy("token").agg(
-            F.min(packed).alias("_first"),
-            F.count(F.lit(1)).alias("n"),
-            F.min(key).alias("_kmin"),
-            F.max(key).alias("_kmax"),
-        )
-    )
-    lo, hi = agg.agg(F.min("_kmin"), F.max("_kmax")).first()
-    if lo is None or (lo >= 0 and hi < 2**31):
-        first_doc = F.shiftright(F.col("_first"), PACK_SHIFT)
-        return agg.select(
-            "token", "n", first_doc.alias("first_doc"), (F.col("_first") - F.shiftleft(first_doc, PACK_SHIFT)).alias("first_pos")
-        )
-    return tokens.groupBy("token").agg(
-        F.min(F.struct(F.col(key).alias("d"), F.col("pos").alias("p"))).alias("first"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(
-        "token", "n", F.col("first.d").cast("bigint").alias("first_doc"), F.col("first.p").cast("bigint").alias("first_pos")
-    )
+    The first occurrence is a plain min over a number that orders places, for
+    any 64-bit key, so the aggregate is a hash aggregate with partial results
+    map-side: a hot token such as "," shuffles one row per partition, and the
+    text is read once."""
+    agg = tokens.groupBy("token").agg(F.min(_place(key)).alias("_at"), F.count(F.lit(1)).alias("n"))
+    span, zero = F.lit(Decimal(_POS_SPAN)), F.lit(Decimal(_KEY_ZERO))
+    pos = F.col("_at") % span
+    shifted = ((F.col("_at") - pos) / span).cast("decimal(21,0)")  # divides without rest
+    doc = F.when(shifted > 0, (shifted - zero).cast("bigint"))
+    return cut_lineage(agg.select("token", "n", doc.alias("first_doc"), pos.cast("bigint").alias("first_pos")))
 
 
 def build_vocab(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -67,21 +61,30 @@ def build_vocab(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     return special_tokens(tokens.sparkSession).unionByName(words)
 
 
+def vocab_delta(known: DataFrame, next_id: int, tokens: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """What a batch of tokens changes of a vocabulary that has the tokens
+    ``known``: the new words (token, id, first_doc, first_pos), numbered from
+    ``next_id`` in the order of their first occurrence, and the occurrences
+    (token, n) of all words of the batch."""
+    firsts = _firsts(tokens, key)
+    new = firsts.join(known.select("token"), "token", "left_anti")
+    ranked = global_rank(new, ["first_doc", "first_pos"], name="id", start=next_id)
+    return ranked.select("token", "id", "first_doc", "first_pos"), firsts.select("token", "n")
+
+
 def grow_vocab(vocab: DataFrame, tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     """Add a batch: known tokens keep their ids and first positions and add
     the batch's occurrences to n; new ones get the next ids in order of first
-    occurrence within the batch."""
-    firsts = _firsts(tokens, key)
-    known = vocab.join(firsts.select("token", F.col("n").alias("_bn")), "token", "left").select(
-        "token", "id", (F.col("n") + F.coalesce(F.col("_bn"), F.lit(0))).cast("bigint").alias("n"), "first_doc", "first_pos"
-    )
-    new = firsts.join(vocab.select("token"), "token", "left_anti")
+    occurrence within the batch. (streaming/vocab_stream.py keeps a vocabulary
+    as a log of such changes, without rewriting it.)"""
     # One scalar reaches the driver: the next free id.
-    next_id = vocab.agg(F.max("id")).first()[0]
-    next_id = len(SPECIAL_TOKENS) if next_id is None else next_id + 1
-    ranked = global_rank(new, ["first_doc", "first_pos"], name="id", start=next_id)
-    grown = ranked.select("token", "id", F.col("n").cast("bigint"), "first_doc", "first_pos")
-    return known.unionByName(grown)
+    last = vocab.agg(F.max("id")).first()[0]
+    words, counts = vocab_delta(vocab, len(SPECIAL_TOKENS) if last is None else last + 1, tokens, key)
+    every = vocab.select("token", "id", "n", "first_doc", "first_pos").unionByName(
+        words.select("token", "id", F.lit(0).cast("bigint").alias("n"), "first_doc", "first_pos")
+    )
+    added = every.join(counts.withColumnRenamed("n", "_bn"), "token", "left")
+    return added.select("token", "id", (F.col("n") + F.coalesce("_bn", F.lit(0))).cast("bigint").alias("n"), "first_doc", "first_pos")
 
 
 def vocab_size(vocab: DataFrame) -> DataFrame:
@@ -95,3 +98,16 @@ def token_counts(seqs: DataFrame, key: str = "seq_id", ids: str = "ids") -> Data
         .groupBy(key, "token_id")
         .agg(F.count(F.lit(1)).cast("bigint").alias("count"))
     )
+
+
+def special_token_usage(seqs: DataFrame, key: str = "seq_id", ids: str = "ids") -> DataFrame:
+    """(token, id, occurrences, sequences) of the four special tokens in encoded
+    sequences: how often each stands, and in how many of them."""
+    used = token_counts(seqs, key, ids).where(F.col("token_id") < len(SPECIAL_TOKENS))
+    used = used.groupBy(F.col("token_id").alias("id")).agg(
+        F.sum("count").alias("occurrences"), F.count_distinct(key).alias("sequences")
+    )
+    zero = F.lit(0).cast("bigint")
+    return special_tokens(seqs.sparkSession).join(used, "id", "left").select(
+        "token", "id", F.coalesce("occurrences", zero).alias("occurrences"), F.coalesce("sequences", zero).alias("sequences")
+    )

@@ -12,8 +12,11 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.random import hash_uniform
-from ._util import BROADCAST_ROWS, global_prefix_sum, global_rank
+from ..functions.random import hash_draw
+from ..functions.text import split_words_expr
+from ..session import stored
+from ._util import global_prefix_sum, global_rank
+from .tokens import encode
 
 EVAL_WINDOW = 20
 
@@ -79,27 +82,22 @@ def eval_windows(seqs: DataFrame, key: str = "seq_id", ids: str = "ids") -> Data
 def all_windows(seqs: DataFrame, max_len: int, seed: int = 0, epoch: int = 0, key: str = "seq_id", ids: str = "ids") -> DataFrame:
     """Every window once, numbered by a random order of this epoch (ties by key
     and i): (key, i, input, target, sample_no).  The key is unique."""
-    drawn = hash_uniform(seed, "order", F.lit(epoch), F.col(key), F.col("i"))
+    drawn = hash_draw(seed, "order", F.lit(epoch), F.col(key), F.col("i"))
     wins = next_token_windows(seqs, max_len, key, ids).withColumn("_u", drawn)
     return global_rank(wins, ["_u", key, "i"], "sample_no", start=0).drop("_u")
 
 
-def sample_windows(
-    seqs: DataFrame, k: int, max_len: int, seed: int = 0, epoch: int = 0, key: str = "seq_id", ids: str = "ids"
-) -> DataFrame:
-    """k windows drawn uniformly with replacement over all windows of all
-    sequences (global window number g = offset of the sequence + i).
-
-    Output (sample_no, key, i, input, target)."""
-    spark = seqs.sparkSession
-    counts = seqs.select(key, F.greatest(F.size(ids) - 1, F.lit(0)).cast("bigint").alias("cnt")).where("cnt > 0")
-    offs = global_prefix_sum(counts, [key], "cnt", "off")
+def _draw(counts: DataFrame, k: int, seed: int, epoch: int, key: str) -> DataFrame | None:
+    """counts(key, cnt) -> (sample_no, key, i): k windows drawn uniformly with
+    replacement over all windows, by their global numbers g = offset of the
+    sequence + i; a draw has 52 bits. None if there is nothing to draw from."""
+    offs = global_prefix_sum(counts.where("cnt > 0"), [key], "cnt", "off")
     total = offs.agg(F.sum("cnt")).first()[0] or 0
     if total == 0 or k <= 0:
-        return spark.createDataFrame([], f"sample_no bigint, {key} bigint, i bigint, input array<bigint>, target bigint")
-    draws = spark.range(k).select(
+        return None
+    draws = counts.sparkSession.range(k).select(
         F.col("id").alias("sample_no"),
-        F.floor(hash_uniform(seed, "sample", F.lit(epoch), F.col("id")) * F.lit(float(total))).cast("bigint").alias("g"),
+        F.floor(hash_draw(seed, "sample", F.lit(epoch), F.col("id")) * F.lit(float(total))).cast("bigint").alias("g"),
     )
     # Bucketed range join: a sequence is listed once per bucket its window
     # range touches; a draw looks up its one bucket.
@@ -109,19 +107,55 @@ def sample_windows(
         F.explode(F.sequence(F.floor(F.col("off") / width), F.floor((F.col("off") + F.col("cnt") - 1) / width))).alias("b"),
     )
     keyed = draws.withColumn("b", F.floor(F.col("g") / width))
-    # k draws per epoch (the reference caps it at 1000): broadcast under the row bound
-    keyed = F.broadcast(keyed) if k <= BROADCAST_ROWS else keyed
-    hits = spans.join(keyed, "b").where(
+    return spans.join(keyed, "b").where(
         (F.col("g") >= F.col("off")) & (F.col("g") < F.col("off") + F.col("cnt"))
     ).select("sample_no", key, (F.col("g") - F.col("off")).alias("i"))
-    picked = seqs.select(key, ids).join(F.broadcast(hits) if k <= BROADCAST_ROWS else hits, key)
-    return picked.select(
+
+
+def _pick(seqs: DataFrame, hits: DataFrame, max_len: int, key: str, ids: str) -> DataFrame:
+    return seqs.select(key, ids).join(hits, key).select(
         "sample_no", key, "i",
         window_input(F.col(ids), F.col("i"), max_len).alias("input"),
         F.get(F.col(ids), F.col("i").cast("int") + 1).alias("target"),
     )
 
 
+def _no_samples(seqs: DataFrame, key: str) -> DataFrame:
+    kind = seqs.schema[key].dataType.simpleString()
+    return seqs.sparkSession.createDataFrame([], f"sample_no bigint, {key} {kind}, i bigint, input array<bigint>, target bigint")
+
+
+def sample_windows(
+    seqs: DataFrame, k: int, max_len: int, seed: int = 0, epoch: int = 0, key: str = "seq_id", ids: str = "ids"
+) -> DataFrame:
+    """k windows drawn uniformly with replacement over all windows of all
+    sequences: (sample_no, key, i, input, target)."""
+    counts = seqs.select(key, F.greatest(F.size(ids) - 1, F.lit(0)).cast("bigint").alias("cnt"))
+    hits = _draw(counts, k, seed, epoch, key)
+    return _no_samples(seqs, key) if hits is None else _pick(seqs, hits, max_len, key, ids)
+
+
+def sample_text_windows(
+    docs: DataFrame,
+    vocab: DataFrame,
+    k: int,
+    max_len: int,
+    seed: int = 0,
+    epoch: int = 0,
+    key: str = "seq_id",
+    text: str = "text",
+) -> DataFrame:
+    """sample_windows of encode(docs, vocab) that encodes only the texts drawn:
+    a text of w words has w + 1 windows, whatever their ids."""
+    counts = docs.select(key, (F.size(split_words_expr(F.col(text))) + 1).cast("bigint").alias("cnt"))
+    hits = _draw(counts, k, seed, epoch, key)
+    if hits is None:
+        return _no_samples(docs, key)
+    hits = stored(hits, "draws")
+    drawn = docs.select(key, text).join(hits.select(key).distinct(), key, "left_semi")
+    return _pick(encode(drawn, vocab, key, text), hits, max_len, key, "ids")
+
+
 def assign_batches(samples: DataFrame, batch_size: int, sample_no: str = "sample_no") -> DataFrame:
     return samples.withColumn("batch", F.floor(F.col(sample_no) / batch_size).cast("bigint"))
 
@@ -139,14 +173,25 @@ def chunk_batches(
     return samples.withColumn("batch", batch.cast("bigint")).withColumn("worker", worker.cast("bigint"))
 
 
+# From a learning rate on, the window length, tokens per sample,
+# most samples of an epoch, and the least batch bound of the training plan.
+PLAN = (
+    (0.05, 5, 50, 500, 32),
+    (0.03, 8, 30, 800, 64),
+    (0.0, 10, 20, 1000, 32),
+)
+
+
+def _tier(lr: float, batch: int, workers: int) -> tuple[int, int, int, int]:
+    """(window length, tokens per sample, most samples, batch size) of a rate."""
+    _, length, per, most, bound = next((t for t in PLAN if lr >= t[0]), PLAN[-1])
+    return length, per, most, max(min(batch, bound), 4 * workers)
+
+
 def plan_values(n_tokens: int, lr: float, batch: int, workers: int) -> dict:
     """Training sizes as the reference derives them from the learning rate."""
-    if lr >= 0.05:
-        max_len, samples, b = 5, min(n_tokens // 50, 500), max(min(batch, 32), 4 * workers)
-    elif lr >= 0.03:
-        max_len, samples, b = 8, min(n_tokens // 30, 800), max(min(batch, 64), 4 * workers)
-    else:
-        max_len, samples, b = 10, min(n_tokens // 20, 1000), max(min(batch, 32), 4 * workers)
+    max_len, per, most, b = _tier(lr, batch, workers)
+    samples = min(n_tokens // per, most)
     return {
         "max_seq_len": max_len,
         "samples_per_epoch": samples,
@@ -158,12 +203,8 @@ def plan_values(n_tokens: int, lr: float, batch: int, workers: int) -> dict:
 def training_plan(stats: DataFrame, lr: float, batch: int, workers: int, n_tokens: str = "n_tokens") -> DataFrame:
     """One row per stats row: the plan as column expressions."""
     n = F.col(n_tokens)
-    if lr >= 0.05:
-        max_len, samples, b = 5, F.least(F.floor(n / 50), F.lit(500)), max(min(batch, 32), 4 * workers)
-    elif lr >= 0.03:
-        max_len, samples, b = 8, F.least(F.floor(n / 30), F.lit(800)), max(min(batch, 64), 4 * workers)
-    else:
-        max_len, samples, b = 10, F.least(F.floor(n / 20), F.lit(1000)), max(min(batch, 32), 4 * workers)
+    max_len, per, most, b = _tier(lr, batch, workers)
+    samples = F.least(F.floor(n / per), F.lit(most))
     return stats.select(
         n.cast("bigint").alias(n_tokens),
         F.lit(max_len).cast("bigint").alias("max_seq_len"),

@@ -110,10 +110,10 @@ def page_drop_sql(body: str) -> str:
     return "(" + " OR ".join(conds) + ")"
 
 
-def clean_pages_sql() -> str:
+def clean_pages_sql(table: str = "pages", html: bool = True) -> str:
     return f"""SELECT page_id, text FROM (
       SELECT page_id, {prose_lines_sql('body')} AS text FROM (
-        SELECT page_id, {clean_sql('html', True)} AS body FROM pages)
+        SELECT page_id, {clean_sql('html', html)} AS body FROM {table})
       WHERE NOT {page_drop_sql('body')})
     WHERE text <> ''"""
 
@@ -132,9 +132,9 @@ def windows_sql(seqs: str, max_len: int) -> str:
 
 
 def sample_sql(seqs: str, k: int, max_len: int, seed: int, epoch: int) -> str:
-    from ..functions.random import hash_uniform_sql
+    from ..functions.random import hash_draw_sql
 
-    u = hash_uniform_sql(seed, "sample", str(epoch), "r.range")
+    u = hash_draw_sql(seed, "sample", str(epoch), "r.range")
     return f"""SELECT sample_no, seq_id, (g - off)::BIGINT AS i,
            ids[(g - off) + 2 - least(g - off + 1, {max_len}) : g - off + 1] AS input, ids[g - off + 2] AS target
         FROM (SELECT r.range AS sample_no, floor({u} * t)::BIGINT AS g
@@ -257,3 +257,37 @@ def ff_sql(x: str, layer: int) -> str:
       WITH H1 AS (SELECT seq_id, pos, m.k, m.x + b.w AS h FROM ({matmul_sql(x, p + '_ff_w1')}) m JOIN {vec_sql(p + '_ff_b1')} b USING (k)),
            H2 AS (SELECT seq_id, pos, k, {gelu} AS x FROM H1)
       SELECT seq_id, pos, m.k, m.x + b.w AS x FROM ({matmul_sql('H2', p + '_ff_w2')}) m JOIN {vec_sql(p + '_ff_b2')} b USING (k))"""
+
+
+def layers_sql(d: int, heads: int, max_len: int = 512, eps: float = 1e-6) -> str:
+    """CTEs after PR and TK(seq_id, pos, token_id): X0 and X1 (embeddings, with
+    positions), N1, ATT, XA, N2, FF, XB (one block, inference) and XF (final
+    norm), each computed once."""
+    scale = 1.0 / (d // heads) ** 0.5
+    return f"""X0 AS MATERIALIZED (SELECT seq_id, pos, unnest(generate_series(0, {d - 1}))::BIGINT AS k,
+                  unnest(coalesce(e.vec, list_transform(range({d}), lambda z: 0.0))) AS x
+           FROM TK LEFT JOIN (SELECT row_id AS token_id, vec FROM PR WHERE param = 'embedding') e USING (token_id)),
+    PE AS (SELECT p.range::BIGINT AS pos, c.range::BIGINT AS k,
+                  CASE WHEN c.range % 2 = 0 THEN sin(p.range / pow(10000.0, (c.range - c.range % 2) / {float(d)}))
+                       ELSE cos(p.range / pow(10000.0, (c.range - c.range % 2) / {float(d)})) END AS pe
+           FROM range({max_len}) p, range({d}) c),
+    X1 AS MATERIALIZED (SELECT seq_id, pos, k, x + coalesce(pe, 0.0) AS x FROM X0 LEFT JOIN PE USING (pos, k)),
+    N1 AS MATERIALIZED ({ln_sql('X1', 'transformer_0_ln1_gamma', 'transformer_0_ln1_beta', eps)}),
+    ATT AS MATERIALIZED ({attention_sql('N1', 0, scale)}),
+    XA AS MATERIALIZED (SELECT seq_id, pos, k, a.x + b.x AS x FROM ATT a JOIN X1 b USING (seq_id, pos, k)),
+    N2 AS MATERIALIZED ({ln_sql('XA', 'transformer_0_ln2_gamma', 'transformer_0_ln2_beta', eps)}),
+    FF AS MATERIALIZED ({ff_sql('N2', 0)}),
+    XB AS MATERIALIZED (SELECT seq_id, pos, k, a.x + b.x AS x FROM FF a JOIN XA b USING (seq_id, pos, k)),
+    XF AS MATERIALIZED ({ln_sql('XB', 'final_ln_gamma', 'final_ln_beta', eps)})"""
+
+
+def states_sql(d: int, every: bool = False) -> str:
+    """CTEs after XF: H, the state of each sequence's last position (or of every
+    position), and W, the output rows."""
+    last = "" if every else "WHERE pos = (SELECT max(pos) FROM TK t WHERE t.seq_id = XF.seq_id)"
+    return f"""H AS MATERIALIZED (SELECT seq_id, pos, list(x ORDER BY k)::DOUBLE[{d}] AS h FROM XF {last} GROUP BY seq_id, pos),
+    W AS MATERIALIZED (SELECT row_id AS token_id, vec::DOUBLE[{d}] AS w FROM PR WHERE param = 'output_layer')"""
+
+
+def q9(x: str) -> str:
+    return f"(round(({x}) * 1e9) / 1e9 + 0.0)"

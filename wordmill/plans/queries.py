@@ -74,9 +74,17 @@ def q_explode_tokens(spark, sf_dir):
     return tk.explode_tokens(documents(spark, sf_dir))
 
 
-@register("special_tokens", O.doc_vocab_with(" SELECT token, id FROM vocab WHERE id < 4"))
+@register(
+    "special_tokens",
+    O.doc_vocab_with(
+        f""", enc AS ({O.encode_cte('documents', 'doc_id', 'text')})
+        SELECT v.token, v.id, count(e.token_id) AS occurrences, count(DISTINCT e.doc_id) AS sequences
+        FROM vocab v LEFT JOIN (SELECT doc_id, unnest(ids) AS token_id FROM enc) e ON e.token_id = v.id
+        WHERE v.id < 4 GROUP BY ALL"""
+    ),
+)
 def q_special_tokens(spark, sf_dir):
-    return doc_vocab(spark, sf_dir).where(F.col("id") < 4).select("token", "id")
+    return vc.special_token_usage(tk.encode(documents(spark, sf_dir), doc_vocab(spark, sf_dir)), key="doc_id")
 
 
 @register(
@@ -124,7 +132,7 @@ def q_ids_to_tokens(spark, sf_dir):
 def q_decode(spark, sf_dir):
     vocab = doc_vocab(spark, sf_dir)
     enc = tk.encode(documents(spark, sf_dir), vocab).withColumnRenamed("doc_id", "seq_id")
-    return tk.decode(enc, vocab, partitioned=True)
+    return tk.decode(enc, vocab)
 
 
 @register(
@@ -213,9 +221,30 @@ def cleaned_pages(spark, sf_dir):
     return clean_articles(pages(spark, sf_dir), text="html", html=True, out="text").select("page_id", "text")
 
 
-@register("clean_articles", O.clean_pages_sql())
+# Every document as a wiki page: links, templates, references, table, list and
+# header lines around its text; every seventh redirects, every eleventh lists meanings.
+def wiki_documents(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return d.select(F.col("doc_id").alias("page_id"), F.expr(WIKI_EXPR).alias("html"))
+
+
+WIKI_EXPR = """concat(CASE WHEN doc_id % 7 = 0 THEN '#Redirect [[Main]] ' ELSE '' END,
+    '{{Infobox ', coalesce(source, ''), '}}[[', coalesce(lang, 'x'), '|about ', coalesce(source, ''), ']] and [[Plain]]<ref name="a">note</ref> stays. ',
+    coalesce(text, ''), chr(10), '| a | b |', chr(10), '* item', chr(10), '== Head ==', chr(10), ' See also this',
+    CASE WHEN doc_id % 11 = 0 THEN ' may refer to:' ELSE '' END)"""
+
+
+@register(
+    "clean_articles",
+    f"""SELECT 'page' AS kind, page_id, text FROM ({O.clean_pages_sql()})
+    UNION ALL SELECT 'wiki', page_id, text FROM ({O.clean_pages_sql(f"(SELECT doc_id AS page_id, {WIKI_EXPR} AS html FROM documents)", False)})""",
+)
 def q_clean_articles(spark, sf_dir):
-    return cleaned_pages(spark, sf_dir)
+    from ..sources.clean import clean_articles
+
+    wiki = clean_articles(wiki_documents(spark, sf_dir), text="html", html=False, out="text")
+    kind = lambda df, name: df.select(F.lit(name).alias("kind"), "page_id", "text")
+    return kind(cleaned_pages(spark, sf_dir), "page").unionByName(kind(wiki, "wiki"))
 
 
 @register("limit_articles", f"SELECT * FROM ({O.clean_pages_sql()}) ORDER BY page_id LIMIT 100")
@@ -243,17 +272,30 @@ def q_corpus_stats(spark, sf_dir):
     return corpus_stats(documents(spark, sf_dir))
 
 
-@register(
-    "structural_audit",
-    """SELECT table_lines, header_lines, table_lines > 5 OR header_lines > 5 AS warn FROM (
+def _audit_sql(stage: str, table: str) -> str:
+    return f"""SELECT '{stage}' AS stage, table_lines, header_lines, table_lines > 5 OR header_lines > 5 AS warn FROM (
       SELECT coalesce(sum(regexp_matches(line, '^\\|.*\\|')::INT), 0)::BIGINT AS table_lines,
              coalesce(sum(regexp_matches(line, '^==')::INT), 0)::BIGINT AS header_lines
-      FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))""",
+      FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM ({table})))"""
+
+
+_WIKI_TABLE = f"(SELECT doc_id AS page_id, {WIKI_EXPR} AS html FROM documents)"
+
+
+@register(
+    "structural_audit",
+    _audit_sql("raw", f"SELECT html AS text FROM {_WIKI_TABLE}")
+    + " UNION ALL "
+    + _audit_sql("cleaned", O.clean_pages_sql(_WIKI_TABLE, False)),
 )
 def q_structural_audit(spark, sf_dir):
-    from ..sources.clean import structural_audit
+    """The wiki pages before cleaning and after it."""
+    from ..sources.clean import clean_articles, structural_audit
 
-    return structural_audit(documents(spark, sf_dir))
+    wiki = wiki_documents(spark, sf_dir)
+    clean = clean_articles(wiki, text="html", html=False, out="text")
+    audit = lambda df, name: structural_audit(df).select(F.lit(name).alias("stage"), "*")
+    return audit(wiki.withColumnRenamed("html", "text"), "raw").unionByName(audit(clean, "cleaned"))
 
 
 # ---------------------------------------------------------------- 2.4 windows
@@ -291,9 +333,10 @@ def q_eval_windows(spark, sf_dir):
 
 
 def sampled(spark, sf_dir):
-    from ..operators.windows import sample_windows
+    from ..operators.windows import sample_text_windows
 
-    return sample_windows(doc_seqs(spark, sf_dir), SAMPLE_K, SAMPLE_L, seed=SEED, epoch=0)
+    docs = documents(spark, sf_dir).withColumnRenamed("doc_id", "seq_id")
+    return sample_text_windows(docs, doc_vocab(spark, sf_dir), SAMPLE_K, SAMPLE_L, seed=SEED, epoch=0)
 
 
 @register("sample_windows", O.enc_docs_with(f" {O.sample_sql('seqs', SAMPLE_K, SAMPLE_L, SEED, 0)}"))
@@ -315,18 +358,17 @@ def q_assign_batches(spark, sf_dir):
 
 @register(
     "chunk_batches",
-    f"""SELECT sample_no, batch, (CASE WHEN len_b // 8 = 0 THEN 7 ELSE least((sample_no - batch * 32) // (len_b // 8), 7) END)::BIGINT AS worker
-    FROM (SELECT r.range AS sample_no, (r.range // 32)::BIGINT AS batch, least(32, 1000 - (r.range // 32) * 32) AS len_b
-          FROM range((SELECT least(sum(len(regexp_extract_all(lower(text), '{O.PAT}')) + 2) // 20, 1000)::BIGINT FROM documents)) r)""",
+    O.enc_docs_with(
+        f""" SELECT sample_no, seq_id, i, batch, (CASE WHEN size // 8 = 0 THEN 7
+          ELSE least((sample_no - batch * 32) // (size // 8), 7) END)::BIGINT AS worker
+        FROM (SELECT *, (sample_no // 32)::BIGINT AS batch, least(32, {SAMPLE_K} - (sample_no // 32) * 32) AS size
+              FROM ({O.sample_sql('seqs', SAMPLE_K, SAMPLE_L, SEED, 0)}))"""
+    ),
 )
 def q_chunk_batches(spark, sf_dir):
-    from ..operators.windows import chunk_batches, plan_values
-    from ..sources.clean import corpus_stats
+    from ..operators.windows import chunk_batches
 
-    n_tokens = corpus_stats(documents(spark, sf_dir)).first()["n_tokens"]
-    plan = plan_values(n_tokens, 0.001, 64, 8)
-    n = plan["samples_per_epoch"]
-    return chunk_batches(spark.range(n).withColumnRenamed("id", "sample_no"), plan["batch_size"], 8, n)
+    return chunk_batches(sampled(spark, sf_dir), 32, 8, SAMPLE_K).select("sample_no", "seq_id", "i", "batch", "worker")
 
 
 @register(
@@ -349,11 +391,11 @@ def emb_matrix(spark, sf_dir):
     return matrix_from_rows(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
-def emb_random(spark, sf_dir, E, seed=7, name="random", xavier=False):
-    from ..operators.matrix import matrix_random, matrix_shape, matrix_xavier
+def emb_random(spark, sf_dir, E):
+    from ..operators.matrix import matrix_random, matrix_shape
 
     r, c = matrix_shape(E)
-    return (matrix_xavier if xavier else matrix_random)(spark, r, c, seed, name)
+    return matrix_random(spark, r, c, 7, "random")
 
 
 def _mx(expr: str, body: str) -> str:
@@ -368,22 +410,46 @@ def q_matrix_from_rows(spark, sf_dir):
     return emb_matrix(spark, sf_dir)
 
 
-@register("matrix_zeros", _mx("", "SELECT a.range::BIGINT AS i, b.range::BIGINT AS j, 0.0::DOUBLE AS v FROM SH, range(SH.r) a, range(SH.c) b"))
+def label_shapes(spark, sf_dir):
+    """One matrix per label of the embeddings, as many rows as it has vectors."""
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.groupBy(F.col("label").cast("bigint").alias("m")).agg(
+        F.count("*").alias("rows"), F.max(F.size("embedding")).cast("bigint").alias("cols")
+    )
+
+
+LABEL_CELLS = """LS AS (SELECT label::BIGINT AS m, count(*) AS r, max(len(embedding)) AS c FROM embeddings GROUP BY label),
+    LC AS (SELECT m, r, c, i, unnest(range(c)) AS j FROM (SELECT m, r, c, unnest(range(r)) AS i FROM LS))"""
+
+
+def _label_draw(name: str) -> str:
+    from ..functions.random import hash_uniform_sql
+
+    return f"({hash_uniform_sql(7, name, 'm', 'i', 'j')} * 2.0 - 1.0)"
+
+
+@register("matrix_zeros", f"WITH {LABEL_CELLS} SELECT m, i, j, 0.0::DOUBLE AS v FROM LC")
 def q_matrix_zeros(spark, sf_dir):
-    from ..operators.matrix import matrix_shape, matrix_zeros
+    from ..operators.matrix import zeros_of
 
-    r, c = matrix_shape(emb_matrix(spark, sf_dir))
-    return matrix_zeros(spark, r, c)
+    return zeros_of(label_shapes(spark, sf_dir), ["m"])
 
 
-@register("matrix_random", _mx(RAND, "SELECT * FROM R"))
+@register("matrix_random", f"WITH {LABEL_CELLS} SELECT m, i, j, {_label_draw('random')} AS v FROM LC")
 def q_matrix_random(spark, sf_dir):
-    return emb_random(spark, sf_dir, emb_matrix(spark, sf_dir))
+    from ..operators.matrix import random_of
+
+    return random_of(label_shapes(spark, sf_dir), ["m"], 7, "random")
 
 
-@register("matrix_xavier", _mx(f", X AS ({O.random_cells_sql(7, 'xavier')})", "SELECT i, j, v * sqrt(6.0 / (SH.r + SH.c)) AS v FROM X, SH"))
+@register(
+    "matrix_xavier",
+    f"WITH {LABEL_CELLS} SELECT m, i, j, {O.q6(_label_draw('xavier') + ' * sqrt(6.0 / (r + c))')} AS v FROM LC",
+)
 def q_matrix_xavier(spark, sf_dir):
-    return emb_random(spark, sf_dir, emb_matrix(spark, sf_dir), name="xavier", xavier=True)
+    from ..operators.matrix import q6, xavier_of
+
+    return xavier_of(label_shapes(spark, sf_dir), ["m"], 7, "xavier").withColumn("v", q6(F.col("v")))
 
 
 UPD_SQL = "SELECT vec_id::BIGINT AS i, (label * 8)::BIGINT AS j, -1.0::DOUBLE AS v FROM embeddings"
@@ -409,13 +475,21 @@ def q_matrix_get(spark, sf_dir):
     return matrix_get(emb_matrix(spark, sf_dir), emb_updates(spark, sf_dir).select("i", "j"))
 
 
-@register("matrix_multiply", _mx("", f"SELECT a.j AS i, b.j AS j, {O.q6('sum(a.v * b.v)')} AS v FROM E a JOIN E b ON a.i = b.i GROUP BY a.j, b.j"))
+@register(
+    "matrix_multiply",
+    f"""WITH EM AS (SELECT label::BIGINT AS m, vec_id::BIGINT AS i, unnest(generate_series(0, len(embedding) - 1))::BIGINT AS j,
+      unnest(embedding)::DOUBLE AS v FROM embeddings)
+    SELECT a.m, a.j AS i, b.j AS j, {O.q6('sum(a.v * b.v)')} AS v FROM EM a JOIN EM b ON a.m = b.m AND a.i = b.i GROUP BY a.m, a.j, b.j""",
+)
 def q_matrix_multiply(spark, sf_dir):
-    from ..operators.matrix import matrix_multiply, matrix_shape, matrix_transpose, q6
+    """E'E of every label's vectors: many matrices in one call."""
+    from ..operators.matrix import matrix_multiply, matrix_transpose, q6
 
-    E = emb_matrix(spark, sf_dir)
-    r, c = matrix_shape(E)
-    return matrix_multiply(matrix_transpose(E), E, (c, r), (r, c)).select("i", "j", q6(F.col("v")).alias("v"))
+    e = read_table(spark, sf_dir, "embeddings")
+    cells = e.select(
+        F.col("label").cast("bigint").alias("m"), F.col("vec_id").cast("bigint").alias("i"), F.posexplode("embedding").alias("j", "v")
+    ).select("m", "i", F.col("j").cast("bigint").alias("j"), F.col("v").cast("double").alias("v"))
+    return matrix_multiply(matrix_transpose(cells, ["m"]), cells, key=["m"]).select("m", "i", "j", q6(F.col("v")).alias("v"))
 
 
 @register("matrix_add", _mx(RAND, "SELECT i, j, coalesce(E.v, 0.0) + coalesce(R.v, 0.0) AS v FROM E FULL JOIN R USING (i, j)"))
@@ -740,49 +814,100 @@ def _q6vec(df, col="vec"):
 MODEL_WITH = O.doc_vocab_with(f""", VV AS (SELECT count(*) AS vs FROM vocab), PR AS ({O.init_params_sql('VV.vs', MD, MH, ML, MSEED)})""")
 
 
-@register("init_params", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR")
+@register(
+    "init_params",
+    f"""{MODEL_WITH} SELECT param, row_id, v.token, {O.q6_list('vec')} AS vec FROM PR
+    LEFT JOIN vocab v ON v.id = row_id AND param IN ('embedding', 'output_layer')""",
+)
 def q_init_params(spark, sf_dir):
-    return _q6vec(model_parts(spark, sf_dir)[2])
+    from ..operators.params import named_rows
+
+    vocab, _, params = model_parts(spark, sf_dir)
+    return _q6vec(named_rows(params, vocab))
+
+
+TRAINED = """WITH EP AS (SELECT 'label_' || label AS param, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS row_id,
+    embedding::DOUBLE[] AS vec FROM embeddings)"""
 
 
-@register("write_params", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR")
+@register(
+    "write_params",
+    f"""{TRAINED} SELECT param, row_id, vec, list_transform(vec, lambda x: x * 0.5) AS m, list_transform(vec, lambda x: x * x) AS v,
+    7::BIGINT AS step FROM EP""",
+)
 def q_write_params(spark, sf_dir):
+    """A state of the embeddings' values, with moments, written and read back."""
     from ..session import scratch_path
-    from ..sources.store import write_params
+    from ..sources.store import write_state
+
+    path = write_state(emb_state(spark, sf_dir), scratch_path(spark, "params"), step=7)
+    meta = spark.read.parquet(f"{path}/meta")
+    return spark.read.parquet(f"{path}/weights").select("param", "row_id", "vec", "m", "v").join(meta.select("step"))
 
-    _, shape, params = model_parts(spark, sf_dir)
-    path = write_params(params, shape, scratch_path(spark, "params"))
-    return _q6vec(spark.read.parquet(f"{path}/weights").select("param", "row_id", "vec"))
+
+def emb_state(spark, sf_dir):
+    return emb_params(spark, sf_dir).withColumns(
+        {"m": F.transform("vec", lambda x: x * 0.5), "v": F.transform("vec", lambda x: x * x)}
+    )
 
 
-@register("read_params", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR")
+@register(
+    "read_params",
+    f"""{TRAINED}, LAST AS (SELECT max(param) AS gone FROM EP)
+    SELECT param, row_id, CASE WHEN param = gone THEN list_transform(vec, lambda x: 0.0) ELSE vec END AS vec,
+      CASE WHEN param = gone THEN list_transform(vec, lambda x: 0.0) ELSE list_transform(vec, lambda x: x * 0.5) END AS m,
+      CASE WHEN param = gone THEN list_transform(vec, lambda x: 0.0) ELSE list_transform(vec, lambda x: x * x) END AS v
+    FROM EP, LAST""",
+)
 def q_read_params(spark, sf_dir):
+    """The same state read over zeros: one tensor was written with a row too few
+    and keeps its initial values."""
     from ..session import scratch_path
-    from ..sources.store import read_params, write_params
+    from ..sources.store import read_state, write_state
+
+    state = emb_state(spark, sf_dir)
+    gone = state.agg(F.max("param")).first()[0]
+    path = write_state(state.where(~((F.col("param") == gone) & (F.col("row_id") == 0))), scratch_path(spark, "params"), step=7)
+    zero = lambda c: F.transform(c, lambda x: F.lit(0.0))
+    initial = state.withColumns({c: zero(c) for c in ("vec", "m", "v")})
+    return read_state(spark, path, initial)
+
+
+def emb_params(spark, sf_dir):
+    """The embeddings as a parameter table: one matrix per label, its rows in
+    the order of their ids."""
+    from pyspark.sql import Window
+
+    e = read_table(spark, sf_dir, "embeddings")
+    place = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    return e.select(
+        F.concat(F.lit("label_"), F.col("label")).alias("param"), place.cast("bigint").alias("row_id"),
+        F.col("embedding").cast("array<double>").alias("vec"),
+    )
+
 
-    _, shape, params = model_parts(spark, sf_dir)
-    path = write_params(params, shape, scratch_path(spark, "params"))
-    return _q6vec(read_params(spark, path, shape, params))
+EMB_PARAMS = """EP AS (SELECT 'label_' || label AS param, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS row_id,
+    embedding::DOUBLE[] AS vec FROM embeddings)"""
 
 
 @register(
     "flatten_matrix",
-    f"{MODEL_WITH} SELECT param, row_id * {MD} + j AS k, round(w * 1e6) / 1e6 + 0.0 AS v FROM (SELECT param, row_id, unnest(generate_series(0, len(vec) - 1)) AS j, unnest(vec) AS w FROM PR WHERE param = 'embedding')",
+    f"""WITH {EMB_PARAMS} SELECT param, row_id * len(vec) + j AS k, v FROM (
+      SELECT param, row_id, vec, unnest(generate_series(0, len(vec) - 1)) AS j, unnest(vec) AS v FROM EP)""",
 )
 def q_flatten_matrix(spark, sf_dir):
-    from ..operators.params import flatten_matrix
+    from ..operators.params import flatten_all
 
-    flat = flatten_matrix(model_parts(spark, sf_dir)[2], "embedding", MD)
-    return flat.select("param", F.col("k").cast("bigint"), (F.round(F.col("v") * 1e6) / 1e6 + 0.0).alias("v"))
+    return flatten_all(emb_params(spark, sf_dir))
 
 
-@register("unflatten_matrix", f"{MODEL_WITH} SELECT param, row_id, {O.q6_list('vec')} AS vec FROM PR WHERE param = 'embedding'")
+@register("unflatten_matrix", f"WITH {EMB_PARAMS} SELECT param, row_id, vec FROM EP")
 def q_unflatten_matrix(spark, sf_dir):
-    from ..operators.params import flatten_matrix, unflatten_matrix
+    from ..operators.params import flatten_all, unflatten_all
 
-    _, shape, params = model_parts(spark, sf_dir)
-    flat = flatten_matrix(params, "embedding", MD)
-    return _q6vec(unflatten_matrix(flat, "embedding", shape.vocab_size, MD))
+    params = emb_params(spark, sf_dir)
+    shapes = params.groupBy("param").agg(F.count("*").alias("rows"), F.max(F.size("vec")).alias("cols"))
+    return unflatten_all(flatten_all(params), shapes)
 
 
 @register("write_vocab", O.doc_vocab_with(" SELECT * FROM vocab"))
@@ -815,22 +940,20 @@ def layer_input(spark, sf_dir):
     return toks, shape, params
 
 
-LAYER_WITH = O.doc_vocab_with(
-    f""", VV AS (SELECT count(*) AS vs FROM vocab), PR AS ({O.init_params_sql('VV.vs', MD, MH, ML, MSEED)}),
-    enc AS ({O.encode_cte('benchmark', 'item_id', 'text', frozen=True)}),
-    seqs AS (SELECT item_id AS seq_id, ids FROM enc),
-    WN AS ({O.windows_sql('seqs', 20)}),
-    TK AS (SELECT concat_ws(':', seq_id, i) AS seq_id, unnest(generate_series(0, len(input) - 1))::BIGINT AS pos, unnest(input) AS token_id FROM WN),
-    X0 AS (SELECT seq_id, pos, unnest(generate_series(0, {MD - 1}))::BIGINT AS k,
-                  unnest(coalesce(e.vec, list_transform(range({MD}), lambda z: 0.0))) AS x
-           FROM TK LEFT JOIN (SELECT row_id AS token_id, vec FROM PR WHERE param = 'embedding') e USING (token_id)),
-    PE AS (SELECT p.range::BIGINT AS pos, c.range::BIGINT AS k,
-                  CASE WHEN c.range % 2 = 0 THEN sin(p.range / pow(10000.0, (c.range - c.range % 2) / {float(MD)}))
-                       ELSE cos(p.range / pow(10000.0, (c.range - c.range % 2) / {float(MD)})) END AS pe
-           FROM range(512) p, range({MD}) c),
-    X1 AS (SELECT seq_id, pos, k, x + coalesce(pe, 0.0) AS x FROM X0 LEFT JOIN PE USING (pos, k)),
-    N1 AS ({O.ln_sql('X1', 'transformer_0_ln1_gamma', 'transformer_0_ln1_beta', 1e-6)})"""
-)
+def model_with(seqs: str, tokens: str) -> str:
+    """WITH vocab, PR, seqs, the caller's TK, and the layers over TK."""
+    return O.doc_vocab_with(
+        f""", VV AS (SELECT count(*) AS vs FROM vocab),
+    PR AS MATERIALIZED ({O.init_params_sql('VV.vs', MD, MH, ML, MSEED)}),
+    {seqs}, {tokens}, {O.layers_sql(MD, 4)}"""
+    )
+
+
+BENCH_SEQS = f"enc AS ({O.encode_cte('benchmark', 'item_id', 'text', frozen=True)}), seqs AS (SELECT item_id AS seq_id, ids FROM enc)"
+BENCH_WINDOWS = f"""WN AS MATERIALIZED ({O.windows_sql('seqs', 20)}),
+    TK AS (SELECT concat_ws(':', seq_id, i) AS seq_id, unnest(generate_series(0, len(input) - 1))::BIGINT AS pos, unnest(input) AS token_id FROM WN)"""
+WHOLE_SEQS = "TK AS (SELECT seq_id, unnest(generate_series(0, len(ids) - 1))::BIGINT AS pos, unnest(ids) AS token_id FROM seqs)"
+LAYER_WITH = model_with(BENCH_SEQS, BENCH_WINDOWS)
 
 
 def _xout(df):
@@ -848,13 +971,17 @@ def q_embed_tokens(spark, sf_dir):
     return _xout(embed_tokens(toks, params, shape))
 
 
-@register("positional_table", f"{LAYER_WITH} SELECT pos, k, round(pe * 1e6) / 1e6 + 0.0 AS pe FROM PE")
+@register(
+    "positional_table",
+    f"""{LAYER_WITH} SELECT t.seq_id, t.pos, token_id, list({O.q6('coalesce(pe, 0.0)')} ORDER BY d.range) AS vec
+    FROM TK t CROSS JOIN range({MD}) d LEFT JOIN PE ON PE.pos = t.pos AND PE.k = d.range GROUP BY ALL""",
+)
 def q_positional_table(spark, sf_dir):
-    from ..operators.layers import positional_table
+    """The position vector of every token of every evaluation window."""
+    from ..operators.layers import position_vectors
 
-    _, shape, params = model_parts(spark, sf_dir)
-    pe = positional_table(spark, shape.max_seq_len, shape.embed_size)
-    return pe.select("pos", "k", (F.round(F.col("pe") * 1e6) / 1e6 + 0.0).alias("pe"))
+    toks, shape, _ = layer_input(spark, sf_dir)
+    return _q6vec(position_vectors(toks, shape.max_seq_len, shape.embed_size))
 
 
 def _x1(spark, sf_dir):
@@ -883,10 +1010,7 @@ def q_layer_norm_affine(spark, sf_dir):
     return _xout(_n1(spark, sf_dir)[0])
 
 
-_SCALE = 1.0 / (MD // 4) ** 0.5
-
-
-@register("causal_attention", f"{LAYER_WITH}, ATT AS ({O.attention_sql('N1', 0, _SCALE)}) {XOUT} ATT")
+@register("causal_attention", f"{LAYER_WITH} {XOUT} ATT")
 def q_causal_attention(spark, sf_dir):
     from ..operators.layers import causal_attention
 
@@ -894,7 +1018,7 @@ def q_causal_attention(spark, sf_dir):
     return _xout(causal_attention(n1, params, 0, shape))
 
 
-@register("feed_forward", f"{LAYER_WITH}, FF AS ({O.ff_sql('N1', 0)}) {XOUT} FF")
+@register("feed_forward", f"{LAYER_WITH}, F1 AS ({O.ff_sql('N1', 0)}) {XOUT} F1")
 def q_feed_forward(spark, sf_dir):
     from ..operators.layers import feed_forward
 
@@ -904,58 +1028,91 @@ def q_feed_forward(spark, sf_dir):
 
 @register(
     "transformer_block",
-    f"""{LAYER_WITH}, ATT AS ({O.attention_sql('N1', 0, _SCALE)}),
-    XA AS (SELECT seq_id, pos, k, a.x + b.x AS x FROM ATT a JOIN X1 b USING (seq_id, pos, k)),
-    N2 AS ({O.ln_sql('XA', 'transformer_0_ln2_gamma', 'transformer_0_ln2_beta', 1e-6)}),
-    FF AS ({O.ff_sql('N2', 0)}),
-    XB AS (SELECT seq_id, pos, k, a.x + b.x AS x FROM FF a JOIN XA b USING (seq_id, pos, k))
-    {XOUT} XB""",
+    f"""{LAYER_WITH} SELECT seq_id, pos, list({O.q6('x')} ORDER BY k) AS vec FROM XB GROUP BY seq_id, pos""",
 )
 def q_transformer_block(spark, sf_dir):
-    from ..operators.layers import transformer_block
+    from ..operators.layers import block_rows
 
     x1, shape, params = _x1(spark, sf_dir)
-    return _xout(transformer_block(x1, params, 0, shape))
+    return _q6vec(block_rows(x1, params, 0, shape))
+
 
+# ---------------------------------------------------------------- 2.6 scoring jobs
+def _round(df, **digits):
+    for name, n in digits.items():
+        df = df.withColumn(name, F.round(F.col(name) * 10.0**n) / 10.0**n + 0.0)
+    return df
 
-# ---------------------------------------------------------------- 2.6 scoring jobs (rows-only checks)
-@register("forward_logits")
+
+@register(
+    "forward_logits",
+    f"""{model_with(BENCH_SEQS, WHOLE_SEQS)}, {O.states_sql(MD, every=True)},
+    L AS (SELECT seq_id, pos, token_id, array_inner_product(h, w) AS l FROM H, W)
+    SELECT seq_id, pos, arg_max(token_id, l) AS top_token, {O.q6('max(l)')} AS top_logit, {O.q6('ln(sum(exp(l)))')} AS lse
+    FROM L GROUP BY seq_id, pos""",
+)
 def q_forward_logits(spark, sf_dir):
     from ..operators.scoring import forward_logits
 
     vocab, shape, params = model_parts(spark, sf_dir)
-    return forward_logits(bench_seqs(spark, sf_dir, vocab), params, shape, summary=True)
+    return _round(forward_logits(bench_seqs(spark, sf_dir, vocab), params, shape, summary=True), top_logit=6, lse=6)
 
 
 def user_prompts(spark, sf_dir, vocab):
     conv = read_table(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    keyed = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), "text")
+    keyed = conv.select(F.concat_ws(":", "conv_id", "turn").alias("seq_id"), "text")
     return tk.encode_frozen(keyed, vocab, key="seq_id")
 
 
-@register("predict_next")
+PROMPT_SEQS = f"""users AS (SELECT concat_ws(':', conv_id, turn) AS seq_id, text FROM conversations WHERE role = 'user'),
+    seqs AS ({O.encode_cte("users", "seq_id", "text", frozen=True)})"""
+PREDICT_TOP = 40
+
+
+@register(
+    "predict_next",
+    f"""{model_with(PROMPT_SEQS, WHOLE_SEQS)}, {O.states_sql(MD)},
+    L AS MATERIALIZED (SELECT seq_id, token_id, exp(array_inner_product(h, w)) AS e FROM H, W),
+    Z AS (SELECT seq_id, sum(e) AS z FROM L GROUP BY seq_id),
+    SEEN AS (SELECT DISTINCT seq_id, token_id FROM TK),
+    BEST AS (SELECT seq_id, token_id, e FROM L ANTI JOIN SEEN USING (seq_id, token_id)
+             QUALIFY row_number() OVER (PARTITION BY seq_id ORDER BY e DESC, token_id) <= {PREDICT_TOP})
+    SELECT seq_id, token_id, {O.q9('e / z')} AS p
+    FROM (SELECT * FROM BEST UNION ALL SELECT seq_id, token_id, e FROM L SEMI JOIN SEEN USING (seq_id, token_id)) JOIN Z USING (seq_id)""",
+)
 def q_predict_next(spark, sf_dir):
     from ..operators.scoring import predict_next
 
     vocab, shape, params = model_parts(spark, sf_dir)
-    return predict_next(user_prompts(spark, sf_dir, vocab), params, shape, top=40)
+    return _round(predict_next(user_prompts(spark, sf_dir, vocab), params, shape, top=PREDICT_TOP), p=9)
+
+
+LOSS_WITH = f"""{LAYER_WITH}, {O.states_sql(MD)},
+    Z AS MATERIALIZED (SELECT seq_id AS wid, sum(exp(array_inner_product(h, w))) AS z FROM H, W GROUP BY seq_id),
+    LS AS MATERIALIZED (SELECT n.seq_id, n.i, n.target, coalesce(exp(array_inner_product(h, w)) / z, 0.0) AS p, w IS NULL AS out_of
+           FROM WN n JOIN Z ON wid = concat_ws(':', n.seq_id, n.i) JOIN H ON H.seq_id = wid LEFT JOIN W ON token_id = target),
+    LL AS (SELECT seq_id, i, target, p, CASE WHEN out_of THEN 0.0 ELSE -ln(p + 1e-10) END AS loss FROM LS)"""
 
 
-@register("window_loss")
+@register("window_loss", f"{LOSS_WITH} SELECT seq_id, i, target, {O.q9('p')} AS p, {O.q6('loss')} AS loss FROM LL")
 def q_window_loss(spark, sf_dir):
     from ..operators.scoring import window_loss
     from ..operators.windows import eval_windows
 
     vocab, shape, params = model_parts(spark, sf_dir)
-    return window_loss(eval_windows(bench_seqs(spark, sf_dir, vocab)), params, shape)
+    return _round(window_loss(eval_windows(bench_seqs(spark, sf_dir, vocab)), params, shape), p=9, loss=6)
 
 
-@register("evaluate")
+@register(
+    "evaluate",
+    f"""{LOSS_WITH} SELECT count(*) AS n_windows, {O.q6('avg(loss)')} AS mean_loss,
+    round(exp(avg(loss)) * 1e3) / 1e3 AS perplexity FROM LL""",
+)
 def q_evaluate(spark, sf_dir):
     from ..operators.scoring import evaluate
 
     vocab, shape, params = model_parts(spark, sf_dir)
-    return evaluate(bench_seqs(spark, sf_dir, vocab), params, shape)
+    return _round(evaluate(bench_seqs(spark, sf_dir, vocab), params, shape), mean_loss=6, perplexity=3)
 
 
 # ---------------------------------------------------------------- 2.8 training
@@ -970,14 +1127,29 @@ def grad_batch(spark, sf_dir):
     return vocab, shape, adam_state(params), batch, seqs
 
 
-@register("window_gradients")
+_DOTS = ", ".join(f"sum(d * h[{k + 1}])" for k in range(MD))
+_BACK = ", ".join(f"sum(d * w[{k + 1}])" for k in range(MD))
+
+
+@register(
+    "window_gradients",
+    f"""{LOSS_WITH},
+    D AS NOT MATERIALIZED (SELECT wid, token_id, exp(array_inner_product(h, w)) / z - CASE WHEN token_id = target THEN 1.0 ELSE 0.0 END AS d, h, w,
+             input[len(input)] AS last
+          FROM WN n JOIN Z ON wid = concat_ws(':', n.seq_id, n.i) JOIN H ON H.seq_id = wid, W)
+    SELECT 'output_layer' AS param, token_id AS row_id, {O.q6_list(f'[{_DOTS}]')} AS vec FROM D GROUP BY token_id
+    UNION ALL SELECT 'embedding', last, {O.q6_list(f'[{_BACK}]')} FROM D WHERE last < (SELECT vs FROM VV) GROUP BY last
+    UNION ALL SELECT '__loss__', 0, {O.q6_list('[sum(loss), count(*)::DOUBLE]')} FROM LL""",
+)
 def q_window_gradients(spark, sf_dir):
-    from ..operators.gradients import window_gradients
+    from ..operators.gradients import sum_gradients, window_gradients
     from ..operators.scoring import broadcast_model
+    from ..operators.windows import eval_windows
 
-    _, shape, state, batch, _ = grad_batch(spark, sf_dir)
-    model = broadcast_model(state.select("param", "row_id", "vec"), shape)
-    return window_gradients(batch, model, shape, "sample_no", training=False)
+    vocab, shape, params = model_parts(spark, sf_dir)
+    batch = eval_windows(bench_seqs(spark, sf_dir, vocab))
+    grads = window_gradients(batch, broadcast_model(params, shape), shape, "seq_id", training=False)
+    return _q6vec(sum_gradients(grads))
 
 
 @register("train_batch")
@@ -1154,33 +1326,43 @@ def q_adam_step(spark, sf_dir):
     return cells.select("row_id", F.col("k").cast("bigint"), r(F.col("c.vec"), 6).alias("w"), r(F.col("c.m"), 10).alias("m"), r(F.col("c.v"), 10).alias("v"))
 
 
-STEPS_SQL = f"""ST AS (SELECT r.range::BIGINT AS t FROM range((SELECT (ceil(least(sum(len(regexp_extract_all(lower(text), '{O.PAT}')) + 2) // 20, 1000) / 32) + 1)::BIGINT FROM documents)) r)"""
+STEPS_SQL = O.enc_docs_with(
+    f""", ST AS (SELECT (sample_no // 32 + 1)::BIGINT AS t, count(*) AS windows, sum(len(input))::BIGINT AS tokens
+    FROM ({O.sample_sql('seqs', SAMPLE_K, SAMPLE_L, SEED, 0)}) GROUP BY ALL)"""
+)
 
 
-def plan_steps(spark, sf_dir):
-    from ..operators.windows import plan_values
-    from ..sources.clean import corpus_stats
+def batch_steps(spark, sf_dir):
+    """The steps of an epoch over the sampled windows: their number, windows and
+    input tokens."""
+    from ..operators.windows import assign_batches
 
-    n_tokens = corpus_stats(documents(spark, sf_dir)).first()["n_tokens"]
-    return spark.range(plan_values(n_tokens, 0.001, 64, 8)["n_batches"] + 1).select(F.col("id").alias("t"))
+    batches = assign_batches(sampled(spark, sf_dir), 32)
+    return batches.groupBy((F.col("batch") + 1).alias("t")).agg(
+        F.count("*").alias("windows"), F.sum(F.size("input")).cast("bigint").alias("tokens")
+    )
 
 
 @register(
     "effective_lr",
-    f"WITH {STEPS_SQL} SELECT t, {gq('CASE WHEN t = 0 THEN 0.001 ELSE 0.001 * sqrt(1.0 - pow(0.999, t)) / (1.0 - pow(0.9, t)) END', 12)} AS lr FROM ST",
+    f"{STEPS_SQL} SELECT t, windows, tokens, {gq('0.001 * sqrt(1.0 - pow(0.999, t)) / (1.0 - pow(0.9, t))', 12)} AS lr FROM ST",
 )
 def q_effective_lr(spark, sf_dir):
     from ..operators.gradients import effective_lr
 
-    st = plan_steps(spark, sf_dir)
-    return st.select("t", (F.round(effective_lr(0.001, F.col("t")) * 1e12) / 1e12 + 0.0).alias("lr"))
+    rate = F.round(effective_lr(0.001, F.col("t")) * 1e12) / 1e12 + 0.0
+    return batch_steps(spark, sf_dir).withColumn("lr", rate)
 
 
-@register("warmup_lr", f"WITH {STEPS_SQL} SELECT t, CASE WHEN t = 0 THEN 0.001::DOUBLE WHEN t < 10 THEN 0.001::DOUBLE * t / 10.0::DOUBLE ELSE 0.001::DOUBLE * 9.0::DOUBLE / 10.0::DOUBLE END AS lr FROM ST")
+@register(
+    "warmup_lr",
+    f"""{STEPS_SQL} SELECT t, windows, tokens, CASE WHEN t < 10 THEN 0.001::DOUBLE * t / 10.0::DOUBLE
+      ELSE 0.001::DOUBLE * 9.0::DOUBLE / 10.0::DOUBLE END AS lr FROM ST""",
+)
 def q_warmup_lr(spark, sf_dir):
     from ..operators.gradients import warmup_lr
 
-    return plan_steps(spark, sf_dir).select("t", warmup_lr(0.001, F.col("t"), 10).alias("lr"))
+    return batch_steps(spark, sf_dir).withColumn("lr", warmup_lr(0.001, F.col("t"), 10))
 
 
 # ---------------------------------------------------------------- 2.9 streaming
@@ -1190,5 +1372,7 @@ def q_stream_vocab(spark, sf_dir):
     from ..streaming.vocab_stream import stream_vocab, write_in_order
 
     base = scratch_path(spark, "stream")
-    write_in_order(documents(spark, sf_dir), f"{base}/source", 4)
+    docs = documents(spark, sf_dir)
+    # Files of some 5,000 documents, four at least, each a micro-batch.
+    write_in_order(docs, f"{base}/source", max(4, -(-docs.count() // 5000)))
     return stream_vocab(spark, f"{base}/source", f"{base}/vocab", f"{base}/checkpoint")

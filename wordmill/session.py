@@ -82,6 +82,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{parent}/wordmill-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: it is computed once, row
+    numbers drawn in it stay, and its lineage is cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -1,12 +1,17 @@
 """Streaming vocabulary: ids assigned as text arrives.
 
-A file stream of documents feeds ``foreachBatch``; batch b grows the
-vocabulary version of batch b-1 (known tokens keep their ids, new ones get
-the next ids in order of first occurrence within the batch) and writes
-version b.  A replayed batch recomputes from the same previous version and
-overwrites its own version, so the result is exactly-once.  When each
-micro-batch holds later documents than the one before, the final version
-equals ``build_vocab`` over all of them.
+A file stream of documents feeds ``foreachBatch``. The vocabulary is a log: batch
+b appends its new words (``words/batch=b``), the occurrences of its words
+(``counts/batch=b``) and, last, one manifest row (``manifest/batch=b``: the next
+free id). A batch counts when its manifest is complete. It reads the tokens of the
+log but writes only its own words, so a batch costs what it brings. After every
+``compact_every`` batches the log up to there is also written as one table
+(``base/batch=b``, complete when its own manifest is), from which readers start.
+
+A replayed batch sees the same log before it and overwrites its own folders, so
+the result is exactly-once, also after a crash between the folders. When each
+micro-batch holds later documents than the one before, the vocabulary equals
+``build_vocab`` over all of them.
 """
 
 from __future__ import annotations
@@ -14,44 +19,88 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import SPECIAL_TOKENS
 from ..operators.tokens import explode_tokens
-from ..operators.vocab import VOCAB_SCHEMA, build_vocab, grow_vocab
-from ..session import cut_lineage
+from ..operators.vocab import VOCAB_SCHEMA, special_tokens, vocab_delta
 
-VERSION_COL = "batch"
+WORDS = "token string, id bigint, first_doc bigint, first_pos bigint"
+COUNTS = "token string, n bigint"
+COMPACT_EVERY = 16
 
 
-def _version_ids(spark: SparkSession, vocab_dir: str) -> list[int]:
-    """Batch ids with a written version: a listing of folder names."""
+def _batches(spark: SparkSession, vocab_dir: str, kind: str) -> list[int]:
+    """Batch ids whose folder of this kind is complete: a listing of names."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(vocab_dir)
+    path = jvm.org.apache.hadoop.fs.Path(f"{vocab_dir}/{kind}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{VERSION_COL}="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
+        if st.isDirectory() and name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
     return sorted(out)
 
 
+class VocabLog:
+    """The log as it stands before a batch (None: at its end)."""
+
+    def __init__(self, spark: SparkSession, vocab_dir: str, before: int | None = None):
+        self.spark, self.dir = spark, vocab_dir
+        self.done = [b for b in _batches(spark, vocab_dir, "manifest") if before is None or b < before]
+        whole = [b for b in _batches(spark, vocab_dir, "base") if b in self.done]
+        self.base = whole[-1] if whole else None
+        self.after = [b for b in self.done if self.base is None or b > self.base]
+
+    def _deltas(self, kind: str, schema: str) -> DataFrame:
+        paths = [f"{self.dir}/{kind}/batch={b}" for b in self.after]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _base(self) -> DataFrame:
+        if self.base is None:
+            return special_tokens(self.spark)
+        return self.spark.read.schema(VOCAB_SCHEMA).parquet(f"{self.dir}/base/batch={self.base}")
+
+    def next_id(self) -> int:
+        if not self.done:
+            return len(SPECIAL_TOKENS)
+        return self.spark.read.parquet(f"{self.dir}/manifest/batch={self.done[-1]}").first()["next_id"]
+
+    def tokens(self) -> DataFrame:
+        return self._base().select("token").unionByName(self._deltas("words", WORDS).select("token"))
+
+    def vocab(self) -> DataFrame:
+        """The whole vocabulary; counts are summed map-side, a word has at most
+        one row per batch."""
+        zero = F.lit(0).cast("bigint")
+        words = self._base().unionByName(self._deltas("words", WORDS).withColumn("n", zero))
+        more = self._deltas("counts", COUNTS).groupBy("token").agg(F.sum("n").alias("_more"))
+        return words.join(more, "token", "left").select(
+            "token", "id", (F.col("n") + F.coalesce("_more", zero)).alias("n"), "first_doc", "first_pos"
+        )
+
+
 def latest_vocab(spark: SparkSession, vocab_dir: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version (optionally the newest older than ``before``)."""
-    ids = [b for b in _version_ids(spark, vocab_dir) if before is None or b < before]
-    if not ids:
-        return None
-    return spark.read.schema(VOCAB_SCHEMA).parquet(f"{vocab_dir}/{VERSION_COL}={ids[-1]}")
+    """The vocabulary of the complete batches (optionally of those before one)."""
+    log = VocabLog(spark, vocab_dir, before)
+    return log.vocab() if log.done else None
 
 
-def vocab_batch_writer(vocab_dir: str, key: str = "doc_id", text: str = "text"):
+def vocab_batch_writer(vocab_dir: str, key: str = "doc_id", text: str = "text", compact_every: int = COMPACT_EVERY):
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tokens = explode_tokens(batch.select(key, text), key, text)
-        prev = latest_vocab(spark, vocab_dir, before=batch_id)
-        vocab = build_vocab(tokens, key) if prev is None else grow_vocab(cut_lineage(prev), tokens, key)
-        vocab.write.mode("overwrite").parquet(f"{vocab_dir}/{VERSION_COL}={batch_id}")
+        log = VocabLog(spark, vocab_dir, before=batch_id)
+        first = log.next_id()
+        words, counts = vocab_delta(log.tokens(), first, explode_tokens(batch.select(key, text), key, text), key)
+        at = lambda kind: f"{vocab_dir}/{kind}/batch={batch_id}"
+        words.write.mode("overwrite").parquet(at("words"))
+        counts.write.mode("overwrite").parquet(at("counts"))
+        new = spark.read.schema(WORDS).parquet(at("words")).count()
+        manifest = spark.createDataFrame([(first + new, new)], "next_id bigint, new_words bigint")
+        manifest.write.mode("overwrite").parquet(at("manifest"))
+        if (batch_id + 1) % compact_every == 0:
+            VocabLog(spark, vocab_dir, before=batch_id + 1).vocab().write.mode("overwrite").parquet(at("base"))
 
     return on_batch
 
@@ -67,7 +116,7 @@ def stream_vocab(
     text: str = "text",
 ) -> DataFrame:
     """Run the stream over what is in ``source_dir`` (availableNow) and
-    return the final vocabulary version."""
+    return the vocabulary after it."""
     stream = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -82,9 +131,7 @@ def stream_vocab(
     )
     q.awaitTermination()
     out = latest_vocab(spark, vocab_dir)
-    if out is None:
-        return spark.createDataFrame([], "token string, id bigint, n bigint, first_doc bigint, first_pos bigint")
-    return out
+    return spark.createDataFrame([], VOCAB_SCHEMA) if out is None else out
 
 
 def write_in_order(docs: DataFrame, out_dir: str, chunks: int, key: str = "doc_id") -> list[str]:
