@@ -23,3 +23,19 @@ def docs_df(spark, texts):
 
 def seqs_df(spark, seqs):
     return spark.createDataFrame([(i, list(s)) for i, s in enumerate(seqs)], "seq_id bigint, ids array<bigint>")
+
+
+# Fixed value: the built-in training text of the reference's train command.
+SAMPLE_TEXT = """Hello world. This is a simple language model.
+The quick brown fox jumps over the lazy dog.
+Machine learning is fascinating and powerful.
+Go is a great programming language for building systems.
+Natural language processing enables computers to understand human language.
+Artificial intelligence is transforming how we interact with technology.
+Deep learning models can learn complex patterns from data.
+Programming languages provide tools for creating software applications."""
+
+
+def sample_corpus(spark):
+    """The built-in training text as a one-document corpus."""
+    return spark.createDataFrame([(0, SAMPLE_TEXT)], "doc_id bigint, text string")

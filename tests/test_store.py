@@ -4,7 +4,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from wordmill.operators.params import ModelShape, init_params
-from wordmill.sources.corpus import read_corpus, sample_corpus
+from conftest import sample_corpus
+from wordmill.sources.corpus import read_corpus
 from wordmill.sources.store import read_params, read_vocab, write_params, write_vocab
 from wordmill.operators import tokens as tk
 from wordmill.operators import vocab as vc

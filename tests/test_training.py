@@ -140,3 +140,51 @@ def test_train_takes_every_window_once_per_epoch(spark, rate):
     if rate == 0.05:
         small = TrainingConfig(learning_rate=rate, batch_size=3, samples_per_epoch=8, max_seq_len=4, dropout=False)
         assert train(state, seqs, SHAPE, small, 1)[2] == 3
+
+
+def test_train_from_corpus_equals_numpy(spark, tmp_path):
+    """Vocabulary, windows, two steps and the saved model, worked out plainly."""
+    from conftest import docs_df
+
+    from wordmill.plans.train import train_from_corpus
+    from wordmill.sources.store import load_model, read_vocab
+
+    texts = ["the cat sat on the mat", "a cat ran", "the end"]
+    sizes = {"embed_size": 8, "hidden_size": 16, "num_layers": 1}
+    cfg = TrainingConfig(learning_rate=0.05, batch_size=100, max_seq_len=4, dropout=False, seed=6)
+    _, _, shape, losses = train_from_corpus(docs_df(spark, texts), sizes, cfg, 2, str(tmp_path))
+
+    vocab, seqs = {}, []
+    for t in texts:
+        seqs.append([2, *(vocab.setdefault(w, 4 + len(vocab)) for w in t.split()), 3])
+    assert {r.token: r.id for r in read_vocab(spark, f"{tmp_path}/vocab").where("id > 3").collect()} == vocab
+    assert shape.vocab_size == 4 + len(vocab)
+    pairs = [(s[max(0, i - 3) : i + 1], s[i + 1]) for s in seqs for i in range(len(s) - 1)]
+    w = collect_weights(init_params(spark, shape, 6), shape)
+    names = gr.updated_params(shape)
+    m, v = ({n: np.zeros_like(w[n]) for n in names} for _ in range(2))
+    means = []
+    for t in (1, 2):
+        out, emb = numpy_grads(w, shape, [p[0] for p in pairs], [p[1] for p in pairs])
+        means.append(np.mean([loss_of(w, shape, *p) for p in pairs]))
+        norm = np.sqrt((out**2).sum() + (emb**2).sum()) / len(pairs)
+        f = min(1.0, 1.0 / norm) / len(pairs)
+        step = 0.05 * math.sqrt(1 - 0.999**t) / (1 - 0.9**t)
+        for n in names:
+            g = {"output_layer": out, "embedding": emb}.get(n, np.zeros_like(w[n])) * f + 0.01 * w[n]
+            m[n], v[n] = 0.9 * m[n] + 0.1 * g, 0.999 * v[n] + 0.001 * g * g
+            w[n] = np.clip(w[n] - step * m[n] / (np.sqrt(v[n]) + 1e-8), -10, 10)
+    assert [r.mean_loss for r in losses.orderBy("epoch").collect()] == pytest.approx(means, rel=1e-9)
+    state, again, steps = load_model(spark, f"{tmp_path}/params")
+    assert again == shape and steps == 2
+    saved = collect_weights(state, shape)
+    for n in w:
+        np.testing.assert_allclose(saved[n], w[n], rtol=1e-7, atol=1e-9)
+
+
+def loss_of(w, shape, ids, target):
+    from wordmill.operators.model import hidden_states
+
+    logits = hidden_states(w, shape, np.array([ids]))[0, -1] @ w["output_layer"].T
+    p = np.exp(logits - logits.max())
+    return -math.log(p[target] / p.sum() + 1e-10)

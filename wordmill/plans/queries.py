@@ -1152,18 +1152,49 @@ def q_window_gradients(spark, sf_dir):
     return _q6vec(sum_gradients(grads))
 
 
-@register("train_batch")
+def _step_sql() -> str:
+    """One Adam step (t = 1, zero moments, no dropout) on 64 sampled windows."""
+    from ..operators.gradients import AdamConfig, step_size, updated_params
+    from ..operators.params import ModelShape
+
+    c = AdamConfig()
+    names = ", ".join(f"'{n}'" for n in updated_params(ModelShape(8, MD, MH, ML)))
+    windows = f"WN AS MATERIALIZED ({O.sample_sql('seqs', BATCH, SAMPLE_L, SEED, 0)})"
+    tokens = "TK AS (SELECT sample_no AS seq_id, unnest(generate_series(0, len(input) - 1))::BIGINT AS pos, unnest(input) AS token_id FROM WN)"
+    seqs = f"enc AS ({O.encode_cte('documents', 'doc_id', 'text')}), seqs AS (SELECT doc_id AS seq_id, ids FROM enc)"
+    g = f"coalesce(g[j], 0.0) * f / n + {c.weight_decay} * w[j]"
+    moved = f"w[j] - {step_size(c, 1)!r} * ({1 - c.beta1!r} * ({g})) / (sqrt({1 - c.beta2!r} * ({g}) * ({g})) + {c.epsilon!r})"
+    return f"""{model_with(seqs, windows + ", " + tokens)}, {O.states_sql(MD)},
+    Z AS MATERIALIZED (SELECT seq_id AS wid, sum(exp(array_inner_product(h, w))) AS z FROM H, W GROUP BY seq_id),
+    D AS MATERIALIZED (SELECT wid, token_id, h, w, target, exp(array_inner_product(h, w)) / z AS p,
+             exp(array_inner_product(h, w)) / z - CASE WHEN token_id = target THEN 1.0 ELSE 0.0 END AS d, input[len(input)] AS last
+          FROM WN JOIN Z ON wid = sample_no JOIN H ON H.seq_id = wid, W),
+    G AS MATERIALIZED (SELECT 'output_layer' AS param, token_id AS row_id, [{_DOTS}] AS g FROM D GROUP BY token_id
+          UNION ALL SELECT 'embedding', last, [{_BACK}] FROM D GROUP BY last),
+    T AS (SELECT n, ls / n AS loss, sqrt(sq) / n AS norm, least(1.0, n / sqrt(sq)) AS f
+          FROM (SELECT count(*) AS n FROM WN), (SELECT sum(-ln(p + 1e-10)) AS ls FROM D WHERE token_id = target),
+            (SELECT sum(list_sum(list_transform(g, lambda x: x * x))) AS sq FROM G)),
+    U AS (SELECT PR.param, PR.row_id, vec AS w, g, n, f FROM PR LEFT JOIN G ON G.param = PR.param AND G.row_id = PR.row_id, T)
+    SELECT param, row_id, {O.q6_list(f"CASE WHEN param IN ({names}) THEN list_transform(range(1, len(w) + 1), lambda j: greatest(least({moved}, {c.clamp}), -{c.clamp})) ELSE w END")} AS vec FROM U
+    UNION ALL SELECT '__step__', 0, {O.q6_list('[loss, norm]')} FROM T"""
+
+
+BATCH = 64
+
+
+@register("train_batch", _step_sql())
 def q_train_batch(spark, sf_dir):
+    """The parameters after one step, and a row with its loss and gradient norm."""
+    from ..operators.gradients import adam_state
+    from ..operators.windows import sample_text_windows
     from ..plans.train import TrainingConfig, train_batch
 
-    _, shape, state, batch, _ = grad_batch(spark, sf_dir)
-    new_state, loss, norm = train_batch(state, batch, shape, TrainingConfig(workers=8), 1)
-    changed = new_state.join(state.select("param", "row_id", F.col("vec").alias("_old")), ["param", "row_id"]).where(
-        F.col("vec") != F.col("_old")
-    )
-    return changed.groupBy("param").agg(F.count(F.lit(1)).cast("bigint").alias("rows_changed")).select(
-        "param", "rows_changed", F.lit(loss).alias("loss"), F.lit(norm).alias("grad_norm")
-    )
+    vocab, shape, params = model_parts(spark, sf_dir)
+    docs = documents(spark, sf_dir).withColumnRenamed("doc_id", "seq_id")
+    batch = sample_text_windows(docs, vocab, BATCH, SAMPLE_L, seed=SEED, epoch=0)
+    state, loss, norm = train_batch(adam_state(params), batch, shape, TrainingConfig(dropout=False), 1)
+    step = spark.createDataFrame([("__step__", 0, [loss, norm])], "param string, row_id bigint, vec array<double>")
+    return _q6vec(state.select("param", "row_id", "vec").unionByName(step))
 
 
 TRAIN_CFG = dict(learning_rate=0.05, batch_size=64, workers=16, seed=SEED)

@@ -1,20 +1,10 @@
-"""Corpus readers: Parquet tables, whole text files, the built-in sample."""
+"""Corpus readers: Parquet and JSON tables, whole text files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the built-in training text of the reference's train command.
-SAMPLE_TEXT = """Hello world. This is a simple language model.
-The quick brown fox jumps over the lazy dog.
-Machine learning is fascinating and powerful.
-Go is a great programming language for building systems.
-Natural language processing enables computers to understand human language.
-Artificial intelligence is transforming how we interact with technology.
-Deep learning models can learn complex patterns from data.
-Programming languages provide tools for creating software applications."""
-
 
 def read_corpus(spark: SparkSession, path: str, fmt: str | None = None, key: str = "doc_id") -> DataFrame:
     """One row per sequence.  Parquet keeps its own key; text files are read
@@ -26,8 +16,3 @@ def read_corpus(spark: SparkSession, path: str, fmt: str | None = None, key: str
         return spark.read.json(path)
     df = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
     return df.select(F.xxhash64("path").alias(key), "path", F.col("value").alias("text"))
-
-
-def sample_corpus(spark: SparkSession) -> DataFrame:
-    """The built-in training text as a one-document corpus (for tests and demos)."""
-    return spark.createDataFrame([(0, SAMPLE_TEXT)], "doc_id bigint, text string")
