@@ -48,6 +48,7 @@ LENGTH = 200
 GRAM = 32
 CELL = 16
 GROUP = 20_000
+HOT_SHARE = 1000  # a class with more than one row in so many is hot
 SEGMENT = 1 << 20  # windows of a text that are hashed at a time
 SYMBOLS = 100_000  # of one suffix array
 
@@ -301,9 +302,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
         classes.join(mixed.select("h", "m"), "h").select("h", "a", "c", "m", "one.d", "one.t", "one.p")
     )
     lo, hi = F.floor(F.col("a") / 65536), F.col("a") % 65536
-    whole = shared.join(classes.where("c > 1").select("h", "a", "hull"), ["h", "a", "hull"]).select(
-        "d", "t", (F.col("p") - hi).alias("s"), (F.col("p") - lo + length).alias("e")
+    # Classes with more than one row in HOT_SHARE of all are fewer than that, so
+    # they are broadcast: the rows of a hot class stay where they are.
+    same = ["h", "a", "hull"]
+    hot = F.col("c") > max((classes.agg(F.sum("c")).first()[0] or 0) // HOT_SHARE, 1)
+    few = F.broadcast(classes.where(hot).select(*same))
+    copies = shared.join(few, same, "left_semi").unionByName(
+        shared.join(few, same, "left_anti").join(classes.where(~hot & (F.col("c") > 1)).select(*same), same).select(*shared.columns)
     )
+    whole = copies.select("d", "t", (F.col("p") - hi).alias("s"), (F.col("p") - lo + length).alias("e"))
     rest = _resolve(_contexts(docs, todo.where(F.col("m") <= group), length), length)
     many = todo.where(F.col("m") > group)
     if not many.isEmpty():
