@@ -43,7 +43,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, documents, map_text, read_table, register
@@ -396,14 +396,23 @@ def train(bags: list[tuple[list[list[bytes]], int]]) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Model:
     """docs(doc_id, text), labels(doc_id, toxic) -> Model.
 
-    About ``sample`` rows of each label are drawn by a hash of doc_id before
-    the join, so what is broadcast to the texts is bounded by that number."""
-    rows = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("__id"), "toxic")
+    At most ``sample`` ids of each label are drawn by a hash of doc_id before
+    the join, however often their rows repeat, and one text of each id is taken
+    (the least of several), so what is broadcast and what reaches the driver is
+    bounded: 2 ``sample`` ids, and as many texts of ``max_chars`` characters."""
+    rows = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+    rows = rows.select(F.col("doc_id").alias("__id"), "toxic").distinct()
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     u = F.pmod(F.xxhash64("__id", F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rate = F.when(F.col("toxic") == 1, min(1.0, sample / sizes.get(1, 1))).otherwise(min(1.0, sample / sizes.get(0, 1)))
+    # A little more than asked passes the rate; the least hashes of these are taken.
+    share = lambda n: min(1.0, 1.2 * (sample + 20) / max(n, 1))
+    rate = F.when(F.col("toxic") == 1, share(sizes.get(1, 1))).otherwise(share(sizes.get(0, 1)))
+    order = Window.partitionBy("toxic").orderBy("__u", "__id")
+    few = rows.withColumn("__u", u).where(F.col("__u") < rate).withColumn("__r", F.row_number().over(order))
+    few = few.where(F.col("__r") <= sample).select("__id", "toxic")
     texts = docs.where(F.length("text") <= max_chars).select("doc_id", "text")
-    drawn = texts.join(F.broadcast(rows.where(u < rate)), F.col("doc_id") == F.col("__id")).select("text", "toxic")
+    drawn = texts.join(F.broadcast(few), F.col("doc_id") == F.col("__id"))
+    drawn = drawn.groupBy("__id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
     def bags(texts: list[bytes | None]) -> dict[str, pa.Array]:
         docs = [[sorted(w) for s in _SENTENCE.split(t or b"") if (w := words_of(s))] for t in texts]
