@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter
 
-from wordmill.llm.collocations import _buffers, _chunks, collocations, frequent_phrases
+from wordmill.llm.collocations import _HashCounts, _buffers, _by_text, _chunks, _unpack, collocations, frequent_phrases
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -80,9 +80,9 @@ def test_border_failures_are_counted_until_closed(spark):
     assert passes == 4 and len(got) == len(set(got)) and set(got) == want
     words = found.where("k = 0").groupBy("lang").sum("c").collect()
     assert {r[0]: r[1] for r in words} == dict(n)
-    # Everything proposed: one pass is enough.
+    # Everything proposed: the second pass names what the first found.
     found, passes = frequent_phrases(df(spark, rows), 4, 4, one_in=1, sample_count=1)
-    assert passes == 1 and {(r.lang, r.phrase, r.c) for r in found.where("k > 0").collect()} == want
+    assert passes == 2 and {(r.lang, r.phrase, r.c) for r in found.where("k > 0").collect()} == want
 
 
 def test_scores_ties_and_the_drop_rule(spark):
@@ -116,3 +116,35 @@ def test_long_texts_are_cut_at_piece_ends():
     held = list(_buffers(iter([batch]), 1, 8))
     assert {k for k, _ in held} == {"x"} and max(len(v) for _, v in held) < 16
     assert b".".join(v for _, v in held).replace(b". ", b".") == b"a b.c.d.e d.e d.e d.e d.e "
+
+
+def test_phrases_of_one_hash_are_told_apart():
+    import numpy as np
+    import pyarrow as pa
+
+    ids = np.array([0, 1, 2, 0, 1, 2, 1, 0])
+    words = pa.array([b"a", b"b", b"c"], pa.large_binary())
+    same = np.zeros(7, np.uint64)
+    got = Counter()
+    for text, c in _by_text(same, np.arange(7), 2, ids, words):
+        got.update(dict(zip(text.to_pylist(), c.tolist(), strict=True)))
+    assert got == {b"a b": 2, b"b c": 2, b"c a": 1, b"c b": 1, b"b a": 1}
+
+
+def test_counted_hashes_survive_packing():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2)
+    h = h[rng.integers(0, 5000, 30000)]
+    held = _HashCounts()
+    rows = [held.add(2, h[:20000]), held.add(3, h[20000:])]
+    assert all(list(r) == [] for r in rows)
+    out = held.flush()
+    want = Counter(((int(x) >> 20 << 4 | k) << 16) for k, part in ((2, h[:20000]), (3, h[20000:])) for x in part)
+    got = {}
+    for b, z in zip(out.column("b").to_pylist(), out.column("z").to_pylist(), strict=True):
+        for x, c in zip(*(y.tolist() for y in _unpack(z)), strict=True):
+            assert x >> 52 == b
+            got[x] = c
+    assert got == dict(want) and held.flush().num_rows == 0

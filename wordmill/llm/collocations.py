@@ -6,23 +6,26 @@ frequent phrase is frequent, so the search goes as follows.
 
 1. Proposal. A sample of the documents, with the lowered bound ``sample_count``,
    proposes the frequent phrases of each length below ``max_words``.
-2. Full pass. All documents are counted exactly, for the proposed phrases and
-   their negative border together: the phrases whose two parts without the last
-   and without the first word are both proposed. Every single word belongs to it.
+2. Full pass. All documents are counted, for the proposed phrases and their
+   negative border together: the phrases whose two parts without the last and
+   without the first word are both proposed. Every single word belongs to it. This
+   pass, by far the widest, counts 44-bit hashes of phrases. Two phrases of one
+   hash can only be counted too high there, so what it finds infrequent is.
 3. Border failures. A phrase of the border that turns out frequent joins the
-   proposal, and a further pass counts the phrases that come into reach by it.
-   That repeats until no border phrase fails; there are at most ``max_words``
-   passes. The sample decides how much is counted when, never the result.
+   proposal, and a further pass counts the phrases that come into reach by it, by
+   their texts. That repeats until no border phrase fails; there are at most
+   ``max_words`` passes, two at least: the second also counts by their texts the
+   phrases that the first found frequent, so all counts that are used are exact.
+   The sample decides how much is counted when, never the result.
 
 Proposals travel to the tasks as bitmaps over phrase hashes, one per length, of
 a fixed size (``2 ** FILTER_BITS`` bits). A collision lets a phrase be counted
 that need not be; it never hides one. On corpora whose proposals fill the
-bitmaps, more border phrases are counted and the result stays the same. The
-counts themselves are keyed by the phrase's text. A phrase is counted in the
-first pass whose bitmaps admit it, in that pass alone.
+bitmaps, more border phrases are counted and the result stays the same. A phrase
+is counted in the first pass whose bitmaps admit it, in that pass alone.
 
-Each task counts a buffer of text at a time before Spark sums map-side and
-shuffles on (language, phrase), so a hot word costs one row per task.
+A task counts many documents at a time (SORTED hashes, or a buffer of text)
+before Spark sums them, so a hot word costs few rows per task.
 
 Scores: the cut of a phrase into two parts with the least
 floor(10^6 a a / (l r)) counts; all arithmetic is on decimals of 38 digits.
@@ -35,7 +38,7 @@ rows; columns but ``text`` and ``lang`` are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +56,8 @@ SAMPLE_ONE_IN = 4  # documents, by the hash of text and row
 SAMPLE_COUNT = 2  # lowered bound: a quarter of MIN_COUNT, rounded down
 TOP = 2000
 FILTER_BITS = 26
-BUFFER_BYTES = 8_000_000
+BUFFER_BYTES = 4_000_000
+SORTED = 9_000_000  # hashes that a task sorts and counts at a time
 
 # A-Z to lower case, tab to space, everything that ends a piece to a full stop.
 _FOLD = bytes(
@@ -123,41 +127,113 @@ def _tokens(raw: bytes) -> tuple[np.ndarray, pa.Array, int]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary, 0
 
 
-Admit = Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]
-
-
-def _levels(lang: str, raw: bytes, max_words: int, first: bool, admit: Admit) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
-    """(k, hashes, phrases, counts) of the phrases of a folded text that are to
-    be counted. ``admit(k, hashes)`` tells for each phrase of k words whether it
-    was proposed for the pass before this one and whether it is for this one."""
+def _scan(
+    lang: str, raw: bytes, max_words: int, before: list[Filter] | None, now: list[Filter] | None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
+    """For k = 1 to ``max_words``: k, the hash of the phrase at each place, whether
+    it was countable in an earlier pass (``before``; None: there was none) and
+    whether it is in this one (``now``; None: every phrase is), word numbers and
+    words. A phrase is countable if both its parts are in the filters."""
     ids, words, mark = _tokens(raw)
-    whole = ids != mark
-    table = _word_hashes(lang, words.to_pylist())
-    one = table[ids]
-    size = len(words)
-    code, h = ids, one
-    reach = [whole & (not first), whole]  # counted in earlier passes, and countable now
+    one = _word_hashes(lang, words.to_pylist())[ids]
+    h = one
+    can = ids != mark
+    could = can & (before is not None)
     for k in range(1, max_words + 1):
         if k > 1:
             n = len(ids) - k + 1
             if n <= 0:
                 return
-            inside = [reach[e] & set_ for e, set_ in enumerate(admit(k - 1, h))]
-            reach = [s[:n] & s[1 : n + 1] for s in inside]
-            picked = np.flatnonzero(reach[1])
-            code = np.full(n, -1, np.int64)
-            keys, back = np.unique(prior[picked] * size + ids[picked + k - 1], return_inverse=True)
-            code[picked] = back
+            inside = can if now is None else can & now[k - 2].has(h)
+            can = inside[:n] & inside[1 : n + 1]
+            if before is not None:
+                inside = could & before[k - 2].has(h)
+                could = inside[:n] & inside[1 : n + 1]
+            else:
+                could = could[:n]
             h = _mix(h[:n], one[k - 1 :])
-        new = np.flatnonzero(reach[1] & ~reach[0])
-        if len(new):
-            _, lead, counts = np.unique(code[new], return_index=True, return_counts=True)
-            at = new[lead]
-            text = words.take(ids[at])
-            for j in range(1, k):
-                text = pc.binary_join_element_wise(text, words.take(ids[at + j]), pa.scalar(b" ", pa.large_binary()))
-            yield k, h[at], text, counts
-        prior = code
+        yield k, h, could, can, ids, words
+
+
+def _by_text(h: np.ndarray, at: np.ndarray, k: int, ids: np.ndarray, words: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(phrases, counts) of the phrases of k words at places ``at``. Phrases that
+    share a hash are told apart by their words."""
+    while len(at):
+        _, lead, group, counts = np.unique(h[at], return_index=True, return_inverse=True, return_counts=True)
+        lead = at[lead]
+        other = np.zeros(len(at), bool)
+        for j in range(k):
+            other |= ids[at + j] != ids[lead[group] + j]
+        if other.any():
+            counts = np.bincount(group[~other], minlength=len(lead))
+        text = words.take(ids[lead])
+        for j in range(1, k):
+            text = pc.binary_join_element_wise(text, words.take(ids[lead + j]), pa.scalar(b" ", pa.large_binary()))
+        yield text, counts
+        at = at[other]
+
+
+# A counted hash has 44 bits, and below them 4 of the phrase's length. Fewer bits
+# take less room and let a few more phrases pass as frequent by hash.
+LENGTH_BITS, UNUSED_BITS = 4, 16
+BUCKET_BITS = 12  # hashes are dealt by so many leading bits
+
+
+def _pack(h: np.ndarray, c: np.ndarray) -> bytes:
+    """Ascending hashes and their counts as compressed bytes: differences and
+    counts, byte by byte of all, so that equal leading bytes stand together."""
+    short = h >> np.uint64(UNUSED_BITS)
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T) for x in (np.diff(short, prepend=np.uint64(0)), c)]
+    return len(h).to_bytes(4, "little") + _ZSTD.compress(b"".join(p.tobytes() for p in planes)).to_pybytes()
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(blob[:4], "little")
+    raw = np.frombuffer(_ZSTD.decompress(blob[4:], 16 * n), np.uint8).reshape(2, 8, n)
+    d, c = (np.ascontiguousarray(p.T).reshape(-1).view(np.uint64) for p in raw)
+    return np.cumsum(d, dtype=np.uint64) << np.uint64(UNUSED_BITS), c
+
+
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def _add_up(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(h, kind="stable")
+    h, c = h[order], c[order]
+    start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+    return h[start], np.add.reduceat(c, start) if len(h) else c
+
+
+class _HashCounts:
+    """Counts of hashes, SORTED of them at a time, as packed rows by bucket."""
+
+    def __init__(self) -> None:
+        self.held = np.empty(SORTED, np.uint64)
+        self.size = 0
+
+    def add(self, k: int, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = 0
+        while at < len(h):
+            n = min(len(h) - at, SORTED - self.size)
+            part = self.held[self.size : self.size + n]
+            np.bitwise_and(h[at : at + n], ~np.uint64((1 << LENGTH_BITS + UNUSED_BITS) - 1), out=part)
+            part |= np.uint64(k << UNUSED_BITS)
+            self.size, at = self.size + n, at + n
+            if self.size == SORTED:
+                yield self.flush()
+
+    def flush(self) -> pa.RecordBatch:
+        every = self.held[: self.size]
+        self.size = 0
+        every.sort()
+        new = np.ones(len(every), bool)
+        np.not_equal(every[1:], every[:-1], out=new[1:])
+        start = np.flatnonzero(new)
+        h, c = every[start], np.diff(np.append(start, len(every))).astype(np.uint64)
+        bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+        edge = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(h)]
+        blobs = [_pack(h[a:b], c[a:b]) for a, b in zip(edge, edge[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[edge[:-1]]), pa.array(blobs, pa.binary())], names=["b", "z"])
 
 
 def _buffers(batches: Iterator[pa.RecordBatch], one_in: int, size: int) -> Iterator[tuple[str, bytes]]:
@@ -185,11 +261,12 @@ def _corpus(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
 
-def _filters(spark, marks: DataFrame, max_words: int, bits: int) -> list[Filter]:
-    """The bitmaps of marks(k, slot, mask); at most 2 ** (bits - 6) rows for each k."""
+def _filters(marks: DataFrame, longest: int, bits: int) -> list[Filter]:
+    """The bitmaps of marks(k, slot, mask) for k = 1 to ``longest``; at most
+    2 ** (bits - 6) rows for each k."""
     rows = marks.groupBy("k", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     k, slot, mask = (rows.column(c).to_numpy() for c in ("k", "slot", "mask"))
-    return [Filter(slot[k == j], mask[k == j].view(np.uint64), bits) for j in range(1, max_words)]
+    return [Filter(slot[k == j], mask[k == j].view(np.uint64), bits) for j in range(1, longest + 1)]
 
 
 def _marks(bits: int) -> tuple[Column, Column]:
@@ -198,37 +275,59 @@ def _marks(bits: int) -> tuple[Column, Column]:
     return F.shiftright(at, 6).cast("int").alias("slot"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))").alias("mask")
 
 
-def proposal(docs: DataFrame, max_words: int, one_in: int, sample_count: int, bits: int = FILTER_BITS) -> list[Filter]:
-    """Bitmaps of the phrases of 1 to ``max_words`` - 1 words that occur
-    ``sample_count`` times in the sample, each with both its parts."""
-    spark = docs.sparkSession
+def _frequent_hashes(docs: DataFrame, max_words: int, one_in: int, now: list[Filter] | None, least: int) -> DataFrame:
+    """(h) of the countable phrases of 1 to ``max_words`` words whose hash occurs
+    ``least`` times. Counted hashes go to the task of their bucket in packed
+    rows; it holds the distinct hashes of one bucket (one in 2 ** BUCKET_BITS of
+    all) at a time."""
+    sets = docs.sparkSession.sparkContext.broadcast(now)
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = lambda k, h: (np.zeros(len(h), bool), np.ones(len(h), bool))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _HashCounts()
         for lang, raw in _buffers(batches, one_in, BUFFER_BYTES):
-            for k, h, _, c in _levels(lang, raw, max_words - 1, True, every):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))],
-                    names=["k", "h", "c"],
-                )
-
-    counts = _corpus(docs).mapInArrow(hashes, "k int, h bigint, c bigint")
-    seen = counts.groupBy("k", "h").agg(F.sum("c").alias("c")).where(F.col("c") >= sample_count)
-    return _filters(spark, seen.select("k", *_marks(bits)), max_words, bits)
-
-
-def _count_pass(docs: DataFrame, before: list[Filter] | None, now: list[Filter], max_words: int, min_count: int) -> DataFrame:
-    """Exact counts of the phrases that ``now`` admits and ``before`` did not
-    (None: first pass), from ``min_count``; with k = 0 the words of each lang."""
-    sc = docs.sparkSession.sparkContext
-    sets = sc.broadcast((before, now))
-    first = before is None
+            for k, h, _, can, _, _ in _scan(lang, raw, max_words, None, sets.value):
+                yield from held.add(k, h[can])
+        yield held.flush()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(parts: list) -> pa.RecordBatch:
+            h, c = _add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(h[c >= least].view(np.int64))], names=["h"])
+
+        bucket, parts, size = None, [], 0
+        for batch in batches:
+            for b, z in zip(batch.column("b").to_pylist(), batch.column("z"), strict=True):
+                if b != bucket and parts:
+                    yield out(parts)
+                    parts, size = [], 0
+                bucket = b
+                parts.append(_unpack(z.as_py()))
+                size += len(parts[-1][0])
+                if size > SORTED:
+                    parts = [_add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                    size = len(parts[0][0])
+        if parts:
+            yield out(parts)
+
+    packed = _corpus(docs).mapInArrow(count, "b int, z binary")
+    return packed.repartition("b").sortWithinPartitions("b").mapInArrow(add_up, "h bigint")
+
+
+def _frequent_marks(hashes: DataFrame, bits: int) -> DataFrame:
+    k = F.shiftright("h", UNUSED_BITS).bitwiseAND((1 << LENGTH_BITS) - 1)
+    return hashes.select(k.alias("k"), *_marks(bits))
+
+
+def _text_counts(
+    docs: DataFrame, before: list[Filter], now: list[Filter], known: list[Filter] | None, max_words: int, min_count: int
+) -> DataFrame:
+    """(lang, k, phrase, c) from ``min_count`` on, counted by text: the phrases
+    countable now and not before, and those of ``known`` that were before. With
+    ``known``, rows of k = 0 hold the words of each lang."""
+    sets = docs.sparkSession.sparkContext.broadcast((before, now, known))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        old, new = sets.value
-
-        def admit(k: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            return np.zeros(len(h), bool) if first else old[k - 1].has(h), new[k - 1].has(h)
+        old, new, found = sets.value
 
         def rows(lang: str, k: int, text: pa.Array, c: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -242,13 +341,17 @@ def _count_pass(docs: DataFrame, before: list[Filter] | None, now: list[Filter],
             )
 
         for lang, raw in _buffers(batches, 1, BUFFER_BYTES):
-            for k, _, text, c in _levels(lang, raw, max_words, first, admit):
-                yield rows(lang, k, text, c)
-                if k == 1:
-                    yield rows(lang, 0, pa.array([b""], pa.large_binary()), c.sum(keepdims=True))
+            for k, h, could, can, ids, words in _scan(lang, raw, max_words, old, new):
+                want = can & ~could
+                if found is not None:
+                    want |= could & found[k - 1].has(h)
+                    if k == 1:
+                        yield rows(lang, 0, pa.array([b""], pa.large_binary()), np.array([can.sum()]))
+                for text, c in _by_text(h, np.flatnonzero(want), k, ids, words):
+                    yield rows(lang, k, text, c)
 
-    found = _corpus(docs).mapInArrow(count, _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("c").alias("c"))
-    return written(found.where((F.col("c") >= min_count) | (F.col("k") == 0)), "phrases")
+    counts = _corpus(docs).mapInArrow(count, _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("c").alias("c"))
+    return written(counts.where((F.col("c") >= min_count) | (F.col("k") == 0)), "phrases")
 
 
 def frequent_phrases(
@@ -260,14 +363,19 @@ def frequent_phrases(
     bits: int = FILTER_BITS,
 ) -> tuple[DataFrame, int]:
     """docs(lang, text) -> (lang, k, phrase, c) of every phrase of 1 to
-    ``max_words`` words that occurs ``min_count`` times in its lang, rows of
-    k = 0 with the words of each lang, and the number of passes over all docs."""
+    ``max_words`` (15 at most) words that occurs ``min_count`` times in its lang,
+    rows of k = 0 with the words of each lang, and the number of passes over all
+    docs."""
     spark = docs.sparkSession
     ship_package(spark)
-    now = proposal(docs, max_words, one_in, sample_count, bits)
-    before, out, passes = None, None, 0
+    sample = _frequent_hashes(docs, max_words - 1, one_in, None, sample_count)
+    before = _filters(_frequent_marks(sample, bits), max_words - 1, bits)
+    found = _frequent_hashes(docs, max_words, 1, before, min_count)
+    known = _filters(_frequent_marks(found, bits), max_words, bits)
+    now = [a | b for a, b in zip(before, known, strict=False)]
+    out, passes = None, 1
     while True:
-        part = _count_pass(docs, before, now, max_words, min_count)
+        part = _text_counts(docs, before, now, known, max_words, min_count)
         passes += 1
         out = part if out is None else out.unionByName(part)
 
@@ -283,10 +391,10 @@ def frequent_phrases(
 
         counted = part.where((F.col("k") > 0) & (F.col("k") < max_words)).select("lang", "k", "phrase")
         marks = counted.mapInArrow(places, "k int, h bigint").select("k", *_marks(bits))
-        grown = [a | b for a, b in zip(now, _filters(spark, marks, max_words, bits), strict=True)]
+        grown = [a | b for a, b in zip(now, _filters(marks, max_words - 1, bits), strict=True)]
         if all((a.words == b.words).all() for a, b in zip(now, grown, strict=True)):
             return out, passes
-        before, now = now, grown
+        before, now, known = now, grown, None
 
 
 def collocations(docs: DataFrame, top: int | None = TOP, **params) -> DataFrame:
