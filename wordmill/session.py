@@ -82,14 +82,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{parent}/wordmill-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: it is computed once, row
-    numbers drawn in it stay, and its lineage is cut."""
-    path = scratch_path(df.sparkSession, name)
+def stored(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder (below ``within``, if given):
+    it is computed once, row numbers drawn in it stay, and its lineage is cut."""
+    path = f"{within}/{name}" if within else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of scratch tables that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
