@@ -5,9 +5,12 @@ at ``radius`` or fewer differing bits, and the components of the links are the
 groups of copies. Only distinct fingerprints take part, so a group of thousands
 of exact copies is one node.
 
-Two fingerprints at distance 3 or less agree in one of four 16-bit blocks, hence
-each distinct fingerprint goes to four buckets (block, value). The members of a
-bucket form shard trees of at most ``shard`` fingerprints; a fingerprint of one
+Of six parts of the 64 bits, three differing bits leave three parts alone, so two
+fingerprints at distance 3 or less agree in some three of the six parts: each
+distinct fingerprint goes to 20 buckets (choice of three parts, their 32 bits).
+Random fingerprints rarely share one, so buckets hold near copies and stay small
+as the corpus grows; those of one member go. The members of a bucket form shard
+trees of at most ``shard`` fingerprints; a fingerprint of one
 shard also queries the earlier shards of its bucket, in blocks. In a shard tree
 a node's children are keyed by their Hamming distance to it, and a search follows
 the edges within the radius. No task returns pairs: it unites what it finds and
@@ -26,12 +29,12 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ship_package
@@ -39,6 +42,7 @@ from .common import documents, map_text, register, row_key
 
 SHINGLE = 3
 RADIUS = 3
+SPARE = 3  # parts of a fingerprint that links agree in, beside the radius parts that may differ
 SHARD = 8192
 LEAF = 48
 
@@ -197,20 +201,16 @@ class _Shard:
 
 def links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """Distinct fp -> (u, v): links that connect what the radius connects."""
-    blocks = radius + 1
-    bounds = [64 * k // blocks for k in range(blocks + 1)]
-    block = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(k).alias("b"),
-                    F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("v"),
-                )
-                for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False))
-            ]
-        )
-    )
-    rows = fps.select("fp", block.alias("k")).select("fp", "k.b", "k.v")
+    bounds = [64 * k // (radius + SPARE) for k in range(radius + SPARE + 1)]
+
+    def value(chosen: tuple[int, ...]) -> Column:
+        """The chosen parts of fp, in place."""
+        mask = sum(((1 << bounds[k + 1] - bounds[k]) - 1) << bounds[k] for k in chosen)
+        return F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+
+    choices = combinations(range(radius + SPARE), SPARE)
+    keys = [F.struct(F.lit(i).alias("b"), value(c).alias("v")) for i, c in enumerate(choices)]
+    rows = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.b", "k.v")
     sizes = rows.groupBy("b", "v").agg(F.count("*").alias("n")).where("n > 1")
     rows = rows.join(sizes, ["b", "v"])
     own = F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / shard)).cast("int")
