@@ -70,7 +70,7 @@ class CharClass:
 CLASSES = (
     CharClass("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 3.0),
     CharClass("mixed", r"^(?=.*[0-9])(?=.*[A-Za-z]).*$", 3.7),
-    CharClass("cased", r"^[A-Za-z]*[a-z][A-Za-z]*[A-Z][A-Za-z]*$", 3.75),
+    CharClass("cased", r"^[A-Z]*[a-z]+[A-Z][A-Za-z]*$", 3.75),  # a capital after a small letter, without backtracking
     CharClass("letters", r"^[A-Za-z]+$", 3.65),
     CharClass("other", r"^.*$", 4.2),
 )
