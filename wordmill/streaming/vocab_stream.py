@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import SPECIAL_TOKENS
-from ..operators.tokens import explode_tokens
+from ..operators.tokens import count_tokens
 from ..operators.vocab import VOCAB_SCHEMA, special_tokens, vocab_delta
 
 WORDS = "token string, id bigint, first_doc bigint, first_pos bigint"
@@ -92,7 +92,7 @@ def vocab_batch_writer(vocab_dir: str, key: str = "doc_id", text: str = "text",
         spark = batch.sparkSession
         log = VocabLog(spark, vocab_dir, before=batch_id)
         first = log.next_id()
-        words, counts = vocab_delta(log.tokens(), first, explode_tokens(batch.select(key, text), key, text), key)
+        words, counts = vocab_delta(log.tokens(), first, count_tokens(batch.select(key, text), key, text), key)
         at = lambda kind: f"{vocab_dir}/{kind}/batch={batch_id}"
         words.write.mode("overwrite").parquet(at("words"))
         counts.write.mode("overwrite").parquet(at("counts"))
@@ -135,23 +135,30 @@ def stream_vocab(
 
 
 def write_in_order(docs: DataFrame, out_dir: str, chunks: int, key: str = "doc_id") -> list[str]:
-    """Land a table as ``chunks`` files in key order, one write after the
-    other, so a file stream picks them up oldest first (tests, replays)."""
-    bounds = docs.approxQuantile(key, [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
-    # An empty table, or one of null keys only, has no quantiles: one part takes all.
-    edges = [None] + bounds + [None]
-    chunks = len(edges) - 1
-    paths = []
-    for i in range(chunks):
-        lo, hi = edges[i], edges[i + 1]
-        part = docs
-        if lo is not None:
-            part = part.where(F.col(key) > lo)
-        if hi is not None:
-            # Null keys go with the first part.
-            low = F.col(key) <= hi
-            part = part.where(low | F.col(key).isNull() if lo is None else low)
-        path = f"{out_dir}/part_{i:05d}"
-        part.coalesce(1).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
-        paths.append(path)
+    """Land a table as at most ``chunks`` files in key order, dated so that a
+    file stream picks them up oldest first (tests, replays)."""
+    # One write deals all rows to their parts; null keys are the first.
+    parts = docs.repartitionByRange(chunks, key).sortWithinPartitions(key)
+    parts.withColumn("part", F.spark_partition_id()).write.mode("overwrite").partitionBy("part").parquet(out_dir)
+    paths = _dated_in_order(docs.sparkSession, out_dir)
+    if not paths:
+        # An empty table is one empty file, so that a stream over it has a batch.
+        paths = [f"{out_dir}/part=0"]
+        docs.coalesce(1).write.mode("overwrite").parquet(paths[0])
     return paths
+
+
+def _dated_in_order(spark: SparkSession, out_dir: str) -> list[str]:
+    """The folders part=0, 1, ... below out_dir, their files dated in that order,
+    since a file stream takes the oldest first."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [st.getPath() for st in fs.listStatus(path) if st.getPath().getName().startswith("part=")]
+    folders.sort(key=lambda p: int(p.getName().split("=", 1)[1]))
+    files = [st for p in folders for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet")]
+    last = max((st.getModificationTime() for st in files), default=0)
+    for i, st in enumerate(files):
+        # Seconds apart and none in the future: some file systems keep no less.
+        fs.setTimes(st.getPath(), last - 1000 * (len(files) - i), -1)
+    return [p.toString() for p in folders]
