@@ -84,6 +84,23 @@ def test_odd_rows(spark):
     assert run(spark, [], 200) == []
 
 
+def test_hot_classes(spark, monkeypatch):
+    """A hot class beside ordinary ones, equal rows among its copies: one join
+    marks the rows of both and makes one row for each."""
+    monkeypatch.setattr(sub, "HOT_SHARE", 4)
+    word = lambda k: " ".join(f"w{i * k % 9973}" for i in range(90))
+    texts = [word(7919)] * 40 + [f"{i} {word(6007)} {i}" for i in range(3)] + [word(4409)]
+    rows = [(i // 2 if i < 20 else i, t, "x") for i, t in enumerate(texts)]
+    want = sorted((r[0], *x) for r, x in zip(rows, brute(texts, 200), strict=True))
+    assert run(spark, rows, 200) == want
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "__wm_d bigint, __wm_t bigint, text string")
+    spans = sub.repeated_spans(docs, 200)
+    copies = sum(len(r.spans) for r in spans.where("d < 40").collect())
+    assert copies == 40 * len(spans.where("d = 0").first().spans)
+    plan = spans._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "LeftAnti" not in plan
+
+
 def test_segments(monkeypatch):
     """Long texts are hashed in segments; every window is in one context."""
     rnd = random.Random(9)

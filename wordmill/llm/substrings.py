@@ -302,14 +302,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
         classes.join(mixed.select("h", "m"), "h").select("h", "a", "c", "m", "one.d", "one.t", "one.p")
     )
     lo, hi = F.floor(F.col("a") / 65536), F.col("a") % 65536
-    # Classes with more than one row in HOT_SHARE of all are fewer than that, so
-    # they are broadcast: the rows of a hot class stay where they are.
-    same = ["h", "a", "hull"]
+    # Classes with more than one row in HOT_SHARE of all are fewer than that. Their
+    # rows are dealt over the parts of the shuffle, and each part gets the class.
+    same, parts = ["h", "a", "hull"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.col("c") > max((classes.agg(F.sum("c")).first()[0] or 0) // HOT_SHARE, 1)
-    few = F.broadcast(classes.where(hot).select(*same))
-    copies = shared.join(few, same, "left_semi").unionByName(
-        shared.join(few, same, "left_anti").join(classes.where(~hot & (F.col("c") > 1)).select(*same), same).select(*shared.columns)
+    of_hot = F.col("hull").isin([r.hull for r in classes.where(hot).select("hull").distinct().collect()])
+    marks = classes.where("c > 1").select(
+        *same, F.explode(F.when(of_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))).alias("part")
     )
+    # Not by a hash of the row: equal rows would stay together.
+    part = F.when(of_hot, F.floor(F.rand(0) * parts).cast("int")).otherwise(0)
+    copies = shared.withColumn("part", part).join(marks, [*same, "part"])
     whole = copies.select("d", "t", (F.col("p") - hi).alias("s"), (F.col("p") - lo + length).alias("e"))
     rest = _resolve(_contexts(docs, todo.where(F.col("m") <= group), length), length)
     many = todo.where(F.col("m") > group)
