@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import SPECIAL_TOKENS
 from ..operators.tokens import count_tokens
-from ..operators.vocab import VOCAB_SCHEMA, special_tokens, vocab_delta
+from ..operators.vocab import VOCAB_SCHEMA, first_places, new_words, special_tokens
 
 WORDS = "token string, id bigint, first_doc bigint, first_pos bigint"
 COUNTS = "token string, n bigint"
+FIRSTS = "token string, n bigint, first_doc bigint, first_pos bigint"  # what counts/batch=b holds
+MANIFEST = "next_id bigint, new_words bigint"
 COMPACT_EVERY = 16
 
 
@@ -33,13 +35,8 @@ def _batches(spark: SparkSession, vocab_dir: str, kind: str) -> list[int]:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{vocab_dir}/{kind}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{vocab_dir}/{kind}/batch=*/_SUCCESS"))
+    out = [int(st.getPath().getParent().getName().split("=", 1)[1]) for st in found]
     return sorted(out)
 
 
@@ -65,20 +62,21 @@ class VocabLog:
     def next_id(self) -> int:
         if not self.done:
             return len(SPECIAL_TOKENS)
-        return self.spark.read.parquet(f"{self.dir}/manifest/batch={self.done[-1]}").first()["next_id"]
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.dir}/manifest/batch={self.done[-1]}").first()["next_id"]
 
     def tokens(self) -> DataFrame:
         return self._base().select("token").unionByName(self._deltas("words", WORDS).select("token"))
 
     def vocab(self) -> DataFrame:
-        """The whole vocabulary; counts are summed map-side, a word has at most
-        one row per batch."""
-        zero = F.lit(0).cast("bigint")
-        words = self._base().unionByName(self._deltas("words", WORDS).withColumn("n", zero))
-        more = self._deltas("counts", COUNTS).groupBy("token").agg(F.sum("n").alias("_more"))
-        return words.join(more, "token", "left").select(
-            "token", "id", (F.col("n") + F.coalesce("_more", zero)).alias("n"), "first_doc", "first_pos"
+        """The whole vocabulary in one aggregate by word: its row, and at most one
+        count per batch. A word without a row (of no complete batch) is none."""
+        none = F.lit(None).cast("bigint")
+        rows = self._base().unionByName(self._deltas("words", WORDS).withColumn("n", F.lit(0).cast("bigint")))
+        more = self._deltas("counts", COUNTS).select("token", none.alias("id"), "n", none.alias("first_doc"), none.alias("first_pos"))
+        whole = rows.unionByName(more).groupBy("token").agg(
+            F.max("id").alias("id"), F.sum("n").alias("n"), F.max("first_doc").alias("first_doc"), F.max("first_pos").alias("first_pos")
         )
+        return whole.where("id IS NOT NULL")
 
 
 def latest_vocab(spark: SparkSession, vocab_dir: str, before: int | None = None) -> DataFrame | None:
@@ -92,13 +90,15 @@ def vocab_batch_writer(vocab_dir: str, key: str = "doc_id", text: str = "text",
         spark = batch.sparkSession
         log = VocabLog(spark, vocab_dir, before=batch_id)
         first = log.next_id()
-        words, counts = vocab_delta(log.tokens(), first, count_tokens(batch.select(key, text), key, text), key)
         at = lambda kind: f"{vocab_dir}/{kind}/batch={batch_id}"
-        words.write.mode("overwrite").parquet(at("words"))
-        counts.write.mode("overwrite").parquet(at("counts"))
+        # A batch is often one file: its texts are spread, so that not one task cuts them all.
+        texts = batch.select(key, text).repartition(max(spark.sparkContext.defaultParallelism, 1))
+        first_places(count_tokens(texts, key, text), key).write.mode("overwrite").parquet(at("counts"))
+        firsts = spark.read.schema(FIRSTS).parquet(at("counts"))
+        new_words(log.tokens(), first, firsts).write.mode("overwrite").parquet(at("words"))
         new = spark.read.schema(WORDS).parquet(at("words")).count()
-        manifest = spark.createDataFrame([(first + new, new)], "next_id bigint, new_words bigint")
-        manifest.write.mode("overwrite").parquet(at("manifest"))
+        row = spark.range(0, 1, 1, 1).select(F.lit(first + new).cast("bigint").alias("next_id"), F.lit(new).cast("bigint").alias("new_words"))
+        row.write.mode("overwrite").parquet(at("manifest"))
         if (batch_id + 1) % compact_every == 0:
             VocabLog(spark, vocab_dir, before=batch_id + 1).vocab().write.mode("overwrite").parquet(at("base"))
 
